@@ -26,14 +26,17 @@ def age_from_date(birth, as_of=None, mode: str = "days365") -> Column:
 
     ``days365``  days between the dates ÷ 365, truncated (the original rule;
                  it overstates age just before a birthday)
-    ``calendar`` whole calendar years (months_between ÷ 12, truncated)
+    ``calendar`` completed calendar years (year difference, minus one while
+                 the birthday has not yet come in the reference year)
     """
     ref = as_of_date(as_of)
-    birth = col_of(birth)
+    birth = F.to_date(col_of(birth))
     if mode == "days365":
         return (F.datediff(ref, birth) / F.lit(365)).cast("int")
     if mode == "calendar":
-        return F.floor(F.months_between(ref, birth, roundOff=False) / 12).cast("int")
+        before = (F.month(ref) < F.month(birth)) | (
+            (F.month(ref) == F.month(birth)) & (F.dayofmonth(ref) < F.dayofmonth(birth)))
+        return F.year(ref) - F.year(birth) - F.when(before, 1).otherwise(0)
     raise ValueError(f"unknown age mode {mode!r}")
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ["models"]
+_MODULES = ["models", "core"]
 
 
 def _load():
