@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ["models", "core"]
+_MODULES = ["models", "core", "io"]
 
 
 def _load():
