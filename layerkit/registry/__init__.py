@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ["models", "core", "io"]
+_MODULES = ["models", "core", "io", "layers"]
 
 
 def _load():
