@@ -191,6 +191,15 @@ def inline_lookup(spark, sf_dir):
                   key_expr=prefix("p_type", 1))
 
 
+def code_mapping(spark, sf_dir):
+    """Map codes through a mapping *table* (unique keys checked; broadcast
+    only under the row bound, else a shuffle join)."""
+    li = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    mapping = t(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"),
+                                              F.col("p_brand").alias("mapped_brand"))
+    return lookup(li, mapping, on="l_partkey", check_unique=True)
+
+
 def normalise_columns(spark, sf_dir):
     """Mixed-case source → lower-case, renamed, PII dropped, derived."""
     c = uppercase_columns(t(spark, sf_dir, "customer"))
@@ -224,6 +233,7 @@ QUERIES = {
     "keyed_diff": keyed_diff_q,
     "inline_lookup": inline_lookup,
     "normalise_columns": normalise_columns,
+    "code_mapping": code_mapping,
 }
 
 _PRICE_TEXT = "CAST(CAST({c} AS DECIMAL(12,2)) AS VARCHAR)"
@@ -371,6 +381,10 @@ SELECT substr(p.p_type, 1, 1) AS type_letter, p.p_partkey, p.p_type, m.type_cate
 FROM part p
 LEFT JOIN (VALUES ('E', 'Economy'), ('L', 'Large'), ('M', 'Medium'), ('S', 'Small'))
   AS m(type_letter, type_category) ON substr(p.p_type, 1, 1) = m.type_letter
+""",
+    "code_mapping": """
+SELECT l.l_partkey, l.l_orderkey, l.l_linenumber, p.p_brand AS mapped_brand
+FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey
 """,
     "normalise_columns": """
 SELECT c.c_custkey AS customer_id, c.c_nationkey, c.c_acctbal, c.c_mktsegment AS segment,

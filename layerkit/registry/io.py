@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..plans.bronze import CsvSource, ingest_all, ingest_csv_table, ingest_table_source
-from ..plans.drift import capture_schema, detect_drift
+from ..plans.drift import capture_schema, run_drift_check
 from ..plans.merge import upsert
 from ..operators.aggregates import quality_checks
 from ..session import scratch_path
@@ -138,19 +138,23 @@ def observed_count(spark, sf_dir):
 
 
 def schema_drift(spark, sf_dir):
-    """Baseline, then add / drop / retype columns and add a table."""
+    """Baselines for two schemas; one drifts (add / drop /
+    retype columns, new table), the other stays as it was."""
     db = scratch_db(spark, "drift")
+    steady = scratch_db(spark, "steady")
     ctl = scratch_db(spark, "ctl")
     registry, log = f"{ctl}.schema_registry", f"{ctl}.schema_drift_log"
     write_table(t(spark, sf_dir, "orders"), f"{db}.orders_t", mode="overwrite")
     write_table(t(spark, sf_dir, "customer"), f"{db}.customer_t", mode="overwrite")
+    write_table(t(spark, sf_dir, "supplier"), f"{steady}.supplier_t", mode="overwrite")
     capture_schema(spark, db, registry)
+    capture_schema(spark, steady, registry)
     changed = (t(spark, sf_dir, "orders").drop("o_orderpriority")
                .withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(12,2)"))
                .withColumn("order_year", F.year("o_orderdate")))
     write_table(changed, f"{db}.orders_t", mode="overwrite")
     write_table(t(spark, sf_dir, "nation"), f"{db}.nation_t", mode="overwrite")
-    detect_drift(spark, db, registry, log)
+    run_drift_check(spark, [db, steady], registry, log)
     return spark.table(log).select("table_name", "column_name", "drift_type",
                                    "old_value", "new_value",
                                    F.col("_detected_at").isNotNull().alias("has_detected_at"))

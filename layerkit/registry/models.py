@@ -81,12 +81,35 @@ def reorder_risk(spark, sf_dir):
                "flag": "is_reorder_risk"})
 
 
+def prevalence_sql(spark, sf_dir):
+    """S8/P11/J7 through SQL: named sources, a CTE and scalar subqueries."""
+    from ..sources.catalog import register_sources
+    import uuid
+    sfx = uuid.uuid4().hex[:8]
+    names = {f"conditions_{sfx}": order_lines(spark, sf_dir),
+             f"codes_{sfx}": t(spark, sf_dir, "part"),
+             f"patients_{sfx}": t(spark, sf_dir, "customer")}
+    register_sources(spark, names)
+    return spark.sql(f"""
+        WITH facts AS (
+          SELECT p.p_brand AS code, p.p_type AS description, c.o_custkey AS patient_id
+          FROM conditions_{sfx} c JOIN codes_{sfx} p ON c.l_partkey = p.p_partkey)
+        SELECT code AS p_brand, description AS p_type,
+               COUNT(DISTINCT patient_id) AS customer_count,
+               (SELECT COUNT(*) FROM patients_{sfx}) AS total_customers,
+               CAST(ROUND(COUNT(DISTINCT patient_id) * 100.0
+                          / (SELECT COUNT(*) FROM patients_{sfx}), 2) AS DOUBLE) AS pct_customers
+        FROM facts
+        GROUP BY code, description""")
+
+
 QUERIES = {
     "supplier_metrics": supplier_metrics,
     "customer_summary": customer_summary,
     "order_line_summary": order_line_summary,
     "part_prevalence": part_prevalence,
     "reorder_risk": reorder_risk,
+    "prevalence_sql": prevalence_sql,
 }
 
 _ORDER_LINES = """
@@ -156,3 +179,4 @@ SELECT order_id, customer_id, order_date, next_order_date,
 FROM seq
 """,
 }
+ORACLE["prevalence_sql"] = ORACLE["part_prevalence"]
