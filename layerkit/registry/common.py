@@ -11,8 +11,20 @@ from ..sources.files import read_parquet_table
 AS_OF = "2024-06-30"
 
 
+# Natural keys of the larger driver tables: a small scan of one of these is
+# spread over the cores by its key (see ``spread_if_small``); the fixed-size
+# dimensions (region, nation) are read as they are.
+SPREAD_KEYS = {
+    "lineitem": "l_orderkey", "orders": "o_orderkey", "customer": "c_custkey",
+    "part": "p_partkey", "supplier": "s_suppkey", "events": "event_id",
+    "pages": "page_id", "documents": "doc_id", "conversations": "conv_id",
+    "embeddings": "vec_id", "labels": "doc_id", "benchmark": "item_id",
+}
+
+
 def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_parquet_table(spark, sf_dir, name)
+    return read_parquet_table(spark, sf_dir, name, spread=name in SPREAD_KEYS,
+                              spread_key=SPREAD_KEYS.get(name))
 
 
 def money(c: str, precision: int = 12, scale: int = 2):

@@ -9,27 +9,34 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 
 def read_parquet_table(spark: SparkSession, base_dir: str, name: str,
-                       spread_small: bool = True) -> DataFrame:
+                       spread: bool = False, spread_key: str | None = None) -> DataFrame:
     """One parquet table ``{base_dir}/{name}.parquet`` (vectorised, pushdown).
 
-    ``spread_small``: a scan that plans fewer input splits than the
-    cluster's default parallelism is a small input (often a single row
-    group, which one task must read alone); it is round-robin spread to
-    that parallelism so the operators fused after the scan use every core.
-    Large inputs already have at least that many splits and are returned
-    untouched — no extra shuffle at scale.
+    ``spread``: see :func:`spread_if_small`.
     """
     df = spark.read.parquet(os.path.join(base_dir, f"{name}.parquet"))
-    return spread_if_small(df) if spread_small else df
+    return spread_if_small(df, spread_key) if spread else df
 
 
-def spread_if_small(df: DataFrame) -> DataFrame:
+def spread_if_small(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Spread a small scan over all cores; leave large scans untouched.
+
+    A scan with fewer files *and* fewer input splits than the default
+    parallelism is small (often one row group that a single task must read
+    alone, with every operator fused after the scan in that same task).
+    It is hash-partitioned on ``key`` (no sort needed, and joins or
+    aggregates on that key can reuse the partitioning) or, without a key,
+    round-robin spread. Large inputs have at least as many splits as cores
+    and are returned as they are, so no extra shuffle happens at scale.
+    Filters and column pruning still pass through the repartition.
+    """
     try:
         target = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
+        if df.rdd.getNumPartitions() >= target or len(df.inputFiles()) >= target:
+            return df
     except Exception:  # pragma: no cover - e.g. Spark Connect: leave as is
         return df
-    return df.repartition(target) if splits < target else df
+    return df.repartition(target, key) if key else df.repartition(target)
 
 
 def read_csv(spark: SparkSession, path: str, columns=None, **options) -> DataFrame:
