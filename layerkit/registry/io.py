@@ -184,7 +184,7 @@ def incremental_read(spark, sf_dir):
     first = o.filter(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
     incremental_append(first, "o_orderdate", f"{db}.orders", f"{db}.marks", "orders")
     incremental_append(o, "o_orderdate", f"{db}.orders", f"{db}.marks", "orders")
-    return spark.table(f"{db}.orders")
+    return spark.table(f"{db}.orders").drop("_since")
 
 
 def stream_ingest(spark, sf_dir):
@@ -198,7 +198,7 @@ def stream_ingest(spark, sf_dir):
     stream_new_files(spark, f"{land}/*", o.schema, f"{db}.orders", ckpt)
     o.filter(F.col("o_orderdate") >= cutoff).write.parquet(f"{land}/drop2")
     stream_new_files(spark, f"{land}/*", o.schema, f"{db}.orders", ckpt)
-    return spark.table(f"{db}.orders")
+    return spark.table(f"{db}.orders").drop("_batch")
 
 
 def quality_checks_q(spark, sf_dir):

@@ -103,13 +103,18 @@ def overwrite_from_self(df: DataFrame, table: str, partition_by=()) -> int:
     """H7: overwrite a table with a plan that reads it.
 
     Spark refuses to overwrite a table its own plan reads, so the result is
-    written to a staging table first, then swapped in (drop + rename).
+    written to a staging table first and then swapped in by renames: the
+    old table moves aside, the staging table takes its name, the old one
+    is dropped. A failure at any step leaves a complete copy of either the
+    old or the new data under a known name — never a half-written table.
     """
     spark = df.sparkSession
-    staging = f"{table}__staging_{uuid.uuid4().hex[:8]}"
+    tag = uuid.uuid4().hex[:8]
+    staging, previous = f"{table}__staging_{tag}", f"{table}__previous_{tag}"
     n = write_table(df, staging, mode="overwrite", partition_by=partition_by)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {table} RENAME TO {previous}")
     spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+    spark.sql(f"DROP TABLE IF EXISTS {previous}")
     return n
 
 

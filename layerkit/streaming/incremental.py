@@ -1,27 +1,33 @@
 """Incremental reads (E2): high-water marks, batch and streaming forms.
 
-Batch form: a control table holds one mark per source; each run reads
-only rows stamped after it, appends them, and advances the mark to the
-largest stamp it saw (max is an aggregate — no rows reach the driver).
+Both forms are idempotent under retries, so a lost executor, a failed
+job or a restarted driver never duplicates or drops rows:
+
+Batch form: a control table holds one mark per source. A run reads only
+rows stamped after the current mark and writes them into the target
+partition named by that mark (``_since``) with dynamic partition
+overwrite. If the run dies after the data write but before the new mark
+is recorded, the re-run starts from the same mark and rewrites the same
+partition instead of appending a second copy. The new mark is a ``max``
+aggregate; no rows reach the driver.
 
 Streaming form: a file-source ``readStream`` with ``trigger(availableNow)``
-processes every file not yet recorded in the checkpoint, then stops. The
-checkpoint lives in the shared checkpoint folder, so a restarted job (or a
-lost executor) resumes exactly where the last committed batch ended.
+processes every file not yet recorded in the checkpoint, then stops. Each
+micro-batch overwrites its own ``_batch`` partition, so a batch replayed
+after a failure replaces itself. The checkpoint lives in the shared
+checkpoint folder.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
 
-from ..sinks.tables import write_table
+from ..sinks.tables import replace_scope, write_table
 
-MARK_SCHEMA = StructType([
-    StructField("source", StringType(), False),
-    StructField("mark", TimestampNTZType(), True),
-])
+SINCE_COL = "_since"
+BATCH_COL = "_batch"
+_EPOCH = "1900-01-01 00:00:00"
 
 
 def read_since(df: DataFrame, col: str, mark) -> DataFrame:
@@ -40,11 +46,12 @@ def current_mark(spark: SparkSession, control: str, source: str):
 
 
 def incremental_append(df: DataFrame, col: str, target: str, control: str, source: str) -> int:
-    """Append rows newer than the source's mark, then record the new mark."""
+    """Load rows newer than the source's mark, then record the new mark."""
     spark = df.sparkSession
     mark = current_mark(spark, control, source)
     new = read_since(df, col, mark)
-    n = write_table(new, target, mode="append")
+    since = str(mark) if mark is not None else _EPOCH
+    n = replace_scope(new.withColumn(SINCE_COL, F.lit(since)), target, SINCE_COL, since)
     if n:
         top = new.agg(F.max(col).cast("timestamp_ntz").alias("mark")) \
                  .select(F.lit(source).alias("source"), "mark")
@@ -57,8 +64,9 @@ def stream_new_files(spark: SparkSession, path: str, schema, target: str,
     """Process all not-yet-seen files under ``path`` into ``target``, then stop."""
     stream = spark.readStream.format(fmt).schema(schema).load(path)
 
-    def _write(batch: DataFrame, _epoch: int) -> None:
-        write_table(batch, target, mode="append")
+    def _write(batch: DataFrame, epoch: int) -> None:
+        replace_scope(batch.withColumn(BATCH_COL, F.lit(epoch).cast("long")),
+                      target, BATCH_COL, epoch)
 
     q = (stream.writeStream.foreachBatch(_write)
          .option("checkpointLocation", checkpoint)
