@@ -1,25 +1,64 @@
 """Upsert on plain parquet tables.
 
 Parquet tables have no MERGE. The target's rows and the new batch are
-unioned, reduced to the latest version per key with :func:`keep_latest`
-(partial top-1 before the shuffle, so hot keys stay cheap), written to a
-staging table and swapped in. Re-running the same batch is idempotent.
+unioned and reduced to the latest version per key with
+:func:`keep_latest` (partial top-1 before the shuffle, so hot keys stay
+cheap). Re-running the same batch is idempotent.
+
+Two write scopes:
+
+* whole table (default): the merged result is written to a staging table
+  and swapped in by renames.
+* ``scoped=True`` for tables partitioned by columns whose value is fixed
+  for a key (e.g. the order year of an order): only the partitions that
+  occur in the batch are read, merged and rewritten (dynamic partition
+  overwrite), so the cost follows the batch, not the table. The set of
+  touched partition values is an aggregate of the batch and is broadcast
+  only under a row bound.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 
 from ..operators.dedup import keep_latest
+from ..operators.joins import bounded_broadcast
 from ..sinks.tables import overwrite_from_self, write_table
 
 
-def upsert(df: DataFrame, table: str, keys, order, tiebreak=None, partition_by=()) -> int:
-    """Insert new keys and replace existing ones by the latest ``order``."""
+def upsert(df: DataFrame, table: str, keys, order, tiebreak=None, partition_by=(),
+           scoped: bool = False, max_touched: int = 100_000) -> int:
+    """Insert new keys and replace existing ones by the latest ``order``.
+
+    Returns the number of rows written (whole table, or the touched
+    partitions when ``scoped``).
+    """
     spark = df.sparkSession
+    partition_by = list(partition_by)
     if not spark.catalog.tableExists(table):
         return write_table(keep_latest(df, keys, order, tiebreak), table, "overwrite",
                            partition_by=partition_by)
     current = spark.table(table)
-    merged = keep_latest(current.unionByName(df, allowMissingColumns=True), keys, order, tiebreak)
-    return overwrite_from_self(merged, table, partition_by=partition_by)
+    if not scoped:
+        merged = keep_latest(current.unionByName(df, allowMissingColumns=True), keys, order, tiebreak)
+        return overwrite_from_self(merged, table, partition_by=partition_by)
+    if not partition_by:
+        raise ValueError("scoped upsert needs the table's partition columns")
+    touched = df.select(*partition_by).dropDuplicates()
+    affected = current.join(bounded_broadcast(touched, max_touched), on=partition_by,
+                            how="left_semi")
+    merged = keep_latest(affected.unionByName(df, allowMissingColumns=True), keys, order, tiebreak)
+    # A plan may not overwrite partitions it reads: stage, then replace.
+    staging = f"{table}__merge_{uuid.uuid4().hex[:8]}"
+    n = write_table(merged, staging, "overwrite", partition_by=partition_by)
+    target_cols = current.columns
+    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        spark.table(staging).select(*target_cols).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    spark.sql(f"DROP TABLE IF EXISTS {staging}")
+    return n

@@ -177,6 +177,24 @@ def upsert_q(spark, sf_dir):
     return spark.table(tbl)
 
 
+def upsert_partitioned(spark, sf_dir):
+    """E1 at scale: the table is partitioned by order year (fixed per order), so
+    the second batch reads and rewrites only the years it touches."""
+    db = scratch_db(spark, "upsertp")
+    tbl = f"{db}.orders"
+    o = t(spark, sf_dir, "orders").withColumn("order_year", F.year("o_orderdate"))
+    b1 = o.filter(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")) \
+          .withColumn("batch_no", F.lit(1))
+    b2 = (o.filter(F.col("o_orderdate") >= F.lit("1997-01-01").cast("timestamp_ntz"))
+           .withColumn("o_orderpriority",
+                       F.when(F.col("o_orderstatus") == "O", F.lit("1-URGENT"))
+                        .otherwise(F.col("o_orderpriority")))
+           .withColumn("batch_no", F.lit(2)))
+    upsert(b1, tbl, "o_orderkey", "batch_no", partition_by=["order_year"], scoped=True)
+    upsert(b2, tbl, "o_orderkey", "batch_no", partition_by=["order_year"], scoped=True)
+    return spark.table(tbl)
+
+
 def incremental_read(spark, sf_dir):
     """E2 (batch): two snapshots; the second run appends only rows past the mark."""
     db = scratch_db(spark, "incr")
@@ -221,6 +239,7 @@ QUERIES = {
     "observed_count": observed_count,
     "schema_drift": schema_drift,
     "upsert": upsert_q,
+    "upsert_partitioned": upsert_partitioned,
     "incremental_read": incremental_read,
     "stream_ingest": stream_ingest,
     "quality_checks": quality_checks_q,
@@ -278,6 +297,15 @@ UNION ALL
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
        CASE WHEN o_orderstatus = 'O' THEN '1-URGENT' ELSE o_orderpriority END, 2
 FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01'
+""",
+    "upsert_partitioned": f"""
+SELECT {_ORDERS_COLS}, 1 AS batch_no, CAST(year(o_orderdate) AS INTEGER) AS order_year
+FROM orders WHERE o_orderdate < TIMESTAMP '1997-01-01'
+UNION ALL
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+       CASE WHEN o_orderstatus = 'O' THEN '1-URGENT' ELSE o_orderpriority END, 2,
+       CAST(year(o_orderdate) AS INTEGER)
+FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01'
 """,
     "incremental_read": "SELECT * FROM orders",
     "stream_ingest": "SELECT * FROM orders",
