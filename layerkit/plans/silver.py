@@ -46,6 +46,7 @@ class CleanSpec:
     order: tuple = ("_ingested_at",)
     tiebreak: tuple | None = None
     partition_by: tuple = ()
+    bucket_by: tuple | None = None  # (buckets, columns) for co-located joins
     stamp_col: str = "_silver_processed_at"
 
 
@@ -70,7 +71,7 @@ def apply_spec(raw: DataFrame, spec: CleanSpec) -> DataFrame:
 def write_clean(raw: DataFrame, spec: CleanSpec, table: str) -> int:
     """T*: apply the spec and overwrite the clean table; returns rows written."""
     return write_table(apply_spec(raw, spec), table, mode="overwrite",
-                       partition_by=spec.partition_by)
+                       partition_by=spec.partition_by, bucket_by=spec.bucket_by)
 
 
 # --------------------------------------------------------------------------
@@ -186,14 +187,23 @@ LINE_TIEBREAK = ("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_d
                  "l_tax", "l_returnflag", "l_linestatus")
 
 
-def driver_specs() -> dict:
+def driver_specs(buckets: int | None = None) -> dict:
+    """Specs for customer / orders / line items.
+
+    ``buckets``: store orders and line items in that many buckets on the
+    order key (and customers on the customer key), so summary models join
+    the clean tables without shuffling them again.
+    """
+    order_b = (buckets, ("order_id",)) if buckets else None
+    line_b = (buckets, ("l_orderkey",)) if buckets else None
+    cust_b = (buckets, ("customer_id",)) if buckets else None
     return {
         "customer": CleanSpec(
             "customer", key=("customer_id",),
             rename={"c_custkey": "customer_id", "c_nationkey": "nation_id",
                     "c_mktsegment": "segment"},
             casts={"customer_id": "bigint", "nation_id": "int", "c_acctbal": "decimal(12,2)"},
-            drop=("c_name",)),
+            drop=("c_name",), bucket_by=cust_b),
         "orders": CleanSpec(
             "orders", key=("order_id",),
             rename={"o_orderkey": "order_id", "o_custkey": "customer_id",
@@ -202,12 +212,13 @@ def driver_specs() -> dict:
             casts={"order_id": "bigint", "customer_id": "bigint",
                    "order_cost": "decimal(12,2)", "order_date": "timestamp_ntz"},
             steps=(lambda df: year_month(df, "order_date", "order"),),
-            partition_by=("order_year",)),
+            partition_by=("order_year",), bucket_by=order_b),
         "lineitem": CleanSpec(
             "lineitem", key=("line_id",),
             casts={"l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint",
                    "l_linenumber": "int", "l_quantity": "double", "l_extendedprice": "double",
                    "l_discount": "double", "l_tax": "double", "l_shipdate": "timestamp_ntz"},
             surrogate=("line_id", ("l_orderkey", "l_linenumber")),
-            order=("_ingested_at", "l_shipdate"), tiebreak=LINE_TIEBREAK),
+            order=("_ingested_at", "l_shipdate"), tiebreak=LINE_TIEBREAK,
+            bucket_by=line_b),
     }

@@ -25,18 +25,28 @@ def _rows(obs) -> int:
 
 
 def write_table(df: DataFrame, table: str, mode: str = "append", partition_by=(),
-                fmt: str = "parquet") -> int:
+                fmt: str = "parquet", bucket_by: tuple | None = None) -> int:
     """K1/K2/K3/K6/K7: save as a managed table; returns rows written.
 
     ``overwrite`` drops and re-creates the table (schema replaced).
+    ``bucket_by=(n, [cols])`` stores the table in ``n`` hash buckets on
+    ``cols``: later joins and aggregates on those columns against another
+    table bucketed the same way read co-located buckets and skip the
+    shuffle. The rows are hash-partitioned on the bucket columns first, so
+    each task writes one file per bucket.
     """
     partition_by = list(partition_by)
-    if partition_by:
+    if bucket_by:
+        n, cols = bucket_by[0], list(bucket_by[1])
+        df = df.repartition(n, *cols)
+    elif partition_by:
         df = df.hint("rebalance", *partition_by)
     obs_df, obs = _observed(df)
     w = obs_df.write.format(fmt).mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if bucket_by:
+        w = w.bucketBy(n, *cols)
     w.saveAsTable(table)
     return _rows(obs)
 
