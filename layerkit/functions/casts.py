@@ -49,13 +49,21 @@ def truncate_int(c) -> Column:
     return col_of(c).try_cast("int")
 
 
-def parse_timestamp(c, fmt: str) -> Column:
+def parse_timestamp(c, fmt: str, ntz: bool = False) -> Column:
     """Text → timestamp by pattern; NULL when the text does not match.
 
-    Patterns quoting a literal ``Z`` read the text in the session zone,
-    so sessions built by :func:`layerkit.session.get_session` pin UTC.
+    ``ntz=False`` gives a session-zone ``timestamp``: a pattern that quotes a
+    literal ``Z`` is then read in the session zone, so sessions built by
+    :func:`layerkit.session.get_session` pin UTC. ``ntz=True`` gives the
+    wall clock as written (``timestamp_ntz``), independent of the session
+    zone and of its daylight-saving gaps. The text is validated with the
+    null-tolerant parser first; the exact parser only sees rows that parse.
     """
-    return F.try_to_timestamp(col_of(c), F.lit(fmt))
+    c = col_of(c)
+    checked = F.try_to_timestamp(c, F.lit(fmt))
+    if not ntz:
+        return checked
+    return F.when(checked.isNotNull(), F.to_timestamp_ntz(c, F.lit(fmt)))
 
 
 def to_date(c) -> Column:
@@ -70,6 +78,7 @@ def cast_columns(df, types: dict, null_tokens: dict | None = None,
     ``types``       column → Spark type (name or ``DataType``)
     ``null_tokens`` column → sentinel strings mapped to NULL first (C4)
     ``formats``     column → timestamp pattern (C6); type is then implied
+                    (``timestamp``; ``timestamp_ntz`` when ``types`` says so)
     ``int`` targets go through :func:`lenient_int` so ``"1.9"`` → 1.
     """
     null_tokens = null_tokens or {}
@@ -78,7 +87,7 @@ def cast_columns(df, types: dict, null_tokens: dict | None = None,
     for name, typ in types.items():
         c = null_if_token(name, null_tokens.get(name, ()))
         if name in formats:
-            out[name] = parse_timestamp(c, formats[name])
+            out[name] = parse_timestamp(c, formats[name], ntz=(typ == "timestamp_ntz"))
         elif typ in ("int", "integer"):
             out[name] = lenient_int(c)
         else:

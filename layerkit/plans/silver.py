@@ -142,7 +142,7 @@ def clinical_specs(as_of=None) -> dict:
             "encounters", key=("id",),
             rename={"patient": "patient_id", "provider": "provider_id"},
             formats={"start": ENCOUNTER_TS, "stop": ENCOUNTER_TS},
-            casts={"cost": "double"},
+            casts={"cost": "double", "start": "timestamp_ntz", "stop": "timestamp_ntz"},
             steps=(encounter_steps,),
             partition_by=("encounter_year", "encounter_month")),
         "conditions": CleanSpec(

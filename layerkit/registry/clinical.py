@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..operators.joins import bounded_broadcast
 from ..plans.layered import to_raw
 from ..plans.silver import DIAGNOSIS_LETTER_CATEGORY, clinical_specs, write_clean
-from .common import AS_OF, t
+from .common import AS_OF, iso_z_text, t
 from .io import scratch_db
 
 ISO_Z = "yyyy-MM-dd'T'HH:mm:ss'Z'"
@@ -71,13 +71,12 @@ def clean_encounters(spark, sf_dir):
     raw = o.select(
         F.col("o_orderkey").alias("Id"),
         F.when(F.col("o_orderstatus") == "P", F.lit("bad"))
-         .otherwise(F.date_format("o_orderdate", ISO_Z)).alias("Start"),
-        F.date_format(stop, ISO_Z).alias("Stop"),
+         .otherwise(iso_z_text("o_orderdate")).alias("Start"),
+        iso_z_text(stop).alias("Stop"),
         F.col("o_custkey").alias("Patient"), F.col("o_orderpriority").alias("Provider"),
         _money_text("o_totalprice").alias("Cost"), F.col("o_orderstatus").alias("EncounterClass"))
     out = _clean(spark, to_raw(raw, "encounters.csv"), _spec("encounters", tiebreak=()))
-    return out.select("id", F.col("start").cast("timestamp_ntz").alias("start"),
-                      F.col("stop").cast("timestamp_ntz").alias("stop"), "duration_minutes",
+    return out.select("id", "start", "stop", "duration_minutes",
                       "cost", "patient_id", "provider_id", "encounterclass",
                       "encounter_year", "encounter_month")
 

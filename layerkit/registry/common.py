@@ -27,6 +27,16 @@ def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
                               spread_key=SPREAD_KEYS.get(name))
 
 
+def iso_z_text(c):
+    """A zone-free timestamp as ``yyyy-MM-ddTHH:mm:ssZ`` text (whole seconds).
+
+    Built from the plain string cast, which does not involve the session
+    zone (``date_format`` would convert through it).
+    """
+    col = F.col(c) if isinstance(c, str) else c
+    return F.concat(F.regexp_replace(F.substring(col.cast("string"), 1, 19), " ", "T"), F.lit("Z"))
+
+
 def money(c: str, precision: int = 12, scale: int = 2):
     """Driver money columns are doubles with two decimals; sum them exactly."""
     return F.col(c).cast(f"decimal({precision},{scale})")

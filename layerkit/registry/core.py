@@ -11,7 +11,7 @@ from ..functions import (age_from_date, age_from_year, cast_columns, decode,
 from ..operators import (distinct_on, frequency, keep_latest, keyed_diff, lookup,
                          normalise, preview, split_by_tag, uppercase_columns)
 from ..functions.dates import prefix
-from .common import AS_OF, order_lines, t
+from .common import AS_OF, iso_z_text, order_lines, t
 
 # Order status and part-type letter decodes used by the queries.
 STATUS_LABELS = {"F": "Fulfilled", "O": "Open"}
@@ -64,8 +64,8 @@ def parse_timestamp_q(spark, sf_dir):
     """ISO text with a literal Z parsed back; malformed text → NULL."""
     e = t(spark, sf_dir, "events")
     text = F.when(F.col("event_type") == "error", F.concat(F.lit("bad:"), F.col("props"))) \
-            .otherwise(F.date_format("ts", ISO_Z))
-    parsed = parse_timestamp(text, ISO_Z).cast("timestamp_ntz")
+            .otherwise(iso_z_text("ts"))
+    parsed = parse_timestamp(text, ISO_Z, ntz=True)
     return e.select("event_id", parsed.alias("parsed_ts"))
 
 
@@ -122,9 +122,10 @@ def duration_minutes(spark, sf_dir):
 def event_minutes(spark, sf_dir):
     """DER3 on sub-second stamps: minutes from the event back to its midnight."""
     e = t(spark, sf_dir, "events")
+    midnight = F.to_date("ts").cast("timestamp_ntz")
     return e.select("event_id",
-                    minutes_between("ts", F.date_trunc("day", "ts")).alias("minutes_to_midnight"),
-                    minutes_between(F.date_trunc("day", "ts"), "ts").alias("minutes_since_midnight"))
+                    minutes_between("ts", midnight).alias("minutes_to_midnight"),
+                    minutes_between(midnight, "ts").alias("minutes_since_midnight"))
 
 
 def money_difference(spark, sf_dir):

@@ -3,7 +3,8 @@
 Both forms are idempotent under retries, so a lost executor, a failed
 job or a restarted driver never duplicates or drops rows:
 
-Batch form: a control table holds one mark per source. A run reads only
+Batch form: a control table holds the marks (typed like the watched
+column; one control table per column type). A run reads only
 rows stamped after the current mark and writes them into the target
 partition named by that mark (``_since``) with dynamic partition
 overwrite. If the run dies after the data write but before the new mark
@@ -30,18 +31,25 @@ BATCH_COL = "_batch"
 _EPOCH = "1900-01-01 00:00:00"
 
 
-def read_since(df: DataFrame, col: str, mark) -> DataFrame:
-    """Rows with ``col`` strictly after ``mark`` (all rows if mark is NULL)."""
+def read_since(df: DataFrame, col: str, mark: str | None) -> DataFrame:
+    """Rows with ``col`` strictly after ``mark`` (all rows if mark is None).
+
+    ``mark`` is Spark's own text form of a value of the column's type; it
+    is cast back to that type, so the filter is a literal that reaches the
+    parquet scan (row groups and files older than the mark are skipped)
+    and, for zone-free timestamps, does not depend on the session zone.
+    """
     if mark is None:
         return df
-    return df.filter(F.col(col) > F.lit(mark))
+    return df.filter(F.col(col) > F.lit(mark).cast(df.schema[col].dataType))
 
 
-def current_mark(spark: SparkSession, control: str, source: str):
+def current_mark(spark: SparkSession, control: str, source: str) -> str | None:
+    """The source's high-water mark as text (one aggregate row)."""
     if not spark.catalog.tableExists(control):
         return None
     row = (spark.table(control).filter(F.col("source") == source)
-           .agg(F.max("mark").alias("m")).first())
+           .agg(F.max("mark").cast("string").alias("m")).first())
     return row["m"] if row else None
 
 
@@ -50,11 +58,12 @@ def incremental_append(df: DataFrame, col: str, target: str, control: str, sourc
     spark = df.sparkSession
     mark = current_mark(spark, control, source)
     new = read_since(df, col, mark)
-    since = str(mark) if mark is not None else _EPOCH
+    since = mark if mark is not None else _EPOCH
     n = replace_scope(new.withColumn(SINCE_COL, F.lit(since)), target, SINCE_COL, since)
     if n:
-        top = new.agg(F.max(col).cast("timestamp_ntz").alias("mark")) \
-                 .select(F.lit(source).alias("source"), "mark")
+        # The mark keeps the column's own type, so max() orders it correctly;
+        # only its text form travels through the driver (exact round trip).
+        top = new.agg(F.max(col).alias("mark")).select(F.lit(source).alias("source"), "mark")
         write_table(top, control, mode="append")
     return n
 
