@@ -2,24 +2,60 @@
 
 Broadcasts happen only behind a proven size bound: either the relation
 is built from a fixed driver-side mapping, or :func:`bounded_broadcast`
-has counted (at most ``max_rows + 1`` rows, so the check stops early)
-that it is small. Above the bound the ordinary shuffle join is kept and
-AQE may still switch to a broadcast from runtime statistics.
+has measured (reading at most ``max_rows + 1`` rows, so the check stops
+early) that it is small in rows and in bytes. Above the bound the
+ordinary shuffle join is kept and AQE may still switch to a broadcast
+from runtime statistics.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import StringType, StructField, StructType
 
 DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+DEFAULT_BROADCAST_BYTES = 64 << 20
+
+_FIXED_WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4,
+                T.LongType: 8, T.FloatType: 4, T.DoubleType: 8, T.DateType: 4,
+                T.TimestampType: 8, T.TimestampNTZType: 8, T.DecimalType: 16, T.NullType: 1}
+
+
+def _row_bytes(df: DataFrame) -> Column:
+    """Bytes of one row: fixed widths plus the actual length of every
+    variable-width value (strings/binary exactly, nested values as JSON)."""
+    fixed, var = 0, []
+    for f in df.schema.fields:
+        width = next((w for t, w in _FIXED_WIDTH.items() if isinstance(f.dataType, t)), None)
+        c = F.col(f"`{f.name}`")
+        if width is not None:
+            fixed += width
+        elif isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            var.append(F.coalesce(F.octet_length(c), F.lit(0)))
+        else:
+            var.append(F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)))
+    total = F.lit(fixed).cast("long")
+    for v in var:
+        total = total + v.cast("long")
+    return total
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast only if it is provably small.
+
+    One probe reads at most ``max_rows + 1`` rows (the limit stops the scan
+    early) and measures their row count and bytes; ``df`` is broadcast only
+    when both are within bounds, otherwise it is returned unchanged and the
+    join keeps its shuffle (AQE may still switch from runtime statistics).
+    """
+    probe = (df.limit(max_rows + 1)
+               .agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b"))
+               .first())
+    n, size = probe["n"], probe["b"] or 0
+    return F.broadcast(df) if n <= max_rows and size <= max_bytes else df
 
 
 def mapping_frame(spark, mapping: dict, key: str, value: str,
@@ -32,11 +68,11 @@ def mapping_frame(spark, mapping: dict, key: str, value: str,
 
 def lookup(df: DataFrame, table, on: str, value: str | None = None,
            key_expr: Column | None = None, max_rows: int = DEFAULT_BROADCAST_ROWS,
-           check_unique: bool = False) -> DataFrame:
+           check_unique: bool = False, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Left equi-join to a lookup; unmatched and NULL keys keep a NULL value.
 
     ``table``    a dict (broadcast: its size is fixed) or a DataFrame
-                 (broadcast only under ``max_rows``)
+                 (broadcast only under ``max_rows`` and ``max_bytes``)
     ``key_expr`` derives the join key on ``df`` first (e.g. a code prefix)
     The join key comes first in the output, as with ``join(on=name)``.
     """
@@ -51,7 +87,7 @@ def lookup(df: DataFrame, table, on: str, value: str | None = None,
             dups = table.groupBy(on).count().filter("count > 1").limit(1).count()
             if dups:
                 raise ValueError(f"lookup key {on!r} is not unique")
-        small = bounded_broadcast(table, max_rows)
+        small = bounded_broadcast(table, max_rows, max_bytes)
     return df.join(small, on=on, how="left")
 
 

@@ -127,9 +127,11 @@ def next_event_risk(events: DataFrame, event_id: str = "id", entity: str = "pati
           "flag": "is_readmission_risk"}
     nm.update(names or {})
     tiebreak = tiebreak or event_id
+    extra = [] if tiebreak == event_id else [F.col(tiebreak).alias("__tiebreak")]
     base = events.select(F.col(event_id).alias(nm["id"]), F.col(entity).alias(nm["entity"]),
-                         F.col(start).alias(nm["start"]))
-    order = [nm["start"]] + ([nm["id"]] if tiebreak == event_id else [tiebreak])
+                         F.col(start).alias(nm["start"]), *extra)
+    # the id closes the order, so ties on (start, tiebreak) are still total
+    order = [nm["start"]] + (["__tiebreak"] if extra else []) + [nm["id"]]
     seq = next_in_sequence(base, nm["entity"], order, nm["start"], nm["next"],
                            skew_safe=skew_safe)
     days = days_between(nm["start"], nm["next"])

@@ -116,3 +116,12 @@ def test_quality_checks(spark):
     r = quality_checks(child, ["o", "l"], not_null=["v"], parent=parent,
                        parent_key="o", fk="o").first()
     assert (r["row_count"], r["null_v"], r["duplicate_keys"], r["orphan_rows"]) == (4, 1, 1, 1)
+
+
+def test_bounded_broadcast_checks_rows_and_bytes(spark):
+    small = spark.createDataFrame([(1, "a"), (2, "bb")], "k int, v string")
+    hinted = lambda df: "broadcast" in df._jdf.queryExecution().analyzed().toString().lower()
+    from layerkit.operators import bounded_broadcast
+    assert hinted(bounded_broadcast(small, max_rows=10, max_bytes=1000))
+    assert not hinted(bounded_broadcast(small, max_rows=1))            # too many rows
+    assert not hinted(bounded_broadcast(small, max_rows=10, max_bytes=10))  # too many bytes
