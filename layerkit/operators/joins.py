@@ -68,16 +68,20 @@ def mapping_frame(spark, mapping: dict, key: str, value: str,
 
 def lookup(df: DataFrame, table, on: str, value: str | None = None,
            key_expr: Column | None = None, max_rows: int = DEFAULT_BROADCAST_ROWS,
-           check_unique: bool = False, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+           check_unique: bool = False, max_bytes: int = DEFAULT_BROADCAST_BYTES,
+           ignore_case: bool = False) -> DataFrame:
     """Left equi-join to a lookup; unmatched and NULL keys keep a NULL value.
 
     ``table``    a dict (broadcast: its size is fixed) or a DataFrame
                  (broadcast only under ``max_rows`` and ``max_bytes``)
     ``key_expr`` derives the join key on ``df`` first (e.g. a code prefix)
+    ``ignore_case`` upper-cases the derived key (mapping keys must be upper)
     The join key comes first in the output, as with ``join(on=name)``.
     """
     if key_expr is not None:
         df = df.withColumn(on, key_expr)
+    if ignore_case:
+        df = df.withColumn(on, F.upper(F.col(on)))
     if isinstance(table, dict):
         if value is None:
             raise ValueError("value column name required for a dict lookup")

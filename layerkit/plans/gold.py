@@ -30,10 +30,11 @@ def entity_summary(entities: DataFrame, events: DataFrame, facts: DataFrame,
                    event_entity: str = "patient_id", event_id: str = "id",
                    event_cost: str = "cost", event_start: str = "start",
                    fact_entity: str = "patient_id", fact_code: str = "condition_code",
-                   names: dict | None = None) -> DataFrame:
+                   names: dict | None = None, fill_zero: bool = False) -> DataFrame:
     """G1: one row per entity with event and distinct-fact aggregates.
 
-    Entities without events (or facts) keep NULL aggregates (left joins).
+    Entities without events (or facts) keep NULL aggregates (left joins);
+    ``fill_zero=True`` reports their counts as 0 instead.
     """
     nm = {"total": "total_encounters", "unique": "unique_conditions",
           "spend": "total_spend", "first": "first_encounter_date",
@@ -49,6 +50,8 @@ def entity_summary(entities: DataFrame, events: DataFrame, facts: DataFrame,
     base = entities.select(entity_id, *entity_cols)
     out = (base.join(ev, base[entity_id] == ev["__e"], "left")
                .join(fa, base[entity_id] == fa["__f"], "left"))
+    if fill_zero:
+        out = out.fillna(0, subset=[nm["total"], nm["unique"]])
     return out.select(entity_id, nm["total"], nm["unique"], nm["spend"],
                       nm["first"], nm["last"], *entity_cols)
 

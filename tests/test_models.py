@@ -79,3 +79,10 @@ def test_next_event_risk(spark):
         assert out["e3"]["next_encounter_date"] is None and not out["e3"]["is_readmission_risk"]
         assert out["e4"]["days_to_next_encounter"] == 0            # tie broken by id
         assert out["e5"]["next_encounter_date"] is None
+
+
+def test_entity_summary_fill_zero(spark):
+    p, e, c = _fixtures(spark)
+    out = {r["id"]: r for r in gold.entity_summary(p, e, c, fill_zero=True).collect()}
+    assert out["p3"]["total_encounters"] == 0 and out["p3"]["unique_conditions"] == 0
+    assert out["p3"]["total_spend"] is None

@@ -125,3 +125,10 @@ def test_bounded_broadcast_checks_rows_and_bytes(spark):
     assert hinted(bounded_broadcast(small, max_rows=10, max_bytes=1000))
     assert not hinted(bounded_broadcast(small, max_rows=1))            # too many rows
     assert not hinted(bounded_broadcast(small, max_rows=10, max_bytes=10))  # too many bytes
+
+
+def test_lookup_ignore_case(spark):
+    df = spark.createDataFrame([("a10",), ("A11",)], "code string")
+    out = lookup(df, {"A": "Infectious"}, on="letter", value="cat",
+                 key_expr=F.substring("code", 1, 1), ignore_case=True)
+    assert rows(out, "code", "cat") == [("A11", "Infectious"), ("a10", "Infectious")]
