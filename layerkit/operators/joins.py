@@ -114,24 +114,37 @@ def left_join_split(left: DataFrame, right: DataFrame, on) -> DataFrame:
 def keyed_diff(old: DataFrame, new: DataFrame, keys, value: str,
                labels=("ADDED", "REMOVED", "CHANGED"),
                change_col: str = "change", old_col: str = "old_value",
-               new_col: str = "new_value") -> DataFrame:
+               new_col: str = "new_value", duplicate_label: str = "DUPLICATE") -> DataFrame:
     """Compare two versions of a keyed relation.
 
-    One full outer join replaces the two anti joins and the inner join of
-    the three-branch form (same rows, one shuffle per side instead of
-    three). Values are compared NULL-safely, so NULL → x is a change.
+    Both versions are tagged and unioned, then reduced by one aggregate on
+    the key: rows per side and each side's value. This gives the rows of
+    the two-anti-joins-plus-inner-join form with one shuffle and no join.
+    A key that holds a large share of rows is combined map-side, and no
+    old × new pairs are ever built. Values are compared NULL-safely, so
+    NULL → x is a change.
+
+    Keys are expected to be unique per version. A key that repeats on
+    either side is reported once, as ``duplicate_label``, with the largest
+    value of each side, and is not multiplied out.
     Output: keys, change, old value, new value.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     added, removed, changed = labels
-    o = old.select(*keys, F.col(value).alias(old_col), F.lit(True).alias("__in_old"))
-    n = new.select(*keys, F.col(value).alias(new_col), F.lit(True).alias("__in_new"))
-    j = o.join(n, on=keys, how="full")
-    in_old, in_new = F.col("__in_old").isNotNull(), F.col("__in_new").isNotNull()
-    change = (F.when(in_new & ~in_old, F.lit(added))
-               .when(in_old & ~in_new, F.lit(removed))
+    tagged = (old.select(*keys, F.col(value).alias("__v"), F.lit(0).alias("__side"))
+              .unionByName(new.select(*keys, F.col(value).alias("__v"), F.lit(1).alias("__side"))))
+    is_old, is_new = F.col("__side") == 0, F.col("__side") == 1
+    g = tagged.groupBy(*keys).agg(
+        F.count(F.when(is_old, 1)).alias("__n_old"),
+        F.count(F.when(is_new, 1)).alias("__n_new"),
+        F.max(F.when(is_old, F.col("__v"))).alias(old_col),
+        F.max(F.when(is_new, F.col("__v"))).alias(new_col))
+    n_old, n_new = F.col("__n_old"), F.col("__n_new")
+    change = (F.when((n_old > 1) | (n_new > 1), F.lit(duplicate_label))
+               .when(n_old == 0, F.lit(added))
+               .when(n_new == 0, F.lit(removed))
                .when(~F.col(old_col).eqNullSafe(F.col(new_col)), F.lit(changed)))
-    return (j.withColumn(change_col, change)
+    return (g.withColumn(change_col, change)
              .filter(F.col(change_col).isNotNull())
              .select(*keys, change_col, old_col, new_col))
 

@@ -132,3 +132,12 @@ def test_lookup_ignore_case(spark):
     out = lookup(df, {"A": "Infectious"}, on="letter", value="cat",
                  key_expr=F.substring("code", 1, 1), ignore_case=True)
     assert rows(out, "code", "cat") == [("A11", "Infectious"), ("a10", "Infectious")]
+
+
+def test_keyed_diff_duplicate_keys_not_multiplied(spark):
+    old = spark.createDataFrame([(1, "a"), (1, "b"), (2, "x")], "k int, v string")
+    new = spark.createDataFrame([(1, "c"), (1, "d"), (1, "e"), (2, "x")], "k int, v string")
+    got = rows(keyed_diff(old, new, "k", "v"))
+    assert got == [(1, "DUPLICATE", "b", "e")]          # one row, not 2 x 3 pairs
+    plan = keyed_diff(old, new, "k", "v")._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
