@@ -68,7 +68,7 @@ def mapping_frame(spark, mapping: dict, key: str, value: str,
 
 def lookup(df: DataFrame, table, on: str, value: str | None = None,
            key_expr: Column | None = None, max_rows: int = DEFAULT_BROADCAST_ROWS,
-           check_unique: bool = False, max_bytes: int = DEFAULT_BROADCAST_BYTES,
+           check_unique: bool = True, max_bytes: int = DEFAULT_BROADCAST_BYTES,
            ignore_case: bool = False) -> DataFrame:
     """Left equi-join to a lookup; unmatched and NULL keys keep a NULL value.
 
@@ -76,6 +76,9 @@ def lookup(df: DataFrame, table, on: str, value: str | None = None,
                  (broadcast only under ``max_rows`` and ``max_bytes``)
     ``key_expr`` derives the join key on ``df`` first (e.g. a code prefix)
     ``ignore_case`` upper-cases the derived key (mapping keys must be upper)
+    ``check_unique`` (DataFrame tables) fails on repeated mapping keys, which
+                 would otherwise multiply the joined rows; one aggregate
+                 over the mapping table
     The join key comes first in the output, as with ``join(on=name)``.
     """
     if key_expr is not None:
@@ -103,6 +106,7 @@ def left_join_split(left: DataFrame, right: DataFrame, on) -> DataFrame:
     an inner join (skew-splittable), and the unmatched left rows from an
     anti join against the right side's *distinct* keys (map-side combined,
     so a hot key costs one row per task). The union is the left join.
+    The left side is the "one" side of a one-to-many relation (unique keys).
     """
     on = [on] if isinstance(on, str) else list(on)
     matched = left.join(right, on=on, how="inner")
