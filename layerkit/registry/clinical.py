@@ -24,8 +24,6 @@ from ..plans.silver import DIAGNOSIS_LETTER_CATEGORY, clinical_specs, write_clea
 from .common import AS_OF, iso_z_text, t
 from .io import scratch_db
 
-ISO_Z = "yyyy-MM-dd'T'HH:mm:ss'Z'"
-
 
 def _spec(name, **changes):
     return dataclasses.replace(clinical_specs(as_of=AS_OF)[name], **changes)
