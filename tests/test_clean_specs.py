@@ -110,3 +110,27 @@ def test_claims(spark, specs):
     assert b["diagnosis_category"] is None and b["line_charge"] is None
     assert b["claim_type_decoded"] is None and b["is_valid_npi"] is False
     assert out[("c2", 1)]["is_valid_npi"] is False
+
+
+def test_readme_flow_on_fixture(spark, specs):
+    import uuid
+    from layerkit.plans import gold
+    from layerkit.plans.drift import capture_schema, run_drift_check
+    from layerkit.plans.silver import write_clean
+    from layerkit.session import scratch_path
+    from layerkit.sources import create_database
+    clean_db, ctl = (create_database(spark, n, scratch_path(spark, n))
+                     for n in (f"c_{uuid.uuid4().hex[:6]}", f"k_{uuid.uuid4().hex[:6]}"))
+    cols = ["Id", "START", "STOP", "PATIENT", "PROVIDER", "COST", "ENCOUNTERCLASS"]
+    df = raw(spark, [("e1", "2024-03-01T10:00:00Z", "2024-03-01T11:00:00Z", "p1", "v1", "10", "a"),
+                     ("e2", "2024-03-20T10:00:00Z", "2024-03-20T10:30:00Z", "p1", "v1", "5", "a"),
+                     ("e3", "2024-05-01T10:00:00Z", None, "p2", "v2", "1", "b")], cols)
+    write_clean(df, specs["encounters"], f"{clean_db}.encounters")
+    enc = spark.table(f"{clean_db}.encounters")
+    m = {r["provider_id"]: r for r in gold.group_metrics(enc).collect()}
+    assert m["v1"]["total_encounters"] == 2 and m["v1"]["avg_duration_minutes"] == 45.0
+    risk = {r["encounter_id"]: r for r in gold.next_event_risk(enc).collect()}
+    assert risk["e1"]["days_to_next_encounter"] == 19 and risk["e1"]["is_readmission_risk"]
+    capture_schema(spark, clean_db, f"{ctl}.schema_registry")
+    assert run_drift_check(spark, [clean_db], f"{ctl}.schema_registry",
+                           f"{ctl}.schema_drift_log").count() == 0
