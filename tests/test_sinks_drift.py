@@ -93,3 +93,10 @@ def test_diff_schema_ignores_nullability(spark):
                               "data_type string, is_nullable boolean")
     b = a.withColumn("is_nullable", F.lit(False))
     assert diff_schema(a, b).count() == 0
+
+
+def test_show_preview_prints(spark, capsys):
+    from layerkit.sinks import show_preview
+    show_preview(spark.createDataFrame([(1, "a")], "k int, v string"), 5)
+    out = capsys.readouterr().out.replace(" ", "")
+    assert "|k|v|" in out and "|1|a|" in out
