@@ -141,3 +141,11 @@ def test_keyed_diff_duplicate_keys_not_multiplied(spark):
     assert got == [(1, "DUPLICATE", "b", "e")]          # one row, not 2 x 3 pairs
     plan = keyed_diff(old, new, "k", "v")._jdf.queryExecution().executedPlan().toString()
     assert "Join" not in plan
+
+
+def test_next_in_sequence_two_key_columns(spark):
+    o = spark.read.parquet(f"{SF_CHECK}/orders.parquet")
+    keys, order = ["o_orderstatus", "o_orderpriority"], ["o_orderdate", "o_orderkey"]
+    fast = next_in_sequence(o, keys, order, "o_orderkey", "nxt", num_slices=9)
+    ref = _plain_lead(o, keys, order, "o_orderkey", "nxt")
+    assert rows(fast, "o_orderkey", "nxt") == rows(ref, "o_orderkey", "nxt")
