@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -15,7 +14,6 @@ SF_CHECK = "/root/testdata/sf0.01"
 def spark():
     from pyspark.sql import SparkSession
 
-    ckpt = tempfile.mkdtemp(prefix="layerkit-test-ckpt-")
     s = (SparkSession.builder.master("local[*]")
          .appName("layerkit-tests")
          .config("spark.sql.shuffle.partitions", "8")
@@ -23,9 +21,10 @@ def spark():
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.adaptive.enabled", "true")
-         .config("spark.checkpoint.dir", ckpt)
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
+    from layerkit.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(s)          # keeps a configured folder; sets a local one only if unset
     yield s
     s.stop()
 
