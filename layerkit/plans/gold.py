@@ -84,6 +84,27 @@ def event_detail(events: DataFrame, facts: DataFrame, entities: DataFrame,
     return joined.select(*cols)
 
 
+def event_summary(events: DataFrame, facts: DataFrame, event_cols: dict,
+                  event_id: str = "id", fact_event: str = "encounter_id",
+                  fact_code: str = "condition_code", count_name: str = "condition_count",
+                  distinct_name: str = "distinct_conditions",
+                  flag_col: str = "has_condition") -> DataFrame:
+    """G2 at event grain: one row per event with its fact counts.
+
+    Facts are aggregated per event first (map-side combined), then joined
+    once, so event measures (e.g. cost) appear exactly once per event and
+    can be summed safely, unlike the event × fact detail.
+    """
+    counts = (facts.groupBy(F.col(fact_event).alias("__ev"))
+                   .agg(F.count(F.lit(1)).alias(count_name),
+                        F.count_distinct(fact_code).alias(distinct_name)))
+    ev = events.select(F.col(event_id).alias("__ev"),
+                       *[F.col(s).alias(o) for o, s in event_cols.items()])
+    out = ev.join(counts, on="__ev", how="left").fillna(0, subset=[count_name, distinct_name])
+    return out.withColumn(flag_col, F.col(count_name) > 0) \
+              .select(*event_cols, count_name, distinct_name, flag_col)
+
+
 def prevalence(facts: DataFrame, population: DataFrame, group_cols,
                entity: str = "patient_id", count_name: str = "patient_count",
                total_name: str = "total_patients", pct_name: str = "prevalence_pct") -> DataFrame:

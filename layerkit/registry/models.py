@@ -60,6 +60,16 @@ def order_line_summary(spark, sf_dir):
         entity_id="c_custkey", flag_col="has_line")
 
 
+def order_line_counts(spark, sf_dir):
+    """G2 at order grain: each order once, with its line counts (cost summable)."""
+    return gold.event_summary(
+        t(spark, sf_dir, "orders"), t(spark, sf_dir, "lineitem"),
+        event_cols={"order_id": "o_orderkey", "customer_id": "o_custkey",
+                    "order_cost": "o_totalprice"},
+        event_id="o_orderkey", fact_event="l_orderkey", fact_code="l_partkey",
+        count_name="line_count", distinct_name="distinct_parts", flag_col="has_line")
+
+
 def part_prevalence(spark, sf_dir):
     """Share of all customers that bought each (brand, type)."""
     part = t(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
@@ -107,6 +117,7 @@ QUERIES = {
     "supplier_metrics": supplier_metrics,
     "customer_summary": customer_summary,
     "order_line_summary": order_line_summary,
+    "order_line_counts": order_line_counts,
     "part_prevalence": part_prevalence,
     "reorder_risk": reorder_risk,
     "prevalence_sql": prevalence_sql,
@@ -180,3 +191,11 @@ FROM seq
 """,
 }
 ORACLE["prevalence_sql"] = ORACLE["part_prevalence"]
+ORACLE["order_line_counts"] = """
+WITH c AS (SELECT l_orderkey, COUNT(*) AS line_count, COUNT(DISTINCT l_partkey) AS distinct_parts
+           FROM lineitem GROUP BY l_orderkey)
+SELECT o.o_orderkey AS order_id, o.o_custkey AS customer_id, o.o_totalprice AS order_cost,
+       COALESCE(c.line_count, 0) AS line_count, COALESCE(c.distinct_parts, 0) AS distinct_parts,
+       COALESCE(c.line_count, 0) > 0 AS has_line
+FROM orders o LEFT JOIN c ON c.l_orderkey = o.o_orderkey
+"""
