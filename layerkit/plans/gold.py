@@ -138,7 +138,7 @@ def group_metrics(events: DataFrame, group: str = "provider_id", event_id: str =
 
 def next_event_risk(events: DataFrame, event_id: str = "id", entity: str = "patient_id",
                     start: str = "start", window_days: int = 30,
-                    tiebreak: str | None = None, skew_safe: bool = True,
+                    tiebreak: str | None = None, skew_safe="auto",
                     names: dict | None = None) -> DataFrame:
     """Per event, the entity's next event start and a ``<= window_days`` flag.
 
