@@ -51,3 +51,10 @@ def test_keep_latest_single_shuffle(spark):
 def test_distinct_count_is_two_level(spark):
     plan = _plan(spark, "supplier_metrics")
     assert plan.count("HashAggregate") >= 4        # partial/final for both levels
+
+
+def test_fan_out_join_has_no_outer_join(spark):
+    # the left join is rewritten as inner + anti join, both skew-splittable by AQE
+    plan = _plan(spark, "order_line_summary")
+    assert "LeftOuter" not in plan and "FullOuter" not in plan
+    assert "LeftAnti" in plan
