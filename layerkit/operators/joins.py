@@ -2,8 +2,8 @@
 
 Broadcasts happen only behind a proven size bound: either the relation
 is built from a fixed driver-side mapping, or :func:`bounded_broadcast`
-has measured (reading at most ``max_rows + 1`` rows, so the check stops
-early) that it is small in rows and in bytes. Above the bound the
+has measured (a row count first, bytes only when the count is small)
+that it is small in rows and in bytes. Above the bound the
 ordinary shuffle join is kept and AQE may still switch to a broadcast
 from runtime statistics.
 """
@@ -46,16 +46,19 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
                       max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Mark ``df`` for broadcast only if it is provably small.
 
-    One probe reads at most ``max_rows + 1`` rows (the limit stops the scan
-    early) and measures their row count and bytes; ``df`` is broadcast only
-    when both are within bounds, otherwise it is returned unchanged and the
-    join keeps its shuffle (AQE may still switch from runtime statistics).
+    First a row count: a partial aggregate with no single-task funnel
+    (a ``limit`` would gather rows into one partition), and on a parquet
+    scan it reads only row-group metadata. Only when the count is within
+    ``max_rows`` are the bytes measured (over at most that many rows).
+    ``df`` is broadcast only when both are within bounds; otherwise it is
+    returned unchanged and the join keeps its shuffle (AQE may still
+    switch from runtime statistics).
     """
-    probe = (df.limit(max_rows + 1)
-               .agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(df)).alias("b"))
-               .first())
-    n, size = probe["n"], probe["b"] or 0
-    return F.broadcast(df) if n <= max_rows and size <= max_bytes else df
+    n = df.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    if n > max_rows:
+        return df
+    size = df.agg(F.sum(_row_bytes(df)).alias("b")).first()["b"] or 0
+    return F.broadcast(df) if size <= max_bytes else df
 
 
 def mapping_frame(spark, mapping: dict, key: str, value: str,
