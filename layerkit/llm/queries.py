@@ -11,8 +11,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cutting_stock, golomb_dedup, simhash_pivots
-from .common import read_table
+from . import (cutting_stock, golomb_dedup, hypergeometric_shards, mixing_ipf, pii_bootstrap, simhash_pivots, url_rules,
+               warc_writer)
+from .common import read_table, scratch_uri, text_of
 
 
 def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +32,54 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii_bootstrap.find_personal_data(read_table(spark, sf_dir, "documents"))
+
+    def joined(only_base: bool):
+        spans = F.filter("spans", lambda x: x["found_by"] == "base") if only_base else F.col("spans")
+        return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda x: (x["kind"] == kind) & (x["found_by"] == "base"))).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, pii_bootstrap.KINDS), F.sha2(joined(True), 256).alias("base_sha256"), joined(False).alias("spans"))
+
+
+def sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = text_of("text")
+    docs = read_table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
+    dealt = hypergeometric_shards.shuffle_into_shards(docs, shards=24)
+    return dealt.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                        F.lit(None).cast("int").alias("grown_shard"))
+
+
+URL_RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+             ("block", "net", "/es/"), ("block", "net", "/fr/"))
+
+
+def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    labels = read_table(spark, sf_dir, "labels").groupBy("doc_id").agg(
+        F.max((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
+    labelled = pages.join(labels, pages["page_id"] == labels["doc_id"]).select("url", "bad")
+    return url_rules.judge_urls(pages, labelled, URL_RULES, min_support=0.005, min_pages=5, min_confidence=0.5,
+                                max_tokens=2)
+
+
+MIX_TARGETS = {"source": None, "lang": {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}, "topic": {"process": 0.5, "quality": 0.3, "other": 0.2}}
+MIX_LEXICONS = {"process": "tion|ción|ung|ment", "quality": "able|ble|lich|heit|elle|ado"}
+
+
+def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(read_table(spark, sf_dir, "documents"))
+
+
+def mix(docs: DataFrame) -> DataFrame:
+    mixed = mixing_ipf.mix_documents(docs, MIX_TARGETS, MIX_LEXICONS, size=0.5, sweeps=8, tolerance=0.0, seed=8)
+    return mixed.withColumn("epochs", F.round("epochs", 9))
+
+
 def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"))
 
@@ -42,12 +91,35 @@ def pack_documents(docs: DataFrame) -> DataFrame:
     return cutting_stock.pack_pieces(digests, capacity=1024)
 
 
+def warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_uri(spark, "warc")
+    warc_writer.write_archives(read_table(spark, sf_dir, "pages"), folder)
+    return warc_writer.read_archives(spark, folder, payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+WARC_SQL = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest,
+                  min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id FROM pages)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+FROM p
+"""
+
+
 QUERIES = {
     "op1_exact_dedup": exact_dedup,
     "op2_simhash_near_dedup": simhash_near_dedup,
+    "op3_personal_data": personal_data,
+    "op4_sharding": sharding,
+    "op5_url_filter": url_filter,
+    "op8_mixing": mixing,
     "op9_packing": packing,
+    "op10_warc": warc,
 }
 
 ORACLE = {
     "op1_exact_dedup": EXACT_DEDUP_SQL,
+    "op10_warc": WARC_SQL,
 }
