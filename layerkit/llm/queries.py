@@ -11,8 +11,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (cutting_stock, golomb_dedup, hypergeometric_shards, mixing_ipf, pii_bootstrap, simhash_pivots, url_rules,
-               warc_writer)
+from . import (cutting_stock, golomb_dedup, hypergeometric_shards, mixing_ipf, multi_index, ordinal_quality, pii_bootstrap,
+               simhash_pivots, url_rules, warc_writer)
 from .common import read_table, scratch_uri, text_of
 
 
@@ -67,6 +67,29 @@ def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 max_tokens=2)
 
 
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return multi_index.nearest_neighbours(vectors, vectors.filter("vec_id % 50 = 0"), k=5, centroids=64, reach=0.5)
+
+
+def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = rate_documents(docs, sf_dir)
+    return scored.select("doc_id", "expected_grade", F.col("top_probability").alias("tail_probability"),
+                         (F.col("top_probability") >= TOP_AT_LEAST).alias("kept"))
+
+
+TOP_AT_LEAST = 0.5
+
+
+def rate_documents(docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Grades from the labels: 2 good and not toxic, 1 with one fault, 0 with both."""
+    ratings = read_table(docs.sparkSession, sf_dir, "labels").select(
+        "doc_id", (F.col("quality") + 1 - F.col("toxic")).alias("grade"))
+    model = ordinal_quality.train(docs, ratings, max_rows=8000, bits=18)
+    return ordinal_quality.score_documents(docs, model)
+
+
 MIX_TARGETS = {"source": None, "lang": {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}, "topic": {"process": 0.5, "quality": 0.3, "other": 0.2}}
 MIX_LEXICONS = {"process": "tion|ción|ung|ment", "quality": "able|ble|lich|heit|elle|ado"}
 
@@ -114,6 +137,8 @@ QUERIES = {
     "op3_personal_data": personal_data,
     "op4_sharding": sharding,
     "op5_url_filter": url_filter,
+    "op6_nearest_vectors": nearest_vectors,
+    "op7_quality_classifier": quality_classifier,
     "op8_mixing": mixing,
     "op9_packing": packing,
     "op10_warc": warc,
