@@ -35,13 +35,19 @@ def try_cast(c, to: str | DataType) -> Column:
     return col_of(c).try_cast(to)
 
 
-def lenient_int(c, via: DecimalType = DecimalType(20, 4)) -> Column:
+def lenient_int(c, via: DecimalType = DecimalType(38, 10)) -> Column:
     """C8/C9 for text that may carry a fraction (``"1.9"`` → 1).
 
-    ANSI integer casts reject fractional text, so go through a decimal and
-    truncate toward zero; junk and out-of-range values become NULL.
+    ANSI integer casts reject fractional text. Plain decimal text loses its
+    fraction as text, so no digit is ever rounded (``"1.99999"`` → 1,
+    ``"-0.99996"`` → 0); other notations (``"1e3"``) go through ``via`` and
+    truncate toward zero. Junk and out-of-range values become NULL.
     """
-    return col_of(c).try_cast(via).try_cast("int")
+    text = F.trim(col_of(c).cast("string"))
+    whole = F.regexp_extract(text, r"^([+-]?\d*)\.\d*$", 1)
+    return (F.when(text.rlike(r"^[+-]?\d+\.\d*$"), whole.try_cast("int"))
+             .when(text.rlike(r"^[+-]?\.\d+$"), F.lit(0))
+             .otherwise(text.try_cast(via).try_cast("int")))
 
 
 def truncate_int(c) -> Column:
@@ -71,16 +77,8 @@ def to_date(c) -> Column:
     return F.to_date(col_of(c))
 
 
-def cast_columns(df, types: dict, null_tokens: dict | None = None,
-                 formats: dict | None = None):
-    """Apply many null-tolerant casts in one projection.
-
-    ``types``       column → Spark type (name or ``DataType``)
-    ``null_tokens`` column → sentinel strings mapped to NULL first (C4)
-    ``formats``     column → timestamp pattern (C6); type is then implied
-                    (``timestamp``; ``timestamp_ntz`` when ``types`` says so)
-    ``int`` targets go through :func:`lenient_int` so ``"1.9"`` → 1.
-    """
+def cast_expressions(types: dict, null_tokens: dict | None = None, formats: dict | None = None) -> dict:
+    """Column → null-tolerant typed expression (see :func:`cast_columns`)."""
     null_tokens = null_tokens or {}
     formats = formats or {}
     out = {}
@@ -95,4 +93,18 @@ def cast_columns(df, types: dict, null_tokens: dict | None = None,
     for name, fmt in formats.items():
         if name not in out:
             out[name] = parse_timestamp(null_if_token(name, null_tokens.get(name, ())), fmt)
+    return out
+
+
+def cast_columns(df, types: dict, null_tokens: dict | None = None,
+                 formats: dict | None = None):
+    """Apply many null-tolerant casts in one projection.
+
+    ``types``       column → Spark type (name or ``DataType``)
+    ``null_tokens`` column → sentinel strings mapped to NULL first (C4)
+    ``formats``     column → timestamp pattern (C6); type is then implied
+                    (``timestamp``; ``timestamp_ntz`` when ``types`` says so)
+    ``int`` targets go through :func:`lenient_int` so ``"1.9"`` → 1.
+    """
+    out = cast_expressions(types, null_tokens, formats)
     return df.withColumns(out) if out else df

@@ -46,9 +46,13 @@ def age_from_year(birth_year, as_of=None) -> Column:
 
 
 def minutes_between(start, end) -> Column:
-    """DER3: whole minutes from start to end, truncated toward zero."""
+    """DER3: whole minutes from start to end, truncated toward zero.
+
+    64-bit, so a far-future end (``9999-12-31``) is a long span and not an
+    overflow.
+    """
     secs = F.unix_timestamp(col_of(end)) - F.unix_timestamp(col_of(start))
-    return (secs / F.lit(60)).cast("int")
+    return (secs / F.lit(60)).cast("bigint")
 
 
 def days_between(start, end) -> Column:

@@ -1,15 +1,15 @@
 """DataFrame → DataFrame operators."""
 
-from .aggregates import frequency, observed_count, quality_checks
-from .columns import normalise, split_by_tag, stamp, uppercase_columns
+from .aggregates import frequency, quality_checks
+from .columns import normalise, split_by_tag, stamp
 from .dedup import distinct_on, keep_latest, preview
-from .joins import (bounded_broadcast, keyed_diff, left_join_split, lookup,
+from .joins import (keyed_diff, left_join_split, lookup,
                     mapping_frame, with_scalar)
 from .sequence import next_in_sequence
 
 __all__ = [
-    "frequency", "observed_count", "quality_checks", "normalise", "split_by_tag",
-    "stamp", "uppercase_columns", "distinct_on", "keep_latest", "preview",
-    "bounded_broadcast", "keyed_diff", "left_join_split", "lookup",
+    "frequency", "quality_checks", "normalise", "split_by_tag",
+    "stamp", "distinct_on", "keep_latest", "preview",
+    "keyed_diff", "left_join_split", "lookup",
     "mapping_frame", "with_scalar", "next_in_sequence",
 ]

@@ -11,11 +11,6 @@ def frequency(df: DataFrame, c: str, name: str = "count") -> DataFrame:
     return df.groupBy(c).agg(F.count(F.lit(1)).alias(name))
 
 
-def observed_count(df: DataFrame) -> int:
-    """K7/A2: global row count."""
-    return df.count()
-
-
 def quality_checks(df: DataFrame, key, not_null=(), parent: DataFrame | None = None,
                    parent_key: str | None = None, fk: str | None = None) -> DataFrame:
     """Unique / not-null / referential checks as one summary row.
@@ -23,15 +18,18 @@ def quality_checks(df: DataFrame, key, not_null=(), parent: DataFrame | None = N
     ``duplicate_keys``   key values that occur more than once
     ``null_<c>``         NULL count per listed column
     ``orphan_rows``      rows whose ``fk`` has no ``parent_key`` in ``parent``
-    Every count is an aggregate (map-side combined), never a collect.
+    Keys and NULLs are counted in one keyed pass (map-side combined) that
+    is rolled up; the orphan check is the second and last scan.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    dup = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-             .agg(F.count(F.when(F.col("n") > 1, 1)).alias("duplicate_keys")))
-    nulls = df.agg(F.count(F.lit(1)).alias("row_count"),
-                   *[F.count(F.when(F.col(c).isNull(), 1)).alias(f"null_{c}")
-                     for c in not_null])
-    out = nulls.withColumn("duplicate_keys", dup.scalar())
+    per_key = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("__n"),
+        *[F.count(F.when(F.col(c).isNull(), 1)).alias(f"__null_{i}") for i, c in enumerate(not_null)])
+    zero = F.lit(0).cast("long")
+    out = per_key.agg(
+        F.coalesce(F.sum("__n"), zero).alias("row_count"),
+        *[F.coalesce(F.sum(f"__null_{i}"), zero).alias(f"null_{c}") for i, c in enumerate(not_null)],
+        F.count(F.when(F.col("__n") > 1, 1)).alias("duplicate_keys"))
     if parent is not None:
         pk = parent.select(F.col(parent_key).alias("__pk")).dropDuplicates()
         orphans = (df.select(F.col(fk).alias("__fk")).filter(F.col("__fk").isNotNull())

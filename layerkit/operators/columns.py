@@ -69,8 +69,3 @@ def split_by_tag(df: DataFrame, value: str, tag: str, numeric_tag: str = "numeri
         text_col: F.when(t == F.lit(text_tag), v.cast("string")),
     })
     return out if keep_value else out.drop(value)
-
-
-def uppercase_columns(df: DataFrame) -> DataFrame:
-    """Helper used to model mixed-case raw sources."""
-    return df.toDF(*[c.upper() for c in df.columns])

@@ -1,64 +1,18 @@
 """Joins and set differences.
 
-Broadcasts happen only behind a proven size bound: either the relation
-is built from a fixed driver-side mapping, or :func:`bounded_broadcast`
-has measured (a row count first, bytes only when the count is small)
-that it is small in rows and in bytes. Above the bound the
-ordinary shuffle join is kept and AQE may still switch to a broadcast
-from runtime statistics.
+A broadcast hint is given only for a driver-side mapping under a row
+bound. For DataFrames the plan is left to Spark: its byte threshold and
+AQE's runtime statistics decide, without extra jobs.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.types import StringType, StructField, StructType
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-DEFAULT_BROADCAST_BYTES = 64 << 20
-
-_FIXED_WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4,
-                T.LongType: 8, T.FloatType: 4, T.DoubleType: 8, T.DateType: 4,
-                T.TimestampType: 8, T.TimestampNTZType: 8, T.DecimalType: 16, T.NullType: 1}
-
-
-def _row_bytes(df: DataFrame) -> Column:
-    """Bytes of one row: fixed widths plus the actual length of every
-    variable-width value (strings/binary exactly, nested values as JSON)."""
-    fixed, var = 0, []
-    for f in df.schema.fields:
-        width = next((w for t, w in _FIXED_WIDTH.items() if isinstance(f.dataType, t)), None)
-        c = F.col(f"`{f.name}`")
-        if width is not None:
-            fixed += width
-        elif isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            var.append(F.coalesce(F.octet_length(c), F.lit(0)))
-        else:
-            var.append(F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)))
-    total = F.lit(fixed).cast("long")
-    for v in var:
-        total = total + v.cast("long")
-    return total
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
-                      max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Mark ``df`` for broadcast only if it is provably small.
-
-    First a row count: a partial aggregate with no single-task funnel
-    (a ``limit`` would gather rows into one partition), and on a parquet
-    scan it reads only row-group metadata. Only when the count is within
-    ``max_rows`` are the bytes measured (over at most that many rows).
-    ``df`` is broadcast only when both are within bounds; otherwise it is
-    returned unchanged and the join keeps its shuffle (AQE may still
-    switch from runtime statistics).
-    """
-    n = df.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    if n > max_rows:
-        return df
-    size = df.agg(F.sum(_row_bytes(df)).alias("b")).first()["b"] or 0
-    return F.broadcast(df) if size <= max_bytes else df
+# Mappings with more entries than this get no broadcast hint.
+MAX_BROADCAST_ENTRIES = 10_000
 
 
 def mapping_frame(spark, mapping: dict, key: str, value: str,
@@ -70,18 +24,17 @@ def mapping_frame(spark, mapping: dict, key: str, value: str,
 
 
 def lookup(df: DataFrame, table, on: str, value: str | None = None,
-           key_expr: Column | None = None, max_rows: int = DEFAULT_BROADCAST_ROWS,
-           check_unique: bool = True, max_bytes: int = DEFAULT_BROADCAST_BYTES,
+           key_expr: Column | None = None, check_unique: bool = True,
            ignore_case: bool = False) -> DataFrame:
     """Left equi-join to a lookup; unmatched and NULL keys keep a NULL value.
 
-    ``table``    a dict (broadcast: its size is fixed) or a DataFrame
-                 (broadcast only under ``max_rows`` and ``max_bytes``)
+    ``table``    a dict (broadcast up to ``MAX_BROADCAST_ENTRIES`` entries)
+                 or a DataFrame (a plain join; Spark picks the strategy)
     ``key_expr`` derives the join key on ``df`` first (e.g. a code prefix)
     ``ignore_case`` upper-cases the derived key (mapping keys must be upper)
     ``check_unique`` (DataFrame tables) fails on repeated mapping keys, which
                  would otherwise multiply the joined rows; one aggregate
-                 over the mapping table
+                 over the mapping table. NULL keys never match and may repeat
     The join key comes first in the output, as with ``join(on=name)``.
     """
     if key_expr is not None:
@@ -91,13 +44,14 @@ def lookup(df: DataFrame, table, on: str, value: str | None = None,
     if isinstance(table, dict):
         if value is None:
             raise ValueError("value column name required for a dict lookup")
-        small = F.broadcast(mapping_frame(df.sparkSession, table, on, value))
+        small = mapping_frame(df.sparkSession, table, on, value)
+        small = F.broadcast(small) if len(table) <= MAX_BROADCAST_ENTRIES else small
     else:
         if check_unique:
-            dups = table.groupBy(on).count().filter("count > 1").limit(1).count()
-            if dups:
+            dups = table.filter(F.col(on).isNotNull()).groupBy(on).count().filter("count > 1")
+            if not dups.isEmpty():
                 raise ValueError(f"lookup key {on!r} is not unique")
-        small = bounded_broadcast(table, max_rows, max_bytes)
+        small = table
     return df.join(small, on=on, how="left")
 
 

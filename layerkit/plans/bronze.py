@@ -49,7 +49,14 @@ def ingest_csv_table(spark: SparkSession, src: CsvSource, table: str, **csv_opti
 
 def ingest_all(spark: SparkSession, src: CsvSource, tables, stop_on_error: bool = False,
                parallel: int = 4, **csv_options) -> DataFrame:
-    """Ingest many tables; one status row per table.
+    """Ingest many tables; one status row per table (see :func:`ingest_status`)."""
+    rows = ingest_status(spark, src, tables, stop_on_error, parallel, **csv_options)
+    return spark.createDataFrame([tuple(r.values()) for r in rows], STATUS_SCHEMA)
+
+
+def ingest_status(spark: SparkSession, src: CsvSource, tables, stop_on_error: bool = False,
+                  parallel: int = 4, **csv_options) -> list[dict]:
+    """Ingest many tables; one status record per table.
 
     A failing table does not stop the others (unless ``stop_on_error``);
     its row shows ``status = 'error'`` and the message, so callers can
@@ -62,7 +69,7 @@ def ingest_all(spark: SparkSession, src: CsvSource, tables, stop_on_error: bool
         except Exception as e:  # noqa: BLE001 - isolate one table's failure
             if stop_on_error:
                 raise
-            return (table, "error", None, f"{type(e).__name__}: {str(e)[:500]}")
+            return (table, "error", None, f"{type(e).__name__}: {e}")
 
     tables = list(tables)
     if parallel <= 1 or len(tables) <= 1:
@@ -70,7 +77,7 @@ def ingest_all(spark: SparkSession, src: CsvSource, tables, stop_on_error: bool
     else:
         with ThreadPoolExecutor(max_workers=min(parallel, len(tables))) as pool:
             status = list(pool.map(one, tables))
-    return spark.createDataFrame(status, STATUS_SCHEMA)
+    return [dict(zip(STATUS_SCHEMA.names, row)) for row in status]
 
 
 def ingest_table_source(spark: SparkSession, source_table: str, target_table: str) -> int:

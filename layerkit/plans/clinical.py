@@ -11,15 +11,19 @@ clean step is skipped, instead of cleaning stale raw data silently.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sinks.tables import write_table
 from . import gold
-from .bronze import CsvSource, ingest_all, ingest_table_source
+from .bronze import CsvSource, ingest_status, ingest_table_source
+from .drift import capture_schema, detect_drift
 from .layered import _run_layer
 from .silver import clinical_specs, write_clean
 
-CLINICAL_TABLES = ("patients", "encounters", "conditions", "medications",
-                   "observations", "procedures")
+# The raw tables of the clinical layout.
+CLINICAL_TABLES = ("patients", "encounters", "conditions", "medications", "observations",
+                   "procedures", "allergies", "careplans", "imaging_studies", "immunizations",
+                   "organizations", "providers")
 
 
 def encounter_summary(encounters: DataFrame, conditions: DataFrame,
@@ -55,15 +59,23 @@ def clinical_models(clean: dict) -> dict:
 
 def run_clinical_batch(spark: SparkSession, source: CsvSource, clean_db: str, summary_db: str,
                        tables=CLINICAL_TABLES, claims_table: str | None = None,
-                       as_of=None, parallel: int = 4) -> DataFrame:
-    """Ingest → clean → summarise; one status row per table and layer."""
+                       as_of=None, parallel: int = 4, drift: tuple | None = None) -> DataFrame:
+    """Ingest → clean → summarise → drift; one status row per table and layer.
+
+    A table that fails to ingest, the claims table included, is reported
+    and its clean step is skipped; the others go on. ``drift`` names
+    (registry, log): after the run the raw and clean schemas are compared
+    with their baselines, which a schema without one gets now.
+    """
     status = [(r["table_name"], "raw", r["status"], r["row_count"])
-              for r in ingest_all(spark, source, tables).collect()]   # one row per table
-    ok = [r[0] for r in status if r[2] == "ok"]
+              for r in ingest_status(spark, source, tables, parallel=parallel)]
     if claims_table:
-        n = ingest_table_source(spark, claims_table, source.target("claims"))
-        status.append(("claims", "raw", "ok", n))
-        ok.append("claims")
+        try:
+            n = ingest_table_source(spark, claims_table, source.target("claims"))
+            status.append(("claims", "raw", "ok", n))
+        except Exception:  # noqa: BLE001 - one table's failure does not stop the run
+            status.append(("claims", "raw", "error", None))
+    ok = [name for name, _, state, _ in status if state == "ok"]
 
     specs = clinical_specs(as_of=as_of)
     cleaned = _run_layer(
@@ -79,5 +91,16 @@ def run_clinical_batch(spark: SparkSession, source: CsvSource, clean_db: str, su
             {name: (lambda name=name, df=df: write_table(df, f"{summary_db}.{name}", "overwrite"))
              for name, df in models.items()}, parallel)
         status += [(name, "summary", "ok", n) for name, n in built.items()]
+    if drift:
+        registry, log = drift
+        for layer, db in (("raw", source.target_database), ("clean", clean_db)):
+            known = spark.catalog.tableExists(registry) and not spark.table(registry).filter(
+                F.col("schema_name") == db).isEmpty()
+            if known:
+                events = detect_drift(spark, db, registry, log).count()
+            else:
+                capture_schema(spark, db, registry)
+                events = 0
+            status.append(("schema_drift", layer, "ok", events))
     return spark.createDataFrame(
         status, "table_name string, layer string, status string, row_count bigint")

@@ -18,6 +18,7 @@ from ..sinks.tables import append_evolving, replace_scope
 from ..sources.catalog import snapshot_schema
 
 DRIFT_LABELS = ("COLUMN_ADDED", "COLUMN_REMOVED", "TYPE_CHANGED")
+UNREADABLE = "TABLE_UNREADABLE"
 KEYS = ["schema_name", "table_name", "column_name"]
 
 
@@ -62,8 +63,14 @@ def detect_drift(spark: SparkSession, database: str, registry: str, log: str,
     if baseline.isEmpty():
         raise ValueError(f"no schema baseline for {database!r} in {registry}")
     exclude = set(control_tables) | {_short(registry), _short(log)}
-    current = snapshot_schema(spark, database, exclude=exclude)
-    drift = diff_schema(baseline, current).withColumn("_detected_at", _now_literal())
+    unreadable: list = []
+    current = snapshot_schema(spark, database, exclude=exclude, unreadable=unreadable)
+    if unreadable:
+        # neither removed nor unchanged: not compared, and reported with its error
+        baseline = baseline.filter(~F.col("table_name").isin([name for name, _ in unreadable]))
+    drift = diff_schema(baseline, current)
+    failed = spark.createDataFrame([(database, name, "", UNREADABLE, None, error) for name, error in unreadable], drift.schema)
+    drift = (drift.unionByName(failed) if unreadable else drift).withColumn("_detected_at", _now_literal())
     append_evolving(drift, log, skip_empty=True)
     return drift
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.conditionals import at_most, flag
 from ..functions.dates import days_between
-from ..operators.joins import bounded_broadcast, left_join_split, with_scalar
+from ..operators.joins import left_join_split, with_scalar
 from ..operators.sequence import next_in_sequence
 
 
@@ -61,8 +61,7 @@ def event_detail(events: DataFrame, facts: DataFrame, entities: DataFrame,
                  event_id: str = "id", event_entity: str = "patient_id",
                  fact_event: str = "encounter_id", entity_id: str = "id",
                  flag_col: str = "has_condition", flag_source: str | None = None,
-                 order: list | None = None,
-                 broadcast_rows: int = 1_000_000) -> DataFrame:
+                 order: list | None = None) -> DataFrame:
     """Events ⟕ facts ⋈ entities, one row per (event, fact).
 
     ``*_cols`` map output name → source column. Events without an entity
@@ -76,8 +75,7 @@ def event_detail(events: DataFrame, facts: DataFrame, entities: DataFrame,
                       *[F.col(s).alias(o) for o, s in fact_cols.items()])
     en = entities.select(F.col(entity_id).alias("__en"),
                          *[F.col(s).alias(o) for o, s in entity_cols.items()])
-    with_entity = ev.join(bounded_broadcast(en, broadcast_rows), on="__en", how="inner")
-    joined = left_join_split(with_entity, fa, on="__ev")
+    joined = left_join_split(ev, fa, on="__ev").join(en, on="__en", how="inner")
     first_fact = flag_source or next(iter(fact_cols))
     joined = joined.withColumn(flag_col, flag(F.col(first_fact).isNotNull()))
     cols = order or (list(event_cols) + list(fact_cols) + [flag_col] + list(entity_cols))
@@ -138,7 +136,7 @@ def group_metrics(events: DataFrame, group: str = "provider_id", event_id: str =
 
 def next_event_risk(events: DataFrame, event_id: str = "id", entity: str = "patient_id",
                     start: str = "start", window_days: int = 30,
-                    tiebreak: str | None = None, skew_safe="auto",
+                    tiebreak: str | None = None, sliced: bool = True,
                     names: dict | None = None) -> DataFrame:
     """Per event, the entity's next event start and a ``<= window_days`` flag.
 
@@ -157,7 +155,7 @@ def next_event_risk(events: DataFrame, event_id: str = "id", entity: str = "pati
     # the id closes the order, so ties on (start, tiebreak) are still total
     order = [nm["start"]] + (["__tiebreak"] if extra else []) + [nm["id"]]
     seq = next_in_sequence(base, nm["entity"], order, nm["start"], nm["next"],
-                           skew_safe=skew_safe)
+                           sliced=sliced)
     days = days_between(nm["start"], nm["next"])
     return seq.withColumns({nm["days"]: days, nm["flag"]: at_most(days, window_days)}) \
               .select(nm["id"], nm["entity"], nm["start"], nm["next"], nm["days"], nm["flag"])

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.columns import stamp, uppercase_columns
+from ..operators.columns import stamp
 from ..sinks.tables import write_table
 from .silver import CleanSpec, write_clean
 
@@ -33,8 +33,8 @@ class Layers:
 
 def to_raw(df: DataFrame, source_label: str) -> DataFrame:
     """Model a raw landing table: mixed-case names, every value as text, stamps."""
-    text = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
-    return stamp(uppercase_columns(text), "_ingested_at", "_source_file", source_label)
+    text = df.select(*[F.col(c).cast("string").alias(c.upper()) for c in df.columns])
+    return stamp(text, "_ingested_at", "_source_file", source_label)
 
 
 def _run_layer(jobs: dict, parallel: int) -> dict:

@@ -8,35 +8,54 @@ cheap). Re-running the same batch is idempotent.
 Two write scopes:
 
 * whole table (default): the merged result is written to a staging table
-  and swapped in by renames.
-* ``scoped=True`` for tables partitioned by columns whose value is fixed
-  for a key (e.g. the order year of an order): only the partitions that
-  occur in the batch are read, merged and rewritten (dynamic partition
-  overwrite), so the cost follows the batch, not the table. The set of
-  touched partition values is an aggregate of the batch and is broadcast
-  only under a row bound.
+  and swapped in by renames; an interrupted swap is finished first.
+* ``scoped=True`` for partitioned tables: only the touched partitions are
+  read, merged and rewritten. Touched are those in the batch and those
+  that hold one of its keys now (a key may move to another partition; the
+  search reads the key and partition columns only). NULL is a partition
+  like any other. A partition that loses its last row is dropped.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators.dedup import keep_latest
-from ..operators.joins import bounded_broadcast
-from ..sinks.tables import overwrite_from_self, write_table
+from ..sinks.tables import drop_partitions, overwrite_from_self, recover_swap, replace_partitions, write_table
+
+
+def _in_partitions(df: DataFrame, parts: DataFrame, cols) -> DataFrame:
+    """Rows of ``df`` in the listed partitions, NULL matching NULL.
+
+    Partitions without NULLs go through an ordinary semi join, which prunes
+    the scan at run time; those with a NULL through a NULL-safe one over
+    the partitions that have one.
+    """
+    has_null = None
+    for c in cols:
+        has_null = F.col(c).isNull() if has_null is None else has_null | F.col(c).isNull()
+    plain = df.join(parts.filter(~has_null), on=list(cols), how="left_semi")
+    renamed = parts.filter(has_null).select(*[F.col(c).alias(f"__p_{c}") for c in cols])
+    same = None
+    for c in cols:
+        eq = F.col(c).eqNullSafe(F.col(f"__p_{c}"))
+        same = eq if same is None else same & eq
+    return plain.unionByName(df.filter(has_null).join(renamed, same, "left_semi"))
 
 
 def upsert(df: DataFrame, table: str, keys, order, tiebreak=None, partition_by=(),
-           scoped: bool = False, max_touched: int = 100_000) -> int:
+           scoped: bool = False) -> int:
     """Insert new keys and replace existing ones by the latest ``order``.
 
     Returns the number of rows written (whole table, or the touched
-    partitions when ``scoped``).
+    partitions when ``scoped``). Repeating a batch after a failure at any
+    step gives the same table.
     """
     spark = df.sparkSession
     partition_by = list(partition_by)
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    recover_swap(spark, table)
     if not spark.catalog.tableExists(table):
         return write_table(keep_latest(df, keys, order, tiebreak), table, "overwrite",
                            partition_by=partition_by)
@@ -46,19 +65,20 @@ def upsert(df: DataFrame, table: str, keys, order, tiebreak=None, partition_by=(
         return overwrite_from_self(merged, table, partition_by=partition_by)
     if not partition_by:
         raise ValueError("scoped upsert needs the table's partition columns")
-    touched = df.select(*partition_by).dropDuplicates()
-    affected = current.join(bounded_broadcast(touched, max_touched), on=partition_by,
-                            how="left_semi")
+    held = current.select(*keys, *[c for c in partition_by if c not in keys])
+    touched = df.select(*partition_by).unionByName(
+        held.join(df.select(*keys).distinct(), on=keys, how="left_semi").select(*partition_by)).distinct()
+    # partition values are catalog metadata: the driver lists them for every table anyway
+    parts = touched.collect()
+    touched = spark.createDataFrame(parts, df.select(*partition_by).schema)
+    affected = _in_partitions(current, touched, partition_by)
     merged = keep_latest(affected.unionByName(df, allowMissingColumns=True), keys, order, tiebreak)
     # A plan may not overwrite partitions it reads: stage, then replace.
-    staging = f"{table}__merge_{uuid.uuid4().hex[:8]}"
+    staging = f"{table}__merge"
+    spark.sql(f"DROP TABLE IF EXISTS {staging}")
     n = write_table(merged, staging, "overwrite", partition_by=partition_by)
-    target_cols = current.columns
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        spark.table(staging).select(*target_cols).write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    replace_partitions(spark.table(staging).select(*current.columns), table, partition_by)
+    filled = {tuple(r) for r in spark.table(staging).select(*partition_by).distinct().collect()}
+    drop_partitions(spark, table, [r.asDict() for r in parts if tuple(r) not in filled])
     spark.sql(f"DROP TABLE IF EXISTS {staging}")
     return n

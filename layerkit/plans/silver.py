@@ -16,12 +16,12 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from typing import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import (age_from_date, age_from_year, decode, flag, full_match,
                          minutes_between, prefix, surrogate_key, year_month)
-from ..functions.casts import cast_columns
+from ..functions.casts import cast_columns, cast_expressions, null_if_token
 from ..functions.dates import difference
 from ..operators.columns import normalise, split_by_tag, stamp
 from ..operators.dedup import keep_latest
@@ -50,11 +50,22 @@ class CleanSpec:
     stamp_col: str = "_silver_processed_at"
 
 
-def apply_spec(raw: DataFrame, spec: CleanSpec) -> DataFrame:
-    """Raw (text) rows → typed, keyed, de-duplicated, stamped rows."""
-    df = normalise(raw, lower=spec.lower)
-    if spec.rename:
-        df = df.withColumnsRenamed({k: v for k, v in spec.rename.items() if k in df.columns})
+def rejected_counts(spec: CleanSpec) -> list:
+    """Per cast column: rows whose text is there, and no NULL token, but whose typed value is NULL."""
+    typed = cast_expressions(spec.casts, spec.null_tokens, spec.formats)
+    return [F.count(F.when(null_if_token(c, spec.null_tokens.get(c, ())).isNotNull() & e.isNull(), 1)).alias(c)
+            for c, e in typed.items()]
+
+
+def apply_spec(raw: DataFrame, spec: CleanSpec, rejected: Observation | None = None) -> DataFrame:
+    """Raw (text) rows → typed, keyed, de-duplicated, stamped rows.
+
+    ``rejected`` observes, on the pass that runs anyway, how many values of
+    each cast column could not be typed.
+    """
+    df = normalise(raw, rename=spec.rename, lower=spec.lower)
+    if rejected is not None:
+        df = df.observe(rejected, *rejected_counts(spec))
     df = cast_columns(df, spec.casts, spec.null_tokens, spec.formats)
     for step in spec.steps:
         df = step(df)
@@ -68,9 +79,9 @@ def apply_spec(raw: DataFrame, spec: CleanSpec) -> DataFrame:
     return stamp(df, spec.stamp_col)
 
 
-def write_clean(raw: DataFrame, spec: CleanSpec, table: str) -> int:
+def write_clean(raw: DataFrame, spec: CleanSpec, table: str, rejected: Observation | None = None) -> int:
     """T*: apply the spec and overwrite the clean table; returns rows written."""
-    return write_table(apply_spec(raw, spec), table, mode="overwrite",
+    return write_table(apply_spec(raw, spec, rejected), table, mode="overwrite",
                        partition_by=spec.partition_by, bucket_by=spec.bucket_by)
 
 

@@ -1,38 +1,31 @@
 """The seven clinical clean-table specs (T1–T7) on raw text built from the
-driver tables.
+driver tables, and the whole clinical batch run (M1).
 
-Each query derives a clinical-shaped raw table (mixed-case names, every
-value text, audit stamps) from the driver tables with Spark, runs the
-clinical spec over it and writes the clean table (partitioned where the
-spec says so), then reads it back. Role map: patient ← customer,
+Each raw table is derived from the driver tables with Spark in the clinical
+shape (mixed-case names, every value text). Role map: patient ← customer,
 encounter ← order, condition / medication / procedure ← line item,
-observation ← event, claim line ← line item × part. Within one raw batch
-all ``_ingested_at`` stamps are equal, so each query fixes an explicit
-tie-break for the keep-latest step.
+observation ← event, claim line ← line item. There are two raw batches: the
+second one, ingested later, repeats some keys with changed values, and the
+production specs must keep it. Keys are unique within a batch.
 """
 
 from __future__ import annotations
 
-import dataclasses
 import datetime as dt
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from ..operators.joins import bounded_broadcast
+from ..plans.bronze import CsvSource
+from ..plans.clinical import run_clinical_batch
 from ..plans.layered import to_raw
-from ..plans.silver import DIAGNOSIS_LETTER_CATEGORY, clinical_specs, write_clean
+from ..plans.silver import clinical_specs, write_clean
+from ..session import scratch_path
+from ..sinks.tables import write_table
 from .common import AS_OF, iso_z_text, t
 from .io import scratch_db
 
-
-def _spec(name, **changes):
-    return dataclasses.replace(clinical_specs(as_of=AS_OF)[name], **changes)
-
-
-def _clean(spark, raw, spec):
-    db = scratch_db(spark, f"clin_{spec.name}")
-    write_clean(raw, spec, f"{db}.{spec.name}")
-    return spark.table(f"{db}.{spec.name}")
+FIRST, SECOND = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
 
 
 def _money_text(c):
@@ -45,143 +38,219 @@ def _lines(spark, sf_dir):
     return li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
 
 
-def clean_patients(spark, sf_dir):
+def raw_patients(spark, sf_dir, later):
     c = t(spark, sf_dir, "customer")
+    c = c.filter("c_custkey % 3 = 0") if later else c
     birth = F.date_add(F.lit(dt.date(1940, 1, 1)), ((F.col("c_acctbal") + 1000) * 2).cast("int"))
-    raw = c.select(
+    return c.select(
         F.col("c_custkey").alias("Id"), birth.alias("Birthdate"),
         F.when(F.col("c_acctbal") < 0, F.date_add(birth, 25000).cast("string"))
          .otherwise(F.lit("-")).alias("Deathdate"),
-        F.when(F.col("c_mktsegment") == "MACHINERY", "M")
-         .when(F.col("c_mktsegment") == "BUILDING", "S")
-         .when(F.col("c_mktsegment") == "AUTOMOBILE", None).otherwise("W").alias("Marital"),
+        (F.lit("M") if later else
+         F.when(F.col("c_mktsegment") == "MACHINERY", "M")
+          .when(F.col("c_mktsegment") == "BUILDING", "S")
+          .when(F.col("c_mktsegment") == "AUTOMOBILE", None).otherwise("W")).alias("Marital"),
         F.col("c_name").alias("Ssn"), F.col("c_name").alias("Drivers"),
         F.col("c_name").alias("Passport"),
         F.when(F.col("c_acctbal") >= 5000, "F").otherwise("M").alias("Gender"))
-    out = _clean(spark, to_raw(raw, "patients.csv"), _spec("patients", tiebreak=()))
-    return out.select("id", "birthdate", "deathdate", "gender", "patient_age", "is_deceased",
-                      "marital_status")
 
 
-def clean_encounters(spark, sf_dir):
+def raw_encounters(spark, sf_dir, later):
     o = t(spark, sf_dir, "orders")
+    o = o.filter("o_orderkey % 5 = 0") if later else o
     stop = F.timestamp_add("SECOND", (F.col("o_totalprice") / 10).cast("int"), F.col("o_orderdate"))
-    raw = o.select(
+    return o.select(
         F.col("o_orderkey").alias("Id"),
         F.when(F.col("o_orderstatus") == "P", F.lit("bad"))
          .otherwise(iso_z_text("o_orderdate")).alias("Start"),
-        iso_z_text(stop).alias("Stop"),
+        F.when(F.col("o_orderkey") % 7 == 0, F.lit("9999-12-31T00:00:00Z"))
+         .otherwise(iso_z_text(stop)).alias("Stop"),
         F.col("o_custkey").alias("Patient"), F.col("o_orderpriority").alias("Provider"),
-        _money_text("o_totalprice").alias("Cost"), F.col("o_orderstatus").alias("EncounterClass"))
-    out = _clean(spark, to_raw(raw, "encounters.csv"), _spec("encounters", tiebreak=()))
-    return out.select("id", "start", "stop", "duration_minutes",
-                      "cost", "patient_id", "provider_id", "encounterclass",
-                      "encounter_year", "encounter_month")
+        (F.lit("12.50") if later else _money_text("o_totalprice")).alias("Cost"),
+        F.col("o_orderstatus").alias("EncounterClass"))
 
 
-def clean_conditions(spark, sf_dir):
-    li = _lines(spark, sf_dir)
-    raw = li.select(
-        F.to_date("l_shipdate").alias("START"), F.lit(None).cast("string").alias("STOP"),
+def raw_conditions(spark, sf_dir, later):
+    li = _lines(spark, sf_dir).groupBy("o_custkey", "l_orderkey", "l_returnflag", "l_shipdate").agg(
+        F.max("l_linestatus").alias("status"))
+    li = li.filter("l_orderkey % 5 = 0") if later else li
+    return li.select(
+        F.to_date("l_shipdate").alias("START"), F.date_add(F.to_date("l_shipdate"), 10).alias("STOP"),
         F.col("o_custkey").alias("PATIENT"), F.col("l_orderkey").alias("ENCOUNTER"),
-        F.col("l_returnflag").alias("CODE"), F.col("l_linestatus").alias("DESCRIPTION"))
-    spec = _spec("conditions", tiebreak=("condition_description", "stop"))
-    out = _clean(spark, to_raw(raw, "conditions.csv"), spec)
-    return out.select("condition_id", "start", "stop", "patient_id", "encounter_id",
-                      "condition_code", "condition_description")
+        F.col("l_returnflag").alias("CODE"),
+        (F.lit("revised") if later else F.col("status")).alias("DESCRIPTION"))
 
 
-def clean_medications(spark, sf_dir):
-    li = _lines(spark, sf_dir)
-    raw = li.select(
+def raw_medications(spark, sf_dir, later):
+    li = _lines(spark, sf_dir).groupBy("o_custkey", "l_orderkey", "l_partkey", "l_shipdate").agg(
+        F.max("l_returnflag").alias("flag"), F.max("l_extendedprice").alias("price"),
+        F.max("l_quantity").alias("quantity"), F.max("l_tax").alias("tax"))
+    li = li.filter("l_orderkey % 5 = 0") if later else li
+    return li.select(
         F.to_date("l_shipdate").alias("START"),
         F.date_add(F.to_date("l_shipdate"), 30).alias("STOP"),
         F.col("o_custkey").alias("PATIENT"), F.col("l_orderkey").alias("ENCOUNTER"),
-        F.col("l_partkey").alias("CODE"), F.col("l_returnflag").alias("DESCRIPTION"),
-        _money_text("l_extendedprice").alias("COST"), F.col("l_quantity").alias("DISPENSES"),
-        F.col("l_tax").alias("TOTALCOST"))
-    spec = _spec("medications", tiebreak=("cost", "dispenses", "medication_description"))
-    out = _clean(spark, to_raw(raw, "medications.csv"), spec)
-    return out.select("medication_id", "start", "stop", "patient_id", "encounter_id",
-                      "medication_code", "medication_description", "cost", "dispenses",
-                      "totalcost")
-
-
-def clean_observations(spark, sf_dir):
-    e = t(spark, sf_dir, "events")
+        F.col("l_partkey").alias("CODE"), F.col("flag").alias("DESCRIPTION"),
+        _money_text("price").alias("COST"),
+        (F.lit("7.99999") if later else F.col("quantity")).alias("DISPENSES"),
+        F.col("tax").alias("TOTALCOST"))
+
+
+def raw_observations(spark, sf_dir, later):
+    e = t(spark, sf_dir, "events").withColumn("day", F.to_date("ts")).groupBy("day", "user_id", "event_type").agg(
+        F.max("value").alias("value"), F.max("props").alias("props"))
+    e = e.filter("user_id % 3 = 0") if later else e
     numeric = F.col("event_type").isin("purchase", "click")
-    raw = e.select(
-        F.to_date("ts").alias("DATE"), F.col("user_id").alias("PATIENT"),
-        F.lit(None).cast("string").alias("ENCOUNTER"),
-        F.col("event_type").alias("CODE"), F.col("event_type").alias("DESCRIPTION"),
+    return e.select(
+        F.col("day").alias("DATE"), F.col("user_id").alias("PATIENT"),
+        F.concat(F.lit("v"), F.col("user_id").cast("string")).alias("ENCOUNTER"),
+        F.col("event_type").alias("CODE"),
+        (F.lit("revised") if later else F.col("event_type")).alias("DESCRIPTION"),
         F.when(numeric, F.col("value").cast("string")).otherwise(F.col("props")).alias("VALUE"),
         F.when(numeric, F.lit("numeric")).when(F.col("event_type") == "view", F.lit("text"))
          .otherwise(F.col("event_type")).alias("TYPE"))
-    spec = _spec("observations", tiebreak=("numeric_value", "text_value"))
-    out = _clean(spark, to_raw(raw, "observations.csv"), spec)
-    return out.select("observation_id", "date", "patient_id", "encounter_id", "observation_code",
-                      "observation_description", "type", "numeric_value", "text_value",
-                      "observation_year", "observation_month")
 
 
-def clean_procedures(spark, sf_dir):
-    li = _lines(spark, sf_dir)
-    raw = li.select(
+def raw_procedures(spark, sf_dir, later):
+    li = _lines(spark, sf_dir).groupBy("o_custkey", "l_orderkey", "l_returnflag", "l_linestatus", "l_shipdate").agg(
+        F.max("l_extendedprice").alias("price"))
+    li = li.filter("l_orderkey % 5 = 0") if later else li
+    return li.select(
         F.to_date("l_shipdate").alias("DATE"),
         F.col("o_custkey").alias("PATIENT"), F.col("l_orderkey").alias("ENCOUNTER"),
         F.concat("l_returnflag", "l_linestatus").alias("CODE"),
         F.lit("line service").alias("DESCRIPTION"),
-        _money_text("l_extendedprice").alias("COST"))
-    spec = _spec("procedures", tiebreak=("cost",))
-    out = _clean(spark, to_raw(raw, "procedures.csv"), spec)
-    return out.select("procedure_id", "date", "patient_id", "encounter_id", "procedure_code",
-                      "procedure_description", "cost", "procedure_year")
-
-
-CLAIM_TIEBREAK = ("line_charge", "line_allowed", "date_service", "prov_rendering_npi",
-                  "claim_type", "patient_year_of_birth")
+        (F.lit("3.25") if later else _money_text("price")).alias("COST"))
 
 
-def clean_claims(spark, sf_dir):
-    li = t(spark, sf_dir, "lineitem")
-    part = t(spark, sf_dir, "part").select("p_partkey", "p_type")
-    x = li.join(bounded_broadcast(part), li["l_partkey"] == part["p_partkey"], "inner")
+def raw_claims(spark, sf_dir, later):
+    li = t(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(
+        *[F.max(c).alias(c) for c in ("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
+                                      "l_returnflag", "l_linestatus", "l_shipdate")])
+    li = li.filter("l_orderkey % 5 = 0") if later else li
     allowed = (F.col("l_extendedprice").cast("decimal(12,2)")
                * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)")))
-    raw = x.select(
+    letter = F.char((F.lit(65) + F.col("l_partkey") % 26).cast("int"))
+    return li.select(
         F.col("l_orderkey").cast("string").alias("claim_id"),
         F.col("l_linenumber").cast("string").alias("service_line_number"),
-        F.concat(F.upper(F.substring("p_type", 1, 1)), F.col("l_partkey").cast("string"))
-         .alias("diagnosis_code"),
+        F.when(F.col("l_partkey") % 31 == 0, F.lit(None))
+         .otherwise(F.concat(F.when(F.col("l_partkey") % 29 == 0, F.lower(letter)).otherwise(letter),
+                             F.col("l_partkey").cast("string"))).alias("diagnosis_code"),
         F.to_date("l_shipdate").cast("string").alias("date_service"),
-        _money_text("l_extendedprice").alias("line_charge"),
+        (F.lit("100.00") if later else _money_text("l_extendedprice")).alias("line_charge"),
         allowed.cast("string").alias("line_allowed"),
         (F.lit(1900) + F.col("l_quantity")).cast("string").alias("patient_year_of_birth"),
         F.when(F.col("l_returnflag") == "R", "P").when(F.col("l_returnflag") == "A", "I")
          .otherwise("N").alias("claim_type"),
         F.when(F.col("l_linestatus") == "O", F.lpad(F.col("l_suppkey").cast("string"), 10, "0"))
          .otherwise(F.col("l_suppkey").cast("string")).alias("prov_rendering_npi"))
-    raw = raw.withColumns({"_ingested_at": F.current_timestamp(),
-                           "_source_file": F.lit("claims_table")})
-    out = _clean(spark, raw, _spec("claims", tiebreak=CLAIM_TIEBREAK))
-    return out.select("claim_line_id", "claim_id", "service_line_number", "diagnosis_code",
-                      "icd10_letter", "diagnosis_category", "date_service", "line_charge",
-                      "line_allowed", "cost_reduction", "patient_year_of_birth", "patient_age",
-                      "claim_type", "claim_type_decoded", "prov_rendering_npi", "is_valid_npi")
-
-
-QUERIES = {
-    "clean_patients": clean_patients,
-    "clean_encounters": clean_encounters,
-    "clean_conditions": clean_conditions,
-    "clean_medications": clean_medications,
-    "clean_observations": clean_observations,
-    "clean_procedures": clean_procedures,
-    "clean_claims": clean_claims,
+
+
+RAW = {"patients": raw_patients, "encounters": raw_encounters, "conditions": raw_conditions,
+       "medications": raw_medications, "observations": raw_observations,
+       "procedures": raw_procedures, "claims": raw_claims}
+
+COLUMNS = {
+    "patients": ["id", "birthdate", "deathdate", "gender", "patient_age", "is_deceased", "marital_status"],
+    "encounters": ["id", "start", "stop", "duration_minutes", "cost", "patient_id", "provider_id",
+                   "encounterclass", "encounter_year", "encounter_month"],
+    "conditions": ["condition_id", "start", "stop", "patient_id", "encounter_id", "condition_code",
+                   "condition_description"],
+    "medications": ["medication_id", "start", "stop", "patient_id", "encounter_id", "medication_code",
+                    "medication_description", "cost", "dispenses", "totalcost"],
+    "observations": ["observation_id", "date", "patient_id", "encounter_id", "observation_code",
+                     "observation_description", "type", "numeric_value", "text_value",
+                     "observation_year", "observation_month"],
+    "procedures": ["procedure_id", "date", "patient_id", "encounter_id", "procedure_code",
+                   "procedure_description", "cost", "procedure_year"],
+    "claims": ["claim_line_id", "claim_id", "service_line_number", "diagnosis_code", "icd10_letter",
+               "diagnosis_category", "date_service", "line_charge", "line_allowed", "cost_reduction",
+               "patient_year_of_birth", "patient_age", "claim_type", "claim_type_decoded",
+               "prov_rendering_npi", "is_valid_npi"],
 }
 
+
+def _batches(spark, sf_dir, name):
+    """Both raw batches, stamped with their ingest times."""
+    def one(later):
+        raw = RAW[name](spark, sf_dir, later)
+        if name != "claims":
+            raw = to_raw(raw, f"{name}.csv")
+        else:
+            raw = raw.withColumn("_source_file", F.lit("claims_table"))
+        return raw.withColumn("_ingested_at", F.lit(SECOND if later else FIRST).cast("timestamp"))
+    return one(False).unionByName(one(True))
+
+
+def _clean_query(name):
+    def query(spark, sf_dir):
+        db = scratch_db(spark, f"clin_{name}")
+        write_clean(_batches(spark, sf_dir, name), clinical_specs(as_of=AS_OF)[name], f"{db}.{name}")
+        return spark.table(f"{db}.{name}").select(*COLUMNS[name])
+    query.__name__ = f"clean_{name}"
+    query.__doc__ = f"T: two raw batches of {name}, the later one wins per key."
+    return query
+
+
+def rejected_values(spark, sf_dir):
+    """Values that could not be typed, per table and column, counted on the cleaning write."""
+    out = []
+    for name in ("encounters", "medications"):
+        db, seen = scratch_db(spark, f"rej_{name}"), Observation(f"rejected_{name}")
+        write_clean(_batches(spark, sf_dir, name), clinical_specs(as_of=AS_OF)[name], f"{db}.{name}", seen)
+        out += [(name, column, n) for column, n in seen.get.items()]
+    return spark.createDataFrame(out, "table_name string, column_name string, rejected long")
+
+
+# The other six raw tables of the layout; they are ingested, not cleaned.
+OTHERS = {"allergies": "nation", "careplans": "part", "imaging_studies": "region", "immunizations": "supplier",
+          "organizations": "region", "providers": "supplier"}
+_runs: dict = {}
+
+
+def _clinical_run(spark, sf_dir):
+    """Both batches landed as CSV (claims as a catalog table), run after run; once per session and input."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _runs:
+        raw, clean, summary, ctl = (scratch_db(spark, f"m1_{x}") for x in ("raw", "clean", "summary", "ctl"))
+        for later in (False, True):
+            land = scratch_path(spark, "m1-landing")
+            for name in RAW:
+                if name != "claims":
+                    RAW[name](spark, sf_dir, later).write.option("header", True).csv(f"{land}/{name}.csv")
+            for name, source in OTHERS.items():
+                if name != "providers" or not later:      # one table fails to arrive with the second batch
+                    t(spark, sf_dir, source).write.option("header", True).csv(f"{land}/{name}.csv")
+            write_table(raw_claims(spark, sf_dir, later), f"{ctl}.claims_source", mode="overwrite")
+            status = run_clinical_batch(spark, CsvSource(land, raw, "raw"), clean, summary,
+                                        claims_table=f"{ctl}.claims_source", as_of=AS_OF,
+                                        drift=(f"{ctl}.schema_registry", f"{ctl}.schema_drift_log"))
+        write_table(status, f"{ctl}.status", mode="overwrite")
+        _runs[key] = (summary, f"{ctl}.status")
+    return _runs[key]
+
+
+def clinical_run(spark, sf_dir):
+    """M1: status rows of the second run (12 CSV tables, claims, T1–T7, G1–G5, drift)."""
+    return spark.table(_clinical_run(spark, sf_dir)[1])
+
+
+def _model_query(name):
+    def query(spark, sf_dir):
+        return spark.table(f"{_clinical_run(spark, sf_dir)[0]}.{name}")
+    query.__name__ = f"clinical_{name}"
+    query.__doc__ = f"M1: the model {name} after the batch run."
+    return query
+
+
+MODELS = ("patient_summary", "encounter_summary", "condition_prevalence", "provider_metrics", "readmission_risk")
+
+QUERIES = {f"clean_{name}": _clean_query(name) for name in RAW}
+QUERIES |= {"rejected_values": rejected_values, "clinical_run": clinical_run}
+QUERIES |= {f"clinical_{name}": _model_query(name) for name in MODELS}
+
 _LINES = "(SELECT l.*, o.o_custkey FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"
-_DIAG_VALUES = ", ".join(f"('{k}', '{v}')" for k, v in DIAGNOSIS_LETTER_CATEGORY.items())
 _MONEY = "CAST(CAST({c} AS DECIMAL(12,2)) AS VARCHAR)"
 
 ORACLE = {
@@ -195,19 +264,20 @@ SELECT CAST(c_custkey AS VARCHAR) AS id, b AS birthdate,
        CASE WHEN c_acctbal >= 5000 THEN 'F' ELSE 'M' END AS gender,
        CAST(TRUNC(date_diff('day', b, DATE '2024-06-30') / 365.0) AS INTEGER) AS patient_age,
        c_acctbal < 0 AS is_deceased,
-       CASE c_mktsegment WHEN 'MACHINERY' THEN 'Married' WHEN 'BUILDING' THEN 'Single'
-            ELSE 'Unknown' END AS marital_status
+       CASE WHEN c_custkey % 3 = 0 OR c_mktsegment = 'MACHINERY' THEN 'Married'
+            WHEN c_mktsegment = 'BUILDING' THEN 'Single' ELSE 'Unknown' END AS marital_status
 FROM r
 """,
     "clean_encounters": f"""
 WITH r AS (
-  SELECT *, CAST(TRUNC(o_totalprice / 10) AS BIGINT) AS secs FROM orders)
+  SELECT *, CASE WHEN o_orderkey % 7 = 0 THEN TIMESTAMP '9999-12-31'
+                 ELSE o_orderdate + to_seconds(CAST(TRUNC(o_totalprice / 10) AS BIGINT)) END AS stop
+  FROM orders)
 SELECT CAST(o_orderkey AS VARCHAR) AS id,
-       CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderdate END AS start,
-       o_orderdate + to_seconds(secs) AS stop,
+       CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderdate END AS start, stop,
        CASE WHEN o_orderstatus = 'P' THEN NULL
-            ELSE CAST(TRUNC(secs / 60.0) AS INTEGER) END AS duration_minutes,
-       TRY_CAST({_MONEY.format(c='o_totalprice')} AS DOUBLE) AS cost,
+            ELSE (epoch_us(stop) - epoch_us(o_orderdate)) // 60000000 END AS duration_minutes,
+       CASE WHEN o_orderkey % 5 = 0 THEN 12.5 ELSE TRY_CAST({_MONEY.format(c='o_totalprice')} AS DOUBLE) END AS cost,
        CAST(o_custkey AS VARCHAR) AS patient_id, o_orderpriority AS provider_id,
        o_orderstatus AS encounterclass,
        CASE WHEN o_orderstatus = 'P' THEN NULL ELSE CAST(year(o_orderdate) AS INTEGER) END
@@ -218,105 +288,159 @@ FROM r
 """,
     "clean_conditions": f"""
 WITH r AS (
-  SELECT CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS s, CAST(o_custkey AS VARCHAR) AS p,
-         CAST(l_orderkey AS VARCHAR) AS e, l_returnflag AS code, l_linestatus AS descr
-  FROM {_LINES} x),
-k AS (SELECT *, md5(concat_ws('_', p, e, code, s)) AS condition_id FROM r)
-SELECT condition_id, CAST(s AS DATE) AS start, CAST(NULL AS DATE) AS stop, p AS patient_id,
-       e AS encounter_id, code AS condition_code, descr AS condition_description
-FROM k
-QUALIFY row_number() OVER (PARTITION BY condition_id ORDER BY descr DESC NULLS LAST) = 1
+  SELECT CAST(l_shipdate AS DATE) AS s, CAST(o_custkey AS VARCHAR) AS p, l_orderkey AS k,
+         CAST(l_orderkey AS VARCHAR) AS e, l_returnflag AS code, max(l_linestatus) AS descr
+  FROM {_LINES} x GROUP BY ALL)
+SELECT md5(p || '_' || e || '_' || code || '_' || CAST(s AS VARCHAR)) AS condition_id, s AS start,
+       s + 10 AS stop, p AS patient_id, e AS encounter_id, code AS condition_code,
+       CASE WHEN k % 5 = 0 THEN 'revised' ELSE descr END AS condition_description
+FROM r
 """,
     "clean_medications": f"""
 WITH r AS (
-  SELECT CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS s,
-         CAST(l_shipdate AS DATE) + 30 AS stop,
-         CAST(o_custkey AS VARCHAR) AS p, CAST(l_orderkey AS VARCHAR) AS e,
-         CAST(l_partkey AS VARCHAR) AS code, l_returnflag AS descr,
-         TRY_CAST({_MONEY.format(c='l_extendedprice')} AS DOUBLE) AS cost,
-         TRY_CAST(TRUNC(TRY_CAST(CAST(l_quantity AS VARCHAR) AS DECIMAL(20,4))) AS INTEGER)
-           AS dispenses,
-         l_tax AS totalcost
-  FROM {_LINES} x),
-k AS (SELECT *, md5(concat_ws('_', p, e, code, s)) AS medication_id FROM r)
-SELECT medication_id, CAST(s AS DATE) AS start, stop, p AS patient_id, e AS encounter_id,
-       code AS medication_code, descr AS medication_description, cost, dispenses, totalcost
-FROM k
-QUALIFY row_number() OVER (PARTITION BY medication_id
-  ORDER BY cost DESC NULLS LAST, dispenses DESC NULLS LAST, descr DESC NULLS LAST) = 1
+  SELECT CAST(l_shipdate AS DATE) AS s, CAST(o_custkey AS VARCHAR) AS p, l_orderkey AS k,
+         CAST(l_orderkey AS VARCHAR) AS e, CAST(l_partkey AS VARCHAR) AS code, max(l_returnflag) AS descr,
+         max(l_extendedprice) AS price, max(l_quantity) AS quantity, max(l_tax) AS tax
+  FROM {_LINES} x GROUP BY ALL)
+SELECT md5(p || '_' || e || '_' || code || '_' || CAST(s AS VARCHAR)) AS medication_id, s AS start,
+       s + 30 AS stop, p AS patient_id, e AS encounter_id, code AS medication_code,
+       descr AS medication_description, TRY_CAST({_MONEY.format(c='price')} AS DOUBLE) AS cost,
+       CASE WHEN k % 5 = 0 THEN 7 ELSE CAST(FLOOR(quantity) AS INTEGER) END AS dispenses, tax AS totalcost
+FROM r
 """,
     "clean_observations": """
 WITH r AS (
-  SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS d, CAST(user_id AS VARCHAR) AS p,
-         event_type AS code,
-         CASE WHEN event_type IN ('purchase', 'click') THEN CAST(value AS VARCHAR)
-              ELSE props END AS v,
-         CASE WHEN event_type IN ('purchase', 'click') THEN 'numeric'
-              WHEN event_type = 'view' THEN 'text' ELSE event_type END AS type
-  FROM events),
-k AS (
-  SELECT *, md5(concat_ws('_', p, NULL, code, d)) AS observation_id,
-         CASE WHEN type = 'numeric' THEN TRY_CAST(v AS DOUBLE) END AS numeric_value,
-         CASE WHEN type = 'text' THEN v END AS text_value
-  FROM r)
-SELECT observation_id, CAST(d AS DATE) AS date, p AS patient_id,
-       CAST(NULL AS VARCHAR) AS encounter_id, code AS observation_code,
-       code AS observation_description, type, numeric_value, text_value,
-       CAST(year(CAST(d AS DATE)) AS INTEGER) AS observation_year,
-       CAST(month(CAST(d AS DATE)) AS INTEGER) AS observation_month
-FROM k
-QUALIFY row_number() OVER (PARTITION BY observation_id
-  ORDER BY numeric_value DESC NULLS LAST, text_value DESC NULLS LAST) = 1
+  SELECT CAST(ts AS DATE) AS d, user_id, event_type AS code, max(value) AS value, max(props) AS props
+  FROM events GROUP BY ALL)
+SELECT md5(CAST(user_id AS VARCHAR) || '_v' || CAST(user_id AS VARCHAR) || '_' || code || '_' || CAST(d AS VARCHAR))
+         AS observation_id,
+       d AS date, CAST(user_id AS VARCHAR) AS patient_id, 'v' || CAST(user_id AS VARCHAR) AS encounter_id,
+       code AS observation_code, CASE WHEN user_id % 3 = 0 THEN 'revised' ELSE code END AS observation_description,
+       CASE WHEN code IN ('purchase', 'click') THEN 'numeric' WHEN code = 'view' THEN 'text' ELSE code END AS type,
+       CASE WHEN code IN ('purchase', 'click') THEN value END AS numeric_value,
+       CASE WHEN code = 'view' THEN props END AS text_value,
+       CAST(year(d) AS INTEGER) AS observation_year, CAST(month(d) AS INTEGER) AS observation_month
+FROM r
 """,
     "clean_procedures": f"""
 WITH r AS (
-  SELECT CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS d, CAST(o_custkey AS VARCHAR) AS p,
-         CAST(l_orderkey AS VARCHAR) AS e, l_returnflag || l_linestatus AS code,
-         TRY_CAST({_MONEY.format(c='l_extendedprice')} AS DOUBLE) AS cost
-  FROM {_LINES} x),
-k AS (SELECT *, md5(concat_ws('_', p, e, code, d)) AS procedure_id FROM r)
-SELECT procedure_id, CAST(d AS DATE) AS date, p AS patient_id, e AS encounter_id,
-       code AS procedure_code, 'line service' AS procedure_description, cost,
-       CAST(year(CAST(d AS DATE)) AS INTEGER) AS procedure_year
-FROM k
-QUALIFY row_number() OVER (PARTITION BY procedure_id ORDER BY cost DESC NULLS LAST) = 1
+  SELECT CAST(l_shipdate AS DATE) AS d, CAST(o_custkey AS VARCHAR) AS p, l_orderkey AS k,
+         CAST(l_orderkey AS VARCHAR) AS e, l_returnflag || l_linestatus AS code, max(l_extendedprice) AS price
+  FROM {_LINES} x GROUP BY ALL)
+SELECT md5(p || '_' || e || '_' || code || '_' || CAST(d AS VARCHAR)) AS procedure_id, d AS date,
+       p AS patient_id, e AS encounter_id, code AS procedure_code, 'line service' AS procedure_description,
+       CASE WHEN k % 5 = 0 THEN 3.25 ELSE TRY_CAST({_MONEY.format(c='price')} AS DOUBLE) END AS cost,
+       CAST(year(d) AS INTEGER) AS procedure_year
+FROM r
 """,
+    # The categories below are fixed values, written out on their own here.
     "clean_claims": f"""
-WITH r AS (
-  SELECT CAST(l.l_orderkey AS VARCHAR) AS claim_id,
-         l.l_linenumber AS service_line_number,
-         upper(substr(p.p_type, 1, 1)) || CAST(l.l_partkey AS VARCHAR) AS diagnosis_code,
-         CAST(l.l_shipdate AS DATE) AS date_service,
-         TRY_CAST({_MONEY.format(c='l.l_extendedprice')} AS DECIMAL(10,2)) AS line_charge,
-         TRY_CAST(CAST(CAST(l.l_extendedprice AS DECIMAL(12,2))
-                       * (1 - CAST(l.l_discount AS DECIMAL(4,2))) AS VARCHAR)
+WITH g AS (
+  SELECT l_orderkey, l_linenumber, max(l_partkey) AS part, max(l_suppkey) AS supp, max(l_quantity) AS q,
+         max(l_extendedprice) AS price, max(l_discount) AS discount, max(l_returnflag) AS flag,
+         max(l_linestatus) AS status, max(l_shipdate) AS ship
+  FROM lineitem GROUP BY ALL),
+r AS (
+  SELECT CAST(l_orderkey AS VARCHAR) AS claim_id, l_linenumber AS service_line_number,
+         CASE WHEN part % 31 = 0 THEN NULL
+              WHEN part % 29 = 0 THEN lower(chr(CAST(65 + part % 26 AS INTEGER))) || part
+              ELSE chr(CAST(65 + part % 26 AS INTEGER)) || part END AS diagnosis_code,
+         CAST(ship AS DATE) AS date_service,
+         CASE WHEN l_orderkey % 5 = 0 THEN CAST(100 AS DECIMAL(10,2))
+              ELSE TRY_CAST({_MONEY.format(c='price')} AS DECIMAL(10,2)) END AS line_charge,
+         TRY_CAST(CAST(CAST(price AS DECIMAL(12,2)) * (1 - CAST(discount AS DECIMAL(4,2))) AS VARCHAR)
                   AS DECIMAL(10,2)) AS line_allowed,
-         TRY_CAST(TRUNC(TRY_CAST(CAST(1900 + l.l_quantity AS VARCHAR) AS DECIMAL(20,4)))
-                  AS INTEGER) AS patient_year_of_birth,
-         CASE l.l_returnflag WHEN 'R' THEN 'P' WHEN 'A' THEN 'I' ELSE 'N' END AS claim_type,
-         CASE WHEN l.l_linestatus = 'O' THEN lpad(CAST(l.l_suppkey AS VARCHAR), 10, '0')
-              ELSE CAST(l.l_suppkey AS VARCHAR) END AS prov_rendering_npi
-  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey),
-k AS (
-  SELECT *, md5(concat_ws('_', claim_id, service_line_number, diagnosis_code)) AS claim_line_id
-  FROM r),
-latest AS (
-  SELECT * FROM k
-  QUALIFY row_number() OVER (PARTITION BY claim_line_id
-    ORDER BY line_charge DESC NULLS LAST, line_allowed DESC NULLS LAST,
-             date_service DESC NULLS LAST, prov_rendering_npi DESC NULLS LAST,
-             claim_type DESC NULLS LAST, patient_year_of_birth DESC NULLS LAST) = 1)
-SELECT claim_line_id, claim_id, CAST(service_line_number AS INTEGER) AS service_line_number,
-       diagnosis_code, substr(diagnosis_code, 1, 1) AS icd10_letter, m.diagnosis_category,
-       date_service, line_charge, line_allowed, line_charge - line_allowed AS cost_reduction,
-       patient_year_of_birth, CAST(2024 - patient_year_of_birth AS INTEGER) AS patient_age,
-       claim_type,
-       CASE claim_type WHEN 'P' THEN 'Professional' WHEN 'I' THEN 'Institutional' END
-         AS claim_type_decoded,
-       prov_rendering_npi,
-       COALESCE(regexp_full_match(prov_rendering_npi, '[0-9]{{10}}'), FALSE) AS is_valid_npi
-FROM latest
-LEFT JOIN (VALUES {_DIAG_VALUES}) AS m(icd10_letter, diagnosis_category)
-  ON substr(diagnosis_code, 1, 1) = m.icd10_letter
+         CAST(1900 + FLOOR(q) AS INTEGER) AS patient_year_of_birth,
+         CASE flag WHEN 'R' THEN 'P' WHEN 'A' THEN 'I' ELSE 'N' END AS claim_type,
+         CASE WHEN status = 'O' THEN lpad(CAST(supp AS VARCHAR), 10, '0') ELSE CAST(supp AS VARCHAR) END
+           AS prov_rendering_npi
+  FROM g)
+SELECT md5(concat_ws('_', claim_id, service_line_number, diagnosis_code)) AS claim_line_id, claim_id,
+       CAST(service_line_number AS INTEGER) AS service_line_number, diagnosis_code,
+       substr(diagnosis_code, 1, 1) AS icd10_letter, m.diagnosis_category, date_service, line_charge,
+       line_allowed, line_charge - line_allowed AS cost_reduction, patient_year_of_birth,
+       CAST(2024 - patient_year_of_birth AS INTEGER) AS patient_age, claim_type,
+       CASE claim_type WHEN 'P' THEN 'Professional' WHEN 'I' THEN 'Institutional' END AS claim_type_decoded,
+       prov_rendering_npi, length(prov_rendering_npi) = 10 AS is_valid_npi
+FROM r
+LEFT JOIN (VALUES ('A', 'Infectious Diseases'), ('B', 'Infectious Diseases'),
+  ('C', 'Neoplasms / Blood Diseases'), ('D', 'Neoplasms / Blood Diseases'), ('E', 'Endocrine / Metabolic'),
+  ('F', 'Mental / Behavioral'), ('G', 'Nervous System'), ('H', 'Eye / Ear'), ('I', 'Circulatory System'),
+  ('J', 'Respiratory'), ('K', 'Digestive'), ('L', 'Skin'), ('M', 'Musculoskeletal'), ('N', 'Genitourinary'),
+  ('O', 'Pregnancy'), ('P', 'Perinatal'), ('Q', 'Congenital'), ('R', 'Abnormal Findings'),
+  ('S', 'Injury / Poisoning'), ('T', 'Injury / Poisoning'), ('V', 'External Causes'), ('W', 'External Causes'),
+  ('X', 'External Causes'), ('Y', 'External Causes'), ('Z', 'Health Services / Factors'))
+  AS m(icd10_letter, diagnosis_category) ON substr(diagnosis_code, 1, 1) = m.icd10_letter
+""",
+    "rejected_values": """
+SELECT * FROM (VALUES ('encounters', 'cost', 0), ('encounters', 'stop', 0), ('medications', 'start', 0),
+  ('medications', 'stop', 0), ('medications', 'cost', 0), ('medications', 'dispenses', 0),
+  ('medications', 'totalcost', 0)) AS v(table_name, column_name, rejected)
+UNION ALL
+SELECT 'encounters', 'start',
+       COUNT(*) FILTER (o_orderstatus = 'P') + COUNT(*) FILTER (o_orderstatus = 'P' AND o_orderkey % 5 = 0)
+FROM orders
 """,
 }
+
+_P, _E, _C = ORACLE["clean_patients"], ORACLE["clean_encounters"], ORACLE["clean_conditions"]
+_CLEAN = f"WITH p AS ({_P}), e AS ({_E}), c AS ({_C})"
+
+ORACLE |= {
+    "clinical_patient_summary": f"""
+{_CLEAN},
+ev AS (SELECT patient_id, COUNT(id) AS total_encounters, ROUND(SUM(cost), 2) AS total_spend,
+              MIN(CAST(start AS DATE)) AS first_encounter_date, MAX(CAST(start AS DATE)) AS last_encounter_date
+       FROM e GROUP BY 1),
+co AS (SELECT patient_id, COUNT(DISTINCT condition_code) AS unique_conditions FROM c GROUP BY 1)
+SELECT p.id, total_encounters, unique_conditions, total_spend, first_encounter_date, last_encounter_date,
+       patient_age, gender, is_deceased, marital_status
+FROM p LEFT JOIN ev ON p.id = ev.patient_id LEFT JOIN co ON p.id = co.patient_id
+""",
+    "clinical_encounter_summary": f"""
+{_CLEAN}
+SELECT e.id AS encounter_id, e.patient_id, e.start AS encounter_start, e.stop AS encounter_end,
+       duration_minutes, cost AS encounter_cost, encounterclass AS encounter_class, condition_code,
+       condition_description, condition_code IS NOT NULL AS has_condition, patient_age, gender,
+       encounter_year, encounter_month
+FROM e LEFT JOIN c ON e.id = c.encounter_id JOIN p ON e.patient_id = p.id
+""",
+    "clinical_condition_prevalence": f"""
+{_CLEAN}
+SELECT condition_code, condition_description, COUNT(DISTINCT patient_id) AS patient_count,
+       (SELECT COUNT(*) FROM p) AS total_patients,
+       CAST(ROUND(COUNT(DISTINCT patient_id) * 100.0 / (SELECT COUNT(*) FROM p), 2) AS DECIMAL(27,2)) AS prevalence_pct
+FROM c GROUP BY 1, 2
+""",
+    "clinical_provider_metrics": f"""
+{_CLEAN}
+SELECT provider_id, COUNT(id) AS total_encounters, COUNT(DISTINCT patient_id) AS count_patients,
+       ROUND(AVG(duration_minutes), 2) AS avg_duration_minutes, ROUND(SUM(cost), 2) AS total_cost
+FROM e GROUP BY 1
+""",
+    "clinical_readmission_risk": f"""
+{_CLEAN},
+n AS (SELECT id AS encounter_id, patient_id, start AS encounter_start,
+             LEAD(start) OVER (PARTITION BY patient_id ORDER BY start NULLS FIRST, id) AS next_encounter_date
+      FROM e)
+SELECT *, CAST(date_diff('day', CAST(encounter_start AS DATE), CAST(next_encounter_date AS DATE)) AS INTEGER)
+         AS days_to_next_encounter,
+       COALESCE(date_diff('day', CAST(encounter_start AS DATE), CAST(next_encounter_date AS DATE)) <= 30, FALSE)
+         AS is_readmission_risk
+FROM n
+""",
+}
+
+_COUNT = {"patients": "FROM customer WHERE c_custkey % 3 = 0", "encounters": "FROM orders WHERE o_orderkey % 5 = 0",
+          "conditions": f"FROM (SELECT DISTINCT o_custkey, l_orderkey, l_returnflag, l_shipdate FROM {_LINES} WHERE l_orderkey % 5 = 0)",
+          "medications": f"FROM (SELECT DISTINCT o_custkey, l_orderkey, l_partkey, l_shipdate FROM {_LINES} WHERE l_orderkey % 5 = 0)",
+          "observations": "FROM (SELECT DISTINCT CAST(ts AS DATE), user_id, event_type FROM events WHERE user_id % 3 = 0)",
+          "procedures": f"FROM (SELECT DISTINCT o_custkey, l_orderkey, l_returnflag, l_linestatus, l_shipdate FROM {_LINES} WHERE l_orderkey % 5 = 0)",
+          "claims": "FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey % 5 = 0)"}
+_STATUS = [f"SELECT '{n}' AS table_name, 'raw' AS layer, 'ok' AS status, COUNT(*) AS row_count {q}" for n, q in _COUNT.items()]
+_STATUS += [f"SELECT '{n}', 'raw', 'ok', COUNT(*) FROM {s}" for n, s in OTHERS.items() if n != "providers"]
+_STATUS += ["SELECT 'providers', 'raw', 'error', CAST(NULL AS BIGINT)"]
+_STATUS += [f"SELECT '{n}', 'clean', 'ok', COUNT(*) FROM ({ORACLE[f'clean_{n}']})" for n in RAW]
+_STATUS += [f"SELECT '{n}', 'summary', 'ok', COUNT(*) FROM ({ORACLE[f'clinical_{n}']})" for n in MODELS]
+_STATUS += ["SELECT 'schema_drift', 'raw', 'ok', 0", "SELECT 'schema_drift', 'clean', 'ok', 0"]
+ORACLE["clinical_run"] = "\nUNION ALL\n".join(_STATUS)

@@ -9,7 +9,7 @@ from ..functions import (age_from_date, age_from_year, cast_columns, decode,
                          minutes_between, null_if_token, parse_timestamp,
                          surrogate_key, to_date, truncate_int, try_cast, year_month)
 from ..operators import (distinct_on, frequency, keep_latest, keyed_diff, lookup,
-                         normalise, preview, split_by_tag, uppercase_columns)
+                         normalise, preview, split_by_tag)
 from ..functions.dates import prefix
 from .common import AS_OF, iso_z_text, order_lines, t
 
@@ -50,8 +50,11 @@ def cast_matrix(spark, sf_dir):
     """Null-tolerant casts of text, with junk for partial orders."""
     o = t(spark, sf_dir, "orders")
     text = F.when(F.col("o_orderstatus") == "P", F.lit("n/a")).otherwise(_price_text("o_totalprice"))
+    k = F.col("o_orderkey") % 7
+    whole = (F.when(k == 0, "1.99999").when(k == 1, "-0.99996").when(k == 2, "99999999999.5")
+              .when(k == 3, "1.9x").when(k == 4, "1.25e3").otherwise(_price_text("o_totalprice")))
     raw = o.select("o_orderkey", "o_totalprice", "o_orderdate",
-                   text.alias("as_double"), text.alias("as_int"), text.alias("as_decimal"),
+                   text.alias("as_double"), whole.alias("as_int"), text.alias("as_decimal"),
                    F.concat(F.lit("9999"), _price_text("o_totalprice")).alias("overflow_decimal"))
     typed = cast_columns(raw, {"as_double": "double", "as_int": "int",
                                "as_decimal": "decimal(10,2)", "overflow_decimal": "decimal(10,2)"})
@@ -115,7 +118,8 @@ def duration_minutes(spark, sf_dir):
     """DER3: whole minutes, truncated toward zero (also for negative spans)."""
     lines = order_lines(spark, sf_dir).select(
         "l_orderkey", "l_linenumber",
-        minutes_between("o_orderdate", "l_shipdate").alias("ship_minutes"))
+        minutes_between("o_orderdate", "l_shipdate").alias("ship_minutes"),
+        minutes_between("o_orderdate", F.lit("9999-12-31 23:59:30").cast("timestamp_ntz")).alias("open_minutes"))
     return lines
 
 
@@ -170,7 +174,7 @@ def value_frequency(spark, sf_dir):
 def anti_join(spark, sf_dir):
     """Orders that have no line items."""
     o = t(spark, sf_dir, "orders")
-    li = t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    li = t(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")).distinct()
     return o.join(li, on="o_orderkey", how="left_anti")
 
 
@@ -203,7 +207,8 @@ def code_mapping(spark, sf_dir):
 
 def normalise_columns(spark, sf_dir):
     """Mixed-case source → lower-case, renamed, PII dropped, derived."""
-    c = uppercase_columns(t(spark, sf_dir, "customer"))
+    c = t(spark, sf_dir, "customer")
+    c = c.toDF(*[n.upper() for n in c.columns])
     n = normalise(c, rename={"c_custkey": "customer_id", "c_mktsegment": "segment"},
                   drop=("c_name",))
     nat = t(spark, sf_dir, "nation").alias("n")
@@ -265,7 +270,8 @@ WITH x AS (
   FROM orders)
 SELECT o_orderkey,
        TRY_CAST(txt AS DOUBLE) AS as_double,
-       TRY_CAST(TRUNC(TRY_CAST(txt AS DECIMAL(20,4))) AS INTEGER) AS as_int,
+       CASE o_orderkey % 7 WHEN 0 THEN 1 WHEN 1 THEN 0 WHEN 2 THEN NULL WHEN 3 THEN NULL WHEN 4 THEN 1250
+            ELSE CAST(FLOOR(CAST(o_totalprice AS DECIMAL(12,2))) AS INTEGER) END AS as_int,
        TRY_CAST(txt AS DECIMAL(10,2)) AS as_decimal,
        TRY_CAST(big AS DECIMAL(10,2)) AS overflow_decimal,
        TRY_CAST(TRUNC(o_totalprice) AS INTEGER) AS price_int,
@@ -319,15 +325,16 @@ FROM x
 """,
     "duration_minutes": """
 SELECT l.l_orderkey, l.l_linenumber,
-       CAST(TRUNC((FLOOR(epoch(l.l_shipdate)) - FLOOR(epoch(o.o_orderdate))) / 60.0) AS INTEGER)
-         AS ship_minutes
+       CAST(TRUNC((FLOOR(epoch(l.l_shipdate)) - FLOOR(epoch(o.o_orderdate))) / 60.0) AS BIGINT)
+         AS ship_minutes,
+       (epoch_us(TIMESTAMP '9999-12-31 23:59:30') - epoch_us(o.o_orderdate)) // 60000000 AS open_minutes
 FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 """,
     "event_minutes": """
 SELECT event_id,
-       CAST(TRUNC((FLOOR(epoch(date_trunc('day', ts))) - FLOOR(epoch(ts))) / 60.0) AS INTEGER)
+       CAST(TRUNC((FLOOR(epoch(date_trunc('day', ts))) - FLOOR(epoch(ts))) / 60.0) AS BIGINT)
          AS minutes_to_midnight,
-       CAST(TRUNC((FLOOR(epoch(ts)) - FLOOR(epoch(date_trunc('day', ts)))) / 60.0) AS INTEGER)
+       CAST(TRUNC((FLOOR(epoch(ts)) - FLOOR(epoch(date_trunc('day', ts)))) / 60.0) AS BIGINT)
          AS minutes_since_midnight
 FROM events
 """,
@@ -390,7 +397,7 @@ FROM lineitem l LEFT JOIN part p ON l.l_partkey = p.p_partkey
     "normalise_columns": """
 SELECT c.c_custkey AS customer_id, c.c_nationkey, c.c_acctbal, c.c_mktsegment AS segment,
        n.n_name AS nation_name,
-       TRY_CAST(TRUNC(TRY_CAST(c.c_acctbal AS DECIMAL(20,4))) AS INTEGER) AS acctbal_int
+       CAST(TRUNC(c.c_acctbal) AS INTEGER) AS acctbal_int
 FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
 """,
 }

@@ -66,17 +66,18 @@ def table_scan(spark, sf_dir):
     previous = spark.catalog.currentDatabase()
     use_database(spark, db)
     try:
-        if not table_exists(spark, f"{db}.orders"):
-            raise RuntimeError("table was not created")
-        ingest_table_source(spark, f"{db}.orders", f"{db}.raw_orders")
+        # an unqualified name: found only in the namespace just selected
+        if not table_exists(spark, "orders"):
+            raise RuntimeError("table was not created, or the namespace was not selected")
+        ingest_table_source(spark, "orders", f"{db}.raw_orders")
     finally:
         use_database(spark, previous)
     view = f"src_orders_{db}"
     register_sources(spark, {view: f"{db}.raw_orders"})
     return spark.sql(f"""
-        SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate,
-               _ingested_at IS NOT NULL AS has_stamp
-        FROM {view} WHERE o_orderstatus = 'F'""")
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+               _ingested_at IS NOT NULL AS has_stamp, endswith(_source_file, 'orders') AS from_orders
+        FROM {view}""")
 
 
 def append_roundtrip(spark, sf_dir):
@@ -102,12 +103,13 @@ def scoped_replace(spark, sf_dir):
     """Replace one scope, empty another, leave the rest untouched."""
     db = scratch_db(spark, "scope")
     tbl = f"{db}.customers"
-    c = t(spark, sf_dir, "customer")
+    c = t(spark, sf_dir, "customer").withColumn("c_mktsegment", F.when(
+        F.col("c_mktsegment") != "MACHINERY", F.col("c_mktsegment")).otherwise(F.lit("O'MACHINE")))
     replace_scope(c, tbl, "c_mktsegment")
     replace_scope(c.filter((F.col("c_mktsegment") == "BUILDING") & (F.col("c_acctbal") > 0)),
                   tbl, "c_mktsegment", "BUILDING")
-    replace_scope(c.filter(F.col("c_mktsegment") == "MACHINERY").filter(F.lit(False)),
-                  tbl, "c_mktsegment", "MACHINERY")
+    replace_scope(c.filter(F.col("c_mktsegment") == "O'MACHINE").filter(F.lit(False)),
+                  tbl, "c_mktsegment", "O'MACHINE")
     return spark.table(tbl)
 
 
@@ -116,10 +118,12 @@ def append_evolve(spark, sf_dir):
     db = scratch_db(spark, "evolve")
     tbl = f"{db}.orders"
     o = t(spark, sf_dir, "orders")
+    append_evolving(o.filter(F.lit(False)), tbl)
+    made = table_exists(spark, tbl)
     append_evolving(o.filter(F.col("o_orderstatus") == "F").drop("o_orderpriority"), tbl)
     append_evolving(o.filter(F.col("o_orderstatus") != "F"), tbl)
     append_evolving(o.filter(F.lit(False)), tbl)
-    return spark.table(tbl)
+    return spark.table(tbl).withColumn("made_by_empty_batch", F.lit(made))
 
 
 def materialise_model(spark, sf_dir):
@@ -178,30 +182,35 @@ def upsert_q(spark, sf_dir):
 
 
 def upsert_partitioned(spark, sf_dir):
-    """E1 at scale: the table is partitioned by order year (fixed per order), so
-    the second batch reads and rewrites only the years it touches."""
+    """E1 at scale: only touched partitions are rewritten. The year is NULL for
+    some orders, and some orders move to the next year with the second batch."""
     db = scratch_db(spark, "upsertp")
     tbl = f"{db}.orders"
-    o = t(spark, sf_dir, "orders").withColumn("order_year", F.year("o_orderdate"))
+    o = t(spark, sf_dir, "orders")
+    year = F.when(F.col("o_orderstatus") != "P", F.year("o_orderdate"))
+    moved = F.when(F.col("o_orderkey") % 10 == 0, year + 1).otherwise(year)
     b1 = o.filter(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")) \
-          .withColumn("batch_no", F.lit(1))
+          .withColumns({"batch_no": F.lit(1), "order_year": year})
     b2 = (o.filter(F.col("o_orderdate") >= F.lit("1997-01-01").cast("timestamp_ntz"))
+           .filter(~((F.col("o_orderstatus") == "P") & (F.col("o_custkey") % 2 == 1)))
            .withColumn("o_orderpriority",
                        F.when(F.col("o_orderstatus") == "O", F.lit("1-URGENT"))
                         .otherwise(F.col("o_orderpriority")))
-           .withColumn("batch_no", F.lit(2)))
+           .withColumns({"batch_no": F.lit(2), "order_year": moved}))
     upsert(b1, tbl, "o_orderkey", "batch_no", partition_by=["order_year"], scoped=True)
     upsert(b2, tbl, "o_orderkey", "batch_no", partition_by=["order_year"], scoped=True)
     return spark.table(tbl)
 
 
 def incremental_read(spark, sf_dir):
-    """E2 (batch): two snapshots; the second run appends only rows past the mark."""
+    """E2 (batch): stamps are months, so the second snapshot brings rows with the
+    mark's own stamp; some rows have no stamp; the third run finds nothing new."""
     db = scratch_db(spark, "incr")
-    o = t(spark, sf_dir, "orders")
-    first = o.filter(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
-    incremental_append(first, "o_orderdate", f"{db}.orders", f"{db}.marks", "orders")
-    incremental_append(o, "o_orderdate", f"{db}.orders", f"{db}.marks", "orders")
+    o = t(spark, sf_dir, "orders").withColumn(
+        "stamp", F.when(F.col("o_orderkey") % 97 != 0, F.trunc("o_orderdate", "month")))
+    first = o.filter(F.col("o_orderdate") < F.lit("1997-12-15").cast("timestamp_ntz"))
+    for snapshot in (first, o, o):
+        incremental_append(snapshot, "stamp", f"{db}.orders", f"{db}.marks", "orders", keys="o_orderkey")
     return spark.table(f"{db}.orders").drop("_since")
 
 
@@ -261,8 +270,9 @@ UNION ALL SELECT 'orders', 'ok', COUNT(*) FROM orders
 UNION ALL SELECT 'claims', 'error', CAST(NULL AS BIGINT)
 """,
     "table_scan": """
-SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, TRUE AS has_stamp
-FROM orders WHERE o_orderstatus = 'F'
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+       TRUE AS has_stamp, TRUE AS from_orders
+FROM orders
 """,
     "append_roundtrip": "SELECT * FROM orders UNION ALL SELECT * FROM orders",
     "overwrite_partitioned": """
@@ -276,9 +286,9 @@ WHERE (c_mktsegment <> 'BUILDING' OR c_acctbal > 0) AND c_mktsegment <> 'MACHINE
 """,
     "append_evolve": f"""
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
-       CAST(NULL AS VARCHAR) AS o_orderpriority
+       CAST(NULL AS VARCHAR) AS o_orderpriority, FALSE AS made_by_empty_batch
 FROM orders WHERE o_orderstatus = 'F'
-UNION ALL SELECT {_ORDERS_COLS} FROM orders WHERE o_orderstatus <> 'F'
+UNION ALL SELECT {_ORDERS_COLS}, FALSE FROM orders WHERE o_orderstatus <> 'F'
 """,
     "observed_count": "SELECT COUNT(*) AS rows_written, COUNT(*) AS rows_in_table FROM lineitem",
     "schema_drift": """
@@ -299,15 +309,19 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
 FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01'
 """,
     "upsert_partitioned": f"""
-SELECT {_ORDERS_COLS}, 1 AS batch_no, CAST(year(o_orderdate) AS INTEGER) AS order_year
-FROM orders WHERE o_orderdate < TIMESTAMP '1997-01-01'
-UNION ALL
+WITH o AS (SELECT *, o_orderdate >= TIMESTAMP '1997-01-01'
+                     AND NOT (o_orderstatus = 'P' AND o_custkey % 2 = 1) AS second FROM orders)
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
-       CASE WHEN o_orderstatus = 'O' THEN '1-URGENT' ELSE o_orderpriority END, 2,
-       CAST(year(o_orderdate) AS INTEGER)
-FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01'
+       CASE WHEN second AND o_orderstatus = 'O' THEN '1-URGENT' ELSE o_orderpriority END AS o_orderpriority,
+       CASE WHEN second THEN 2 ELSE 1 END AS batch_no,
+       CAST(CASE WHEN o_orderstatus <> 'P'
+                 THEN year(o_orderdate) + CASE WHEN second AND o_orderkey % 10 = 0 THEN 1 ELSE 0 END END AS INTEGER)
+         AS order_year
+FROM o WHERE second OR o_orderdate < TIMESTAMP '1998-01-01'
+""",
+    "incremental_read": """
+SELECT *, CASE WHEN o_orderkey % 97 <> 0 THEN CAST(date_trunc('month', o_orderdate) AS DATE) END AS stamp FROM orders
 """,
-    "incremental_read": "SELECT * FROM orders",
     "stream_ingest": "SELECT * FROM orders",
     "quality_checks": """
 SELECT (SELECT COUNT(*) FROM lineitem) AS row_count,

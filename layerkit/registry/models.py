@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.dates import minutes_between
-from ..operators.joins import bounded_broadcast
 from ..plans import gold
 from .common import money, order_lines, t
 
@@ -74,7 +73,7 @@ def part_prevalence(spark, sf_dir):
     """Share of all customers that bought each (brand, type)."""
     part = t(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
     lines = order_lines(spark, sf_dir).select("l_partkey", "o_custkey")
-    facts = lines.join(bounded_broadcast(part), lines["l_partkey"] == part["p_partkey"], "inner")
+    facts = lines.join(part, lines["l_partkey"] == part["p_partkey"], "inner")
     out = gold.prevalence(facts, t(spark, sf_dir, "customer"), ["p_brand", "p_type"],
                           entity="o_custkey", count_name="customer_count",
                           total_name="total_customers", pct_name="pct_customers")

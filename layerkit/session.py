@@ -8,6 +8,7 @@ and only created locally when nothing is configured (tests, laptops).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -45,7 +46,7 @@ def sizing_conf(input_bytes: int, cores: int, target_task_bytes: int = 256 * MB)
     shuffle partitions (~256 MiB each before AQE coalescing).
     """
     split = max(16 * MB, min(target_task_bytes, input_bytes // max(1, cores * 4)))
-    shuffle = max(cores * 3, min(200_000, (input_bytes // 2) // target_task_bytes))
+    shuffle = max(cores * 3, (input_bytes // 2) // target_task_bytes)
     return {
         "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.shuffle.partitions": str(shuffle),
@@ -86,8 +87,9 @@ def get_session(master: str | None = None, app: str = "layerkit",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, setting a local one only if unset.
 
-    On a cluster ``spark.checkpoint.dir`` must point to shared storage; the
-    local fallback exists for tests and single-machine runs.
+    On a cluster ``spark.checkpoint.dir`` must point to shared storage: an
+    unset one raises, as executors would write to their own disks. The
+    local fallback exists for ``local[n]`` masters (tests, one machine).
     """
     path = None
     try:
@@ -101,6 +103,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     except Exception:  # pragma: no cover - Spark Connect has no context
         sc = None
     if not path:
+        if sc is None or not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="layerkit-ckpt-")
         if sc is not None:
             sc.setCheckpointDir(path)

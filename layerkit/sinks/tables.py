@@ -9,11 +9,17 @@ and merges tiny ones, instead of one task per value.
 
 from __future__ import annotations
 
+import datetime as dt
+import decimal
 import uuid
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+ANY_SCOPE = object()
+GLOBAL_TEMP = "global_temp"
+_STAGING, _PREVIOUS = "__staging", "__previous"
+
 
 def _observed(df: DataFrame):
     obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
@@ -28,7 +34,10 @@ def write_table(df: DataFrame, table: str, mode: str = "append", partition_by=()
                 fmt: str = "parquet", bucket_by: tuple | None = None) -> int:
     """K1/K2/K3/K6/K7: save as a managed table; returns rows written.
 
-    ``overwrite`` drops and re-creates the table (schema replaced).
+    ``overwrite`` drops and re-creates the table (schema replaced); the old
+    rows are gone before the new ones are complete, and a failed write is
+    repeated from its source. :func:`overwrite_from_self` keeps the old
+    table until the new one is written.
     ``bucket_by=(n, [cols])`` stores the table in ``n`` hash buckets on
     ``cols``: later joins and aggregates on those columns against another
     table bucketed the same way read co-located buckets and skip the
@@ -51,33 +60,80 @@ def write_table(df: DataFrame, table: str, mode: str = "append", partition_by=()
     return _rows(obs)
 
 
-def replace_scope(df: DataFrame, table: str, scope_col: str, scope_value=None) -> int:
+def sql_literal(value) -> str:
+    """A SQL literal of a Python value (NULL, booleans, numbers, dates, stamps, quoted text)."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return "TRUE" if value else "FALSE"
+    if isinstance(value, (int, float, decimal.Decimal)):
+        return str(value)
+    if isinstance(value, dt.datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
+    if isinstance(value, dt.date):
+        return f"DATE '{value.isoformat()}'"
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def drop_partitions(spark, table: str, partitions) -> None:
+    """Drop the listed partitions (dicts of column → value)."""
+    for part in partitions:
+        spec = ", ".join(f"`{c}` = {sql_literal(v)}" for c, v in part.items())
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+
+
+def replace_partitions(df: DataFrame, table: str, rebalance_by=()) -> int:
+    """Overwrite just the partitions that occur in ``df``; returns rows written.
+
+    Dynamic overwrite is a session setting (a write option does not reach
+    ``insertInto``), so the insert runs in a session of its own: the
+    caller's setting is never touched, and writers in other threads neither
+    see nor undo it. Settings and current database are carried over.
+    """
+    spark = df.sparkSession
+    own = spark.newSession()
+    for k, v in spark.conf.getAll.items():
+        if spark.conf.isModifiable(k):
+            own.conf.set(k, v)
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    own.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
+    view = f"lk_{uuid.uuid4().hex}"
+    df.createGlobalTempView(view)
+    try:
+        obs_df, obs = _observed(own.table(f"{GLOBAL_TEMP}.{view}"))
+        if rebalance_by:
+            obs_df = obs_df.hint("rebalance", *rebalance_by)
+        obs_df.write.insertInto(table, overwrite=True)
+    finally:
+        spark.catalog.dropGlobalTempView(view)
+    spark.catalog.refreshTable(table)
+    return _rows(obs)
+
+
+def replace_scope(df: DataFrame, table: str, scope_col: str, scope_value=ANY_SCOPE) -> int:
     """Replace only the rows of the scopes present in ``df``.
 
-    The table is partitioned by ``scope_col``; with dynamic partition
-    overwrite, ``insertInto(overwrite=True)`` rewrites just the touched
-    partitions and leaves other scopes alone. An empty ``df`` touches no
-    partition, so ``scope_value`` (if given) is dropped explicitly. The
-    first run creates the table.
+    The table is partitioned by ``scope_col``; only the partitions that
+    occur in ``df`` are rewritten, other scopes stay. With ``scope_value``
+    (any type, NULL included) rows of another scope fail the write, and an
+    empty ``df`` drops that scope's partition, which an overwrite alone
+    would not touch. The first run creates the table.
     """
     spark = df.sparkSession
     cols = [c for c in df.columns if c != scope_col] + [scope_col]
     df = df.select(*cols)
+    if scope_value is not ANY_SCOPE:
+        scope = F.col(scope_col)
+        wanted = F.lit(scope_value).cast(df.schema[scope_col].dataType)
+        df = df.withColumn(scope_col, F.when(scope.eqNullSafe(wanted), scope).otherwise(
+            F.raise_error(F.lit(f"rows outside the scope {scope_value!r}")).cast(df.schema[scope_col].dataType)))
     if not spark.catalog.tableExists(table):
         return write_table(df, table, mode="overwrite", partition_by=[scope_col])
-    if scope_value is not None and df.isEmpty():
-        lit = f"'{scope_value}'" if isinstance(scope_value, str) else str(scope_value)
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({scope_col} = {lit})")
+    if df.isEmpty():
+        if scope_value is not ANY_SCOPE:
+            drop_partitions(spark, table, [{scope_col: scope_value}])
         return 0
-    target = spark.table(table).columns
-    obs_df, obs = _observed(df.select(*target))
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        obs_df.hint("rebalance", scope_col).write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-    return _rows(obs)
+    return replace_partitions(df.select(*spark.table(table).columns), table, [scope_col])
 
 
 def append_evolving(df: DataFrame, table: str, skip_empty: bool = True) -> int:
@@ -109,18 +165,35 @@ def append_evolving(df: DataFrame, table: str, skip_empty: bool = True) -> int:
     return _rows(obs)
 
 
+def recover_swap(spark, table: str) -> None:
+    """Finish or undo a swap that was cut off (see :func:`overwrite_from_self`).
+
+    Table missing, old copy there: the new copy was complete when the old
+    one moved, so the swap is finished. Table there: leftovers are dropped.
+    """
+    staging, previous = f"{table}{_STAGING}", f"{table}{_PREVIOUS}"
+    exists = spark.catalog.tableExists
+    if not exists(table) and exists(previous):
+        spark.sql(f"ALTER TABLE {staging if exists(staging) else previous} RENAME TO {table}")
+    if exists(table):
+        for left in (staging, previous):
+            spark.sql(f"DROP TABLE IF EXISTS {left}")
+
+
 def overwrite_from_self(df: DataFrame, table: str, partition_by=()) -> int:
     """H7: overwrite a table with a plan that reads it.
 
     Spark refuses to overwrite a table its own plan reads, so the result is
-    written to a staging table first and then swapped in by renames: the
-    old table moves aside, the staging table takes its name, the old one
-    is dropped. A failure at any step leaves a complete copy of either the
-    old or the new data under a known name — never a half-written table.
+    written to ``<table>__staging`` first; then the old table moves to
+    ``<table>__previous``, the new one takes its name, the old one is
+    dropped. The names are fixed: after a failure between the renames,
+    :func:`recover_swap` (called by ``upsert`` before it looks at the
+    table, and here) finds both copies and finishes the swap. One writer
+    per table at a time.
     """
     spark = df.sparkSession
-    tag = uuid.uuid4().hex[:8]
-    staging, previous = f"{table}__staging_{tag}", f"{table}__previous_{tag}"
+    staging, previous = f"{table}{_STAGING}", f"{table}{_PREVIOUS}"
+    recover_swap(spark, table)
     n = write_table(df, staging, mode="overwrite", partition_by=partition_by)
     spark.sql(f"ALTER TABLE {table} RENAME TO {previous}")
     spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")

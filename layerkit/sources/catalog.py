@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
+# The columns of the schema registry.
 REGISTRY_SCHEMA = StructType([
     StructField("schema_name", StringType(), False),
     StructField("table_name", StringType(), False),
@@ -44,24 +45,26 @@ def register_sources(spark: SparkSession, sources: dict) -> None:
         df.createOrReplaceTempView(view)
 
 
-def inline(spark: SparkSession, rows, schema) -> DataFrame:
-    """A small relation from driver values (names list or explicit schema)."""
-    return spark.createDataFrame(rows, schema)
-
-
-def snapshot_schema(spark: SparkSession, database: str, exclude=()) -> DataFrame:
+def snapshot_schema(spark: SparkSession, database: str, exclude=(), unreadable: list | None = None) -> DataFrame:
     """One row per column of every (non-temporary) table in ``database``.
 
     Only catalog metadata crosses the driver (column names and types).
     Types are ``simpleString`` text (``string``, ``decimal(10,2)``).
-    Control tables named in ``exclude`` are skipped; a table whose schema
-    cannot be read raises instead of silently looking like removed columns.
+    Control tables named in ``exclude`` are skipped. A table whose schema
+    cannot be read is added to ``unreadable`` as (table, error), so that the
+    others are still harvested; without that list it raises.
     """
     skip = {e.lower() for e in exclude}
     rows = []
     for tb in spark.catalog.listTables(database):
         if tb.isTemporary or tb.name.lower() in skip:
             continue
-        for f in spark.table(f"`{database}`.`{tb.name}`").schema.fields:
-            rows.append((database, tb.name, f.name, f.dataType.simpleString(), f.nullable))
+        try:
+            fields = spark.table(f"`{database}`.`{tb.name}`").schema.fields
+        except Exception as e:  # noqa: BLE001 - isolate one table's failure
+            if unreadable is None:
+                raise
+            unreadable.append((tb.name, f"{type(e).__name__}: {e}"))
+            continue
+        rows += [(database, tb.name, f.name, f.dataType.simpleString(), f.nullable) for f in fields]
     return spark.createDataFrame(rows, REGISTRY_SCHEMA)

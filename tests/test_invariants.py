@@ -128,6 +128,6 @@ def test_next_in_sequence_equals_window(spark, data, slices):
     # unique order id per row closes the order; values carry the row id
     df = spark.createDataFrame([(k, o, i, i * 10) for i, (k, o) in enumerate(data)],
                                "k int, o int, id int, v int")
-    fast = next_in_sequence(df, "k", ["o", "id"], "v", "nxt", num_slices=slices, skew_safe=True)
+    fast = next_in_sequence(df, "k", ["o", "id"], "v", "nxt", num_slices=slices, sliced=True)
     ref = df.withColumn("nxt", F.lead("v").over(Window.partitionBy("k").orderBy("o", "id")))
     assert rows(fast, "id", "nxt") == rows(ref, "id", "nxt")

@@ -72,8 +72,8 @@ def test_group_metrics(spark):
 
 def test_next_event_risk(spark):
     _, e, _ = _fixtures(spark)
-    for skew_safe in (True, False):
-        out = {r["encounter_id"]: r for r in gold.next_event_risk(e, skew_safe=skew_safe).collect()}
+    for sliced in (True, False):
+        out = {r["encounter_id"]: r for r in gold.next_event_risk(e, sliced=sliced).collect()}
         assert out["e1"]["days_to_next_encounter"] == 30 and out["e1"]["is_readmission_risk"]
         assert out["e2"]["days_to_next_encounter"] == 31 and not out["e2"]["is_readmission_risk"]
         assert out["e3"]["next_encounter_date"] is None and not out["e3"]["is_readmission_risk"]

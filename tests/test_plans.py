@@ -38,14 +38,28 @@ def test_filters_reach_the_scan(spark):
     assert re.search(r"PushedFilters: \[[^\]]*o_orderdate", plan)
 
 
-def test_keep_latest_single_shuffle(spark):
+def test_keep_latest_limits_before_its_only_shuffle(spark):
     plan = _plan(spark, "dedup_latest")
-    # The small-input spread already hash-partitions line items on the order
-    # key, which satisfies the window's clustering: one exchange, and the
-    # group limit runs before the window. (On a plain scan Spark puts a
-    # partial limit below its own exchange; see test_operators.)
-    assert "WindowGroupLimit" in plan
-    assert plan.count("Exchange") <= 1
+    assert plan.count("WindowGroupLimit") == 2 and plan.count("Exchange ") == 1
+    assert plan.rindex("WindowGroupLimit") > plan.index("Exchange ")       # printed top-down: one below
+
+
+def test_next_event_is_range_sliced(spark):
+    plan = _plan(spark, "reorder_risk")
+    assert "Scan ExistingRDD" in plan and "LeftOuter" in plan        # checkpointed slices, heads joined on
+
+
+def test_quality_checks_read_line_items_twice(spark):
+    assert _plan(spark, "quality_checks").count("lineitem.parquet") <= 2
+
+
+def test_event_detail_joins_the_entity_once(spark):
+    assert _plan(spark, "order_line_summary").count("customer.parquet") == 1
+
+
+def test_anti_join_reduces_the_right_side_first(spark):
+    plan = _plan(spark, "anti_join")
+    assert "LeftAnti" in plan and plan.count("HashAggregate") == 2
 
 
 def test_distinct_count_is_two_level(spark):
