@@ -131,6 +131,77 @@ FROM p
 """
 
 
+
+def _mixing_sql(sweeps: int = 8) -> str:
+    """The same fitting as a chain of windowed sums, one step for each margin of each sweep."""
+    def shares(margin: str) -> str:
+        wanted = MIX_TARGETS[margin]
+        if wanted is None:
+            return "1.0::DOUBLE"
+        return f"CASE {margin} " + " ".join(f"WHEN '{k}' THEN {v}::DOUBLE" for k, v in wanted.items()) + " ELSE 0.0::DOUBLE END"
+
+    process, quality = (f"len(regexp_extract_all(coalesce(text, ''), '{p}'))" for p in MIX_LEXICONS.values())
+    steps = ["""WITH f AS (SELECT doc_id, source, lang, 1 + strlen(coalesce(text, '')) - strlen(replace(coalesce(text, ''), ' ', '')) AS tokens,
+  CASE WHEN p > 0 AND p >= q THEN 'process' WHEN q > 0 THEN 'quality' ELSE 'other' END AS topic
+  FROM (SELECT *, %s AS p, %s AS q FROM documents)),
+c AS (SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens FROM f GROUP BY ALL)""" % (process, quality)]
+    for m in mixing_ipf.MARGINS:
+        steps.append(f"v_{m} AS (SELECT {m} AS v, w / sum(w) OVER () AS want FROM (SELECT DISTINCT {m}, {shares(m)} AS w FROM c))")
+    joins = " ".join(f"LEFT JOIN v_{m} ON c.{m} IS NOT DISTINCT FROM v_{m}.v" for m in mixing_ipf.MARGINS)
+    steps.append("w0 AS (SELECT c.*, " + ", ".join(f"v_{m}.want AS want_{m}" for m in mixing_ipf.MARGINS)
+                 + f", c.tokens / sum(c.tokens) OVER () AS weight FROM c {joins})")
+    n = 0
+    for _ in range(sweeps):
+        for m in mixing_ipf.MARGINS:
+            held = f"sum(weight) OVER (PARTITION BY {m})"
+            # materialised: else each step would be planned into the next
+            steps.append(f"w{n + 1} AS MATERIALIZED (SELECT * REPLACE (CASE WHEN {held} > 0 THEN weight * want_{m} / {held} "
+                         f"ELSE 0.0 END AS weight) FROM w{n})")
+            n += 1
+    return ",\n".join(steps) + f"""
+SELECT doc_id, source, lang, topic, tokens, round(e, 9) AS epochs,
+       CAST(floor(e + CAST('0x' || substr(md5('8:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 12) AS BIGINT) / 281474976710656.0)
+            AS BIGINT) AS copies
+FROM (SELECT f.*, r.e
+      FROM f LEFT JOIN (SELECT *, weight * 0.5 * (SELECT sum(tokens) FROM c) / tokens AS e FROM w{n}) r
+      ON f.source IS NOT DISTINCT FROM r.source AND f.lang IS NOT DISTINCT FROM r.lang AND f.topic = r.topic)
+"""
+
+
+URL_SQL = """
+WITH u AS (SELECT page_id, url, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (SELECT page_id, url, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(coalesce(url, ''), '^[^?#]*\\?([^#]*)', 1) AS query FROM u),
+j AS (SELECT page_id, url, host, path,
+  CASE WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com')) AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+       WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/') THEN 'example.com/en/'
+       WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
+       WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
+       WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/' END AS rule,
+  list_distinct([x FOR x IN list_concat(
+    ['h:' || split_part(x, '=', 1) FOR x IN string_split(host, '.')],
+    ['p:' || split_part(x, '=', 1) FOR x IN string_split(path, '/')],
+    ['q:' || split_part(x, '=', 1) FOR x IN string_split(query, '&')]) IF length(x) > 2 AND NOT contains(x, ' ')]) AS tokens
+  FROM h),
+l AS (SELECT doc_id, bool_or(quality = 0 OR toxic = 1) AS bad FROM labels GROUP BY 1),
+b AS (SELECT row_number() OVER () AS basket, tokens, bad FROM j JOIN l ON page_id = doc_id WHERE bad IS NOT NULL AND len(tokens) > 0),
+least AS (SELECT greatest(5, ceil(0.005 * count(*))) AS n FROM b),
+t AS (SELECT basket, bad, unnest(tokens) AS token FROM b),
+one AS (SELECT token FROM t GROUP BY 1
+        HAVING count(*) FILTER (bad) >= (SELECT n FROM least) AND count(*) FILTER (bad) >= 0.5 * count(*)),
+two AS (SELECT x.token AS a, y.token AS b FROM t x JOIN t y ON x.basket = y.basket AND x.token < y.token GROUP BY 1, 2
+        HAVING count(*) FILTER (x.bad) >= (SELECT n FROM least) AND count(*) FILTER (x.bad) >= 0.5 * count(*)),
+blocked AS (SELECT DISTINCT url FROM j WHERE rule IS NULL AND (
+  EXISTS (SELECT 1 FROM one WHERE list_contains(j.tokens, one.token))
+  OR EXISTS (SELECT 1 FROM two WHERE list_contains(j.tokens, two.a) AND list_contains(j.tokens, two.b)
+             AND two.a NOT IN (SELECT token FROM one) AND two.b NOT IN (SELECT token FROM one))))
+SELECT page_id, url, host, path, rule,
+       CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN url IN (SELECT url FROM blocked WHERE url IS NOT NULL) THEN 'block' ELSE 'allow' END AS verdict
+FROM j
+"""
+
+
 QUERIES = {
     "op1_exact_dedup": exact_dedup,
     "op2_simhash_near_dedup": simhash_near_dedup,
@@ -146,5 +217,7 @@ QUERIES = {
 
 ORACLE = {
     "op1_exact_dedup": EXACT_DEDUP_SQL,
+    "op5_url_filter": URL_SQL,
+    "op8_mixing": _mixing_sql(),
     "op10_warc": WARC_SQL,
 }
