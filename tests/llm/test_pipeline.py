@@ -1,0 +1,93 @@
+"""The pipeline on the smallest tables, stage by stage against brute force."""
+
+from collections import Counter
+
+import pytest
+
+import __spark_entry__ as entry
+import corpus_pipeline as pipeline
+from layerkit.llm import queries, simhash_pivots
+from layerkit.llm.common import stored
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    out = [docs]
+    for name, stage in pipeline.STAGES:
+        out.append(stored(stage(spark, out[-1], SF), name.replace(" ", "-")))
+    return out
+
+
+def texts(df):
+    return {r.doc_id: r.text for r in df.collect()}
+
+
+def test_order_and_columns(stages):
+    assert [n for n, _ in pipeline.STAGES] == ["quality classifier", "exact dedup", "SimHash near-dedup", "mixing", "packing"]
+    assert all(s.schema == stages[0].schema for s in stages[1:-1])
+
+
+def test_quality_keeps_what_the_model_keeps(stages, spark):
+    rated = queries.rate_documents(stages[0], SF)
+    want = {r.doc_id for r in rated.collect() if r.top_probability >= 0.5}
+    assert set(texts(stages[1])) == want and 0 < len(want) < stages[0].count()
+
+
+def test_exact_dedup_keeps_the_largest_id(stages):
+    before = texts(stages[1])
+    want = {max(i for i, t in before.items() if t == text) for text in before.values()}
+    assert set(texts(stages[2])) == want
+
+
+def test_near_dedup_keeps_the_smallest_id_of_each_component(stages):
+    before = {i: simhash_pivots.fingerprint(t, 3) for i, t in texts(stages[2]).items()}
+    parent = {i: i for i in before}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    ids = sorted(before)
+    for n, a in enumerate(ids):
+        for b in ids[n + 1:]:
+            if (before[a] ^ before[b]).bit_count() <= 2:
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    assert set(texts(stages[3])) == {i for i in ids if find(i) == i}
+
+
+def test_mixing_keeps_the_sampled_documents(stages):
+    want = {r.doc_id for r in queries.mix(stages[3]).collect() if r.copies > 0}
+    assert set(texts(stages[4])) == want and 0 < len(want) < stages[3].count()
+
+
+def test_packing_covers_what_is_left(stages):
+    got = Counter()
+    total = {}
+    for r in stages[5].collect():
+        got[r.doc_id] += r.length
+        total[r.doc_id] = r.doc_tokens
+    assert got == Counter(total) and set(got) == set(texts(stages[4]))
+
+
+def test_run_equals_its_stages_and_is_registered(stages, spark):
+    cols = stages[5].columns
+    run = Counter(tuple(r[c] for c in cols[:5]) for r in entry.queries()["pipeline"](spark, SF).collect())
+    assert run == Counter(tuple(r[c] for c in cols[:5]) for r in stages[5].collect())
+
+
+def test_nulls_repeats_extra_columns_and_empty(spark):
+    docs = spark.createDataFrame([(1, None, None, None, None, 3), (2, "", "en", "s", 0, 3), (None, "good words here", "en", "s", 15, 3),
+                                  (4, "good words here", "en", "s", 15, 3), (4, "good words here", "en", "s", 15, 3)],
+                                 "doc_id long, text string, lang string, source string, n_chars long, copies int")
+    for rows in (docs, docs.limit(0)):
+        out = rows
+        for name, stage in pipeline.STAGES[:-1]:
+            kept = stored(stage(spark, out, SF), "odd")
+            assert kept.columns == docs.columns and kept.count() <= rows.count()
+            if name != "mixing":
+                out = kept
+        assert (pipeline.STAGES[-1][1](spark, out, SF).count() > 0) == (out.count() > 0)
