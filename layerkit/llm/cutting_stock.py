@@ -124,16 +124,19 @@ def _filled(last: np.ndarray, room: int) -> Counter:
     return used
 
 
-def _first_basis(lengths: np.ndarray, need: np.ndarray, capacity: int) -> tuple[list[Counter], np.ndarray]:
-    """Fill largest-first, each pattern as often as its scarcest length allows.
+def _first_basis(lengths: np.ndarray, need: np.ndarray, capacity: int) -> tuple[list[Counter], np.ndarray, np.ndarray]:
+    """Patterns, their counts and the inverse of the basis they form.
 
-    Every pattern uses up one length for good, so the patterns are as many
-    as the lengths and triangular in the order in which lengths run out.
+    Patterns are filled largest-first and used as often as their scarcest
+    length allows. Each uses up one length for good, so they are as many as
+    the lengths, and triangular in the order in which lengths run out: the
+    inverse follows row by row.
     """
     rest, left = dict(zip(lengths.tolist(), need.tolist())), lengths.tolist()
     patterns: list[Counter] = [Counter()] * len(lengths)
     count = np.zeros(len(lengths))
     place = {n: i for i, n in enumerate(left)}
+    inverse = np.eye(len(lengths))
     while left:
         used, room = Counter(), capacity
         while (i := bisect_right(left, room)):
@@ -147,8 +150,12 @@ def _first_basis(lengths: np.ndarray, need: np.ndarray, capacity: int) -> tuple[
         for n, c in used.items():
             rest[n] = max(0.0, rest[n] - c * x)
         patterns[place[scarce]], count[place[scarce]] = used, x
+        inverse[place[scarce]] /= used[scarce]
+        for n, c in used.items():
+            if n != scarce:
+                inverse[place[n]] -= c * inverse[place[scarce]]
         left.remove(scarce)
-    return patterns, count
+    return patterns, count, inverse
 
 
 def relaxed_plan(demand: dict[int, int], capacity: int, gap: float = 0.002, pivots: int = 400) -> list[tuple[Counter, float]]:
@@ -164,12 +171,7 @@ def relaxed_plan(demand: dict[int, int], capacity: int, gap: float = 0.002, pivo
         return []
     row = {int(n): i for i, n in enumerate(lengths)}
     need = np.array([demand[int(n)] for n in lengths], float)
-    patterns, count = _first_basis(lengths, need, capacity)
-    basis = np.zeros((len(lengths), len(lengths)))
-    for j, used in enumerate(patterns):
-        for n, c in used.items():
-            basis[row[n], j] = c
-    inverse = np.linalg.inv(basis)
+    patterns, count, inverse = _first_basis(lengths, need, capacity)
     steps = 0
     while steps < pivots:
         prices = inverse.sum(axis=0)
@@ -182,12 +184,10 @@ def relaxed_plan(demand: dict[int, int], capacity: int, gap: float = 0.002, pivo
         for i in np.argsort(-first)[:48]:
             used = _filled(last, capacity - int(lengths[i]))
             used[int(lengths[i])] += 1
-            column = np.zeros(len(lengths))
-            for n, c in used.items():
-                column[row[n]] = c
-            if inverse.sum(axis=0) @ column <= 1 + 1e-7:
+            at, c = [row[n] for n in used], np.array(list(used.values()), float)
+            direction = (inverse[:, at] * c).sum(axis=1)
+            if direction.sum() <= 1 + 1e-7:  # its worth at the present prices
                 continue
-            direction = inverse @ column
             up = direction > 1e-9
             ratio = np.full(len(lengths), np.inf)
             ratio[up] = count[up] / direction[up]
