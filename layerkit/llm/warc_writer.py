@@ -1,7 +1,7 @@
 """Deterministic sharded WARC writer and reader.
 
 1. Splitters: the pages with the smallest hashes (a bottom-k sample, the
-   same for the same rows) are sorted, and every so manieth is a splitter.
+   same for the same rows) are sorted, and splitters are taken at equal steps.
    A splitter is an id and a hash, so even one id with many rows is split.
 2. Pages are exchanged by splitter range and sorted within it. Each task
    writes one gzip member per record and starts a new file once the
@@ -124,7 +124,8 @@ def _write(folder: str, roll_bytes: int, level: int):
 
 def _splitters(keys: DataFrame, shards: int, per_shard: int) -> list[tuple]:
     """Sorted (id, tie) pairs; at most ``shards * per_shard`` rows are gathered for them."""
-    sample = keys.orderBy("tie", "page_id").limit(shards * per_shard).collect()
+    # not by the tie hash itself: it is part of the splitters
+    sample = keys.orderBy(F.xxhash64(F.lit(1), "page_id", "tie"), "page_id", "tie").limit(shards * per_shard).collect()
     rows = sorted((r["page_id"], r["tie"]) for r in sample)
     return [rows[i * len(rows) // shards] for i in range(1, shards)] if rows else []
 
