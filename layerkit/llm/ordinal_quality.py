@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text turned into features at once; a cut falls between words.
 CHUNK = 1 << 20
+#: Features taken at once when fitting.
+RUN = 1 << 18
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint64)
@@ -103,15 +105,29 @@ def fit_ordinal(slots: list[np.ndarray], grades: np.ndarray, bits: int, steps: i
     """
     n, size, levels = len(slots), 1 << bits, int(grades.max()) + 1 if len(grades) else 1
     count = np.array([len(s) for s in slots], np.int64)
-    flat = np.concatenate(slots) if n else np.empty(0, np.int32)
-    seen = np.bincount(flat, minlength=size)
+    seen = np.zeros(size, np.int64)
+    for x in slots:
+        seen[x] += 1
     idf = np.where(seen >= min_texts, np.log((1 + n) / (1 + seen)) + 1, 0).astype(np.float32)
     if levels < 2:
         return OrdinalModel(bits, idf, np.zeros(size, np.float32), np.empty(0))
-    value = idf[flat]
-    row = np.repeat(np.arange(n), count)
-    norm = np.sqrt(np.bincount(row, value.astype(float) ** 2, minlength=n))
-    value = value / np.maximum(norm, 1e-12)[row].astype(np.float32)
+    ends = np.cumsum(count)
+    norm = np.array([np.sqrt(np.square(idf[x], dtype=float).sum()) for x in slots])
+    scale = (1 / np.maximum(norm, 1e-12)).astype(np.float32)
+    # rows are taken in runs of about RUN features, so that a step needs little memory beside the features
+    cuts = np.unique(np.concatenate([[0], np.searchsorted(ends, np.arange(RUN, ends[-1] + 1, RUN)), [n]]))
+
+    def scored(w: np.ndarray) -> np.ndarray:
+        return np.concatenate([[(idf[x] * w[x]).sum() * scale[i] for i, x in enumerate(slots[lo:hi], lo)]
+                               for lo, hi in zip(cuts, cuts[1:])])
+
+    def gathered(d_score: np.ndarray) -> np.ndarray:
+        total = np.zeros(size)
+        for lo, hi in zip(cuts, cuts[1:]):
+            part = np.concatenate(slots[lo:hi])
+            total += np.bincount(part, np.repeat((d_score[lo:hi] * scale[lo:hi]).astype(np.float32), count[lo:hi]), minlength=size)
+        return total * idf
+
     share = np.clip(np.array([(grades <= k).mean() for k in range(levels - 1)]), 1e-3, 1 - 1e-3)
     start = np.maximum.accumulate(np.log(share / (1 - share)) + 1e-3 * np.arange(levels - 1))
     w, cut = np.zeros(size), np.concatenate([start[:1], np.log(np.maximum(np.diff(start), 1e-3))])
@@ -119,7 +135,7 @@ def fit_ordinal(slots: list[np.ndarray], grades: np.ndarray, bits: int, steps: i
     each = np.arange(n)
     for step in range(1, steps + 1):
         theta = cut[0] + np.concatenate([[0], np.cumsum(np.exp(cut[1:]))])
-        score = np.bincount(row, value * w[flat], minlength=n)
+        score = scored(w)
         edges = np.concatenate([np.full((n, 1), -40.0), theta[None, :] - score[:, None], np.full((n, 1), 40.0)], axis=1)
         cdf = _sigmoid(edges)
         slope = cdf * (1 - cdf)
@@ -130,7 +146,7 @@ def fit_ordinal(slots: list[np.ndarray], grades: np.ndarray, bits: int, steps: i
         d_theta = np.bincount(grades, down / n, minlength=levels)[1:] - np.bincount(grades, up / n, minlength=levels)[:-1]
         later = np.cumsum(d_theta[::-1])[::-1]
         d_cut = np.concatenate([later[:1], later[1:] * np.exp(cut[1:])])
-        d_w = np.bincount(flat, value * d_score[row], minlength=size) + penalty * w
+        d_w = gathered(d_score) + penalty * w
         for x, g, m, v, r in ((w, d_w, state[0], state[1], rate), (cut, d_cut, state[2], state[3], 0.05)):
             m += 0.1 * (g - m)
             v += 0.01 * (g * g - v)
