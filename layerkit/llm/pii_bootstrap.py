@@ -72,23 +72,54 @@ def _passes(kind: str, match: Column) -> Column:
 SPAN = "struct<start:bigint,end:bigint,match:string,before:string>"
 
 
+#: Matches appended to one array before it is closed: appending copies the array.
+RUN = 256
+
+
 def _walk(pieces: Column, matches: Column) -> Column:
     """Matches with start, end and the text since the match before.
 
     ``pieces`` are what a split by the same expression leaves, so positions
-    are running sums of lengths.
+    are running sums of lengths. They are summed in runs, so that the work
+    of a text grows with its matches, not with their square.
     """
-    step = F.aggregate(
-        F.arrays_zip(pieces.alias("p"), matches.alias("m")),
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(f"array<{SPAN}>").alias("found")),
-        lambda acc, x: F.when(x["m"].isNull(), acc).otherwise(F.struct(
-            (acc["at"] + F.length(x["p"]) + F.length(x["m"])).cast("long").alias("at"),
-            F.array_append(acc["found"], F.struct(
-                (acc["at"] + F.length(x["p"])).cast("long").alias("start"),
-                (acc["at"] + F.length(x["p"]) + F.length(x["m"])).cast("long").alias("end"),
-                x["m"].alias("match"), F.right(x["p"], F.lit(CONTEXT)).alias("before"))).alias("found"))),
-        lambda acc: acc["found"])
-    return F.when(F.size(matches) > 0, step).otherwise(F.array().cast(f"array<{SPAN}>"))
+    last = F.size(matches) - 1
+
+    def ends(at: Column, j: Column) -> Column:
+        return (at + F.length(F.get(pieces, j)) + F.length(F.get(matches, j))).cast("long")
+
+    def run_of(first: Column) -> Column:
+        return F.sequence(first, F.least(first + F.lit(RUN - 1), last))
+
+    def spans(at: Column, first: Column) -> Column:
+        return F.aggregate(
+            run_of(first), F.struct(at.alias("at"), F.array().cast(f"array<{SPAN}>").alias("found")),
+            lambda acc, j: F.struct(ends(acc["at"], j).alias("at"), F.array_append(acc["found"], F.struct(
+                (acc["at"] + F.length(F.get(pieces, j))).cast("long").alias("start"), ends(acc["at"], j).alias("end"),
+                F.get(matches, j).alias("match"), F.right(F.get(pieces, j), F.lit(CONTEXT)).alias("before"))).alias("found")),
+            lambda acc: acc["found"])
+
+    runs = F.aggregate(
+        F.sequence(F.lit(0), last, F.lit(RUN)),
+        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(f"array<array<{SPAN}>>").alias("found")),
+        lambda acc, first: F.struct(F.aggregate(run_of(first), acc["at"], ends).alias("at"),
+                                    F.array_append(acc["found"], spans(acc["at"], first)).alias("found")),
+        lambda acc: F.flatten(acc["found"]))
+    return F.when(F.size(matches) > 0, runs).otherwise(F.array().cast(f"array<{SPAN}>"))
+
+
+def _overlapped(spans: Column, start: Column, end: Column) -> Column:
+    """Whether one of the disjoint, ordered spans overlaps start to end: a binary search for the first that ends later."""
+    def halve(acc: Column, _: Column) -> Column:
+        middle = F.shiftright(acc["low"] + acc["high"], 1)
+        later = F.get(spans, middle)["end"] > start
+        return F.when(acc["low"] < acc["high"], F.struct(F.when(later, acc["low"]).otherwise(middle + 1).alias("low"),
+                                                         F.when(later, middle).otherwise(acc["high"]).alias("high"))).otherwise(acc)
+
+    n = F.size(spans)
+    first = F.aggregate(F.sequence(F.lit(1), F.length(F.bin(n))), F.struct(F.lit(0).alias("low"), n.alias("high")), halve,
+                        lambda acc: acc["low"])
+    return F.coalesce(F.get(spans, first)["start"] < end, F.lit(False))
 
 
 def _located(docs: DataFrame, text: str, wanted: dict[str, tuple[str, Column]]) -> DataFrame:
@@ -185,9 +216,15 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     whatever their names.
     """
     facts = stored(_facts(docs, id_col, text_col), "identifiers")
-    seen = facts.select("key", "base", F.explode("tokens").alias("t")).select("key", "base", "t.*").filter("usable")
-    within = F.filter("base", lambda b: (b["start"] < F.col("end")) & (b["end"] > F.col("start")))
-    seen = stored(seen.withColumn("kind", F.get(within, F.lit(0))["kind"]).drop("base", "usable"), "occurrences")
+    # of a kind's spans none overlaps another
+    by_kind = {f"base_{k}": F.filter("base", lambda b: b["kind"] == KINDS.index(k)) for k in KINDS}
+
+    def occurrence(t: Column) -> Column:
+        kind = F.coalesce(*(F.when(_overlapped(F.col(f"base_{k}"), t["start"], t["end"]), F.lit(i)) for i, k in enumerate(KINDS)))
+        return F.struct(*(t[c].alias(c) for c in ("start", "end", "instance", "pattern")), kind.alias("kind"))
+
+    usable = F.filter("tokens", lambda t: t["usable"])
+    seen = stored(facts.withColumns(by_kind).select("key", F.explode(F.transform(usable, occurrence)).alias("t")).select("key", "t.*"), "occurrences")
     sure = (pattern_scores(seen, rounds).filter((F.col("score") >= min_score) & (F.col("support") >= min_support))
             .groupBy("pattern").agg(F.max(F.struct("score", "support", (-F.col("kind")).alias("k"))).alias("s"))
             .select("pattern", (-F.col("s.k")).alias("found")))

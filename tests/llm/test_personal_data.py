@@ -29,7 +29,8 @@ TEXTS = [None, "", "no data", "a.b@c.d", "x@y a@b.c.d@e.f g@h..i @q.r", "a@b.c_d
          "5500005555555559 12345678901234567890123 0000000000000000", "4111  1111", "+1 (743) 555-3824 +12 +1 2 3 4 5 6 7 8",
          "+1234567 +123456789012345 +1234567890123456", "++49 30 1234567.", "\U0001f600 +44 20 7946 0958 \U0001f600 me@x.org",
          "9" * 20_000, "a" * 50_000, "a@" * 5_000, "+" * 1_000 + "1" + " " * 5_000, "1.1.1 " * 3_000 + "10.0.0.1",
-         " ".join(f"u{i}@h{i}.com" for i in range(800))]
+         *(" ".join(f"u{i}@h{i}.com" for i in range(n)) for n in (255, 256, 257, 512, 5_000)),
+         " ".join(f"{i}: 10.{i % 300}.0.1 +1 {i:07d} x{i}@y.z" for i in range(1_500))]
 
 
 def found(spark, rows, **kw):
@@ -50,6 +51,15 @@ def test_base_spans_on_documents(spark):
         assert [(x.kind, x.start, x.end) for x in r.spans if x.found_by == "base"] == base(texts[r.doc_id])
 
 
+def test_overlap_search_matches_brute_force(spark):
+    spans = [(10, 14), (14, 20), (30, 31), (40, 60)]
+    for n in range(len(spans) + 1):
+        df = spark.createDataFrame([(spans[:n], a, a + w) for a in range(0, 64, 3) for w in (1, 5, 25)],
+                                   "spans array<struct<start:long,end:long>>, a long, b long")
+        for r in df.withColumn("hit", p._overlapped(df["spans"], df["a"], df["b"])).collect():
+            assert r.hit == any(x.start < r.b and x.end > r.a for x in r.spans)
+
+
 def test_contexts_of_seeds_find_unseen_identifiers(spark):
     cards = ["4111111111111111", "5500005555555559", "4012888888881881", "4222222222222220"]
     cards = [c for c in cards if passes("card", c)]
