@@ -23,6 +23,7 @@ salts before, so a length that a third of all pieces share is spread over
 from __future__ import annotations
 
 import base64
+import re
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
@@ -49,6 +50,29 @@ def _encoder(ranks_path: str, pattern: str):
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
+#: Runs of white space from this length on are encoded apart: the expression's lookahead backtracks over a run, in bounded memory.
+LONG_RUN = 1 << 16
+# The characters that the expression's \s stands for.
+SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
+def encode_text(encoding, text: str, long_run: int = LONG_RUN) -> list[int]:
+    """The ids of a text; strings of special tokens are ordinary text.
+
+    A run of white space is one word of the expression, without its last
+    character if a word follows, which begins with that one.
+    """
+    if len(text) < long_run:
+        return encoding.encode_ordinary(text)
+    ids, at = [], 0
+    for run in re.finditer(f"[{SPACES}]{{{long_run},}}", text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        ids += encoding.encode_ordinary(text[at:run.start()])
+        ids += encoding._encode_single_piece(text[run.start():end])
+        at = end
+    return ids + encoding.encode_ordinary(text[at:])
+
+
 def _piece_ends(n: int, capacity: int, grain: int) -> list[int]:
     whole = n // capacity * capacity
     return sorted({*range(capacity, whole + 1, capacity), n // grain * grain, n} - {0})
@@ -56,7 +80,7 @@ def _piece_ends(n: int, capacity: int, grain: int) -> list[int]:
 
 def _cut(ranks_path: str, pattern: str, capacity: int, end_id: int, grain: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(ranks_path, pattern).encode_ordinary
+        encoding = _encoder(ranks_path, pattern)
         rows: list[tuple] = []
         held = 0
 
@@ -67,7 +91,7 @@ def _cut(ranks_path: str, pattern: str, capacity: int, end_id: int, grain: int):
 
         for b in batches:
             for doc_id, text in zip(b.column(0).to_pylist(), b.column(1)):
-                ids = np.array([*encode(text.as_py() or ""), end_id], "<u4")
+                ids = np.array([*encode_text(encoding, text.as_py() or ""), end_id], "<u4")
                 at = 0
                 for end in _piece_ends(len(ids), capacity, grain):
                     rows.append((doc_id, at, end - at, ids[at:end].tobytes(), len(ids)))

@@ -59,6 +59,19 @@ def test_knapsack_matches_enumeration():
         assert sum(n * prices[list(lengths).index(k)] for k, n in items.items()) == pytest.approx(top)
 
 
+def test_long_runs_of_white_space_are_encoded_alike():
+    encoding = c._encoder(RANKS, PATTERN)
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    runs = (" " * 9, "\n" * 9, " \n\t\u3000\x85 \xa0 \u2003\n", " " * 4, "\n" * 5 + " ", "\x1c" * 9)
+    for run in runs:
+        for text in (run, "a" + run, run + "b", f"it's{run}'s 12{run}. {run}x {run}"):
+            want = tokenizer.encode(text, add_special_tokens=False).ids
+            assert c.encode_text(encoding, text, long_run=4) == want == c.encode_text(encoding, text)
+    for blank in (" ", "\n"):
+        text = "a" + blank * 1_200_000 + "b"
+        assert encoding.decode(c.encode_text(encoding, text)) == text
+
+
 def test_every_id_lies_in_one_piece(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
     extra = [(10_000, None), (10_001, ""), (10_002, "x" * 3000), (10_003, "a <|endoftext|> b é \U0001f600"), (10_004, "word " * 40_000)]
