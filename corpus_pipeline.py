@@ -39,9 +39,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents that the sample by calibrated probabilities holds, once each."""
-    left_out = queries.mix(docs).filter("copies = 0").select("doc_id").distinct()
-    return docs.join(left_out, "doc_id", "left_anti").select(*docs.columns)
+    """The mix: each document as often as the sample by calibrated rates holds it, scarce cells more than once."""
+    return queries.mixed_documents(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -104,14 +104,46 @@ def mix_documents(docs: DataFrame, targets: Mapping[str, Mapping[str, float] | N
     facts = stored(docs.select(
         F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.col(lang_col).cast("string").alias("lang"),
         lexicon_topic(F.col(text_col), lexicons).alias("topic"), token_count(F.col(text_col)).alias("tokens")), "document-cells")
+    rates = cell_rates(facts, targets, size, sweeps, tolerance)
+    return facts.join(rates, _same_cell(), "left").select("doc_id", *MARGINS, "tokens", "epochs", _copies(F.col("doc_id"), seed))
+
+
+def cell_rates(facts: DataFrame, targets: Mapping[str, Mapping[str, float] | None], size: float, sweeps: int,
+               tolerance: float) -> DataFrame:
+    """``epochs`` of every cell (cell_source, cell_lang, cell_topic) of ``facts`` (source, lang, topic, tokens)."""
     cells = facts.groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens"))
     raked = rake(cells, targets, sweeps, tolerance)
     everything = Window.partitionBy(F.lit(0))
-    rates = raked.select(*(F.col(m).alias(f"cell_{m}") for m in MARGINS),
-                         (F.col("weight") * F.lit(float(size)) * F.sum("tokens").over(everything) / F.col("tokens")).alias("epochs"))
+    return raked.select(*(F.col(m).alias(f"cell_{m}") for m in MARGINS),
+                        (F.col("weight") * F.lit(float(size)) * F.sum("tokens").over(everything) / F.col("tokens")).alias("epochs"))
+
+
+def _same_cell(**named: str) -> Column:
+    """Whether a row is of a cell; ``named`` has the row's columns that are not named as the margin."""
     same = F.lit(True)
     for m in MARGINS:
-        same = same & F.col(m).eqNullSafe(F.col(f"cell_{m}"))
-    return facts.join(rates, same, "left").select(
-        "doc_id", *MARGINS, "tokens", "epochs",
-        F.floor(F.col("epochs") + uniform(F.col("doc_id"), seed)).cast("long").alias("copies"))
+        same = same & F.col(named.get(m, m)).eqNullSafe(F.col(f"cell_{m}"))
+    return same
+
+
+def _copies(doc_id: Column, seed: int) -> Column:
+    return F.floor(F.col("epochs") + uniform(doc_id, seed)).cast("long").alias("copies")
+
+
+def repeat_documents(docs: DataFrame, targets: Mapping[str, Mapping[str, float] | None], lexicons: Mapping[str, str],
+                     size: float = 0.5, sweeps: int = 30, tolerance: float = 1e-9, seed: int = 8) -> DataFrame:
+    """The mix itself: every row of ``docs`` (doc_id, text, source, lang and others) ``copies`` times.
+
+    The copies are those of ``mix_documents`` with the same arguments. Rows
+    meet the small table of cells, not each other, so repeated and null ids
+    are decided row by row.
+    """
+    topic = lexicon_topic(F.col("text"), lexicons)
+    cell = [F.col("source").cast("string").alias("mix_source"), F.col("lang").cast("string").alias("mix_lang"), topic.alias("mix_topic")]
+    facts = stored(docs.select(*(c.alias(m) for c, m in zip(cell, MARGINS)), token_count(F.col("text")).alias("tokens"))
+                   .groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens")), "document-cells")
+    rates = cell_rates(facts, targets, size, sweeps, tolerance)
+    drawn = docs.select("*", *cell).join(rates, _same_cell(**{m: f"mix_{m}" for m in MARGINS}), "left")
+    kept = drawn.withColumn("mix_copies", _copies(F.col("doc_id"), seed)).filter("mix_copies > 0")
+    return kept.select(*(F.col(f"`{c}`") for c in docs.columns),
+                       F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_copies"))).alias("mix_copy")).drop("mix_copy")

@@ -98,11 +98,18 @@ def mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read_table(spark, sf_dir, "documents"))
 
 
+MIX = {"size": 0.5, "sweeps": 8, "tolerance": 0.0, "seed": 8}
+
+
 def mix(docs: DataFrame) -> DataFrame:
-    mixed = mixing_ipf.mix_documents(docs, MIX_TARGETS, MIX_LEXICONS, size=0.5, sweeps=8, tolerance=0.0, seed=8)
+    mixed = mixing_ipf.mix_documents(docs, MIX_TARGETS, MIX_LEXICONS, **MIX)
     return mixed.withColumn("epochs", F.round("epochs", 9))
 
 
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    return mixing_ipf.repeat_documents(docs, MIX_TARGETS, MIX_LEXICONS, **MIX)
+
+
 def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"))
 

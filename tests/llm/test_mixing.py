@@ -72,3 +72,18 @@ def test_nulls_repeats_and_empty(spark):
     out = m.mix_documents(df, {}, LEX, size=1.0).collect()
     assert len(out) == 3 and all(r.epochs is not None and r.copies is not None for r in out)
     assert m.mix_documents(spark.createDataFrame([], schema), {}, LEX).count() == 0
+
+
+def test_mix_repeats_rows_by_their_copies(spark):
+    rows = [(i if i % 9 else None, "hill a b c", "a", "en", str(i)) for i in range(200)] + [(500, "ship", "a", "en", "x"), (500, "hill", "a", None, "y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, topic string")
+    args = dict(targets={"topic": {"sea": 0.4, "land": 0.6}}, lexicons=LEX, size=0.5)
+    want = defaultdict(int)
+    for r in m.mix_documents(df, **args).collect():
+        want[r.doc_id, r.lang, r.tokens] += r.copies
+    out = m.repeat_documents(df, **args)
+    got = defaultdict(int)
+    for r in out.collect():
+        got[r.doc_id, r.lang, r.text.count(" ") + 1] += 1
+    assert out.schema == df.schema and got == {k: n for k, n in want.items() if n}
+    assert got[500, "en", 1] > 100 and sum(n * k[2] for k, n in got.items()) == pytest.approx(0.5 * 802, rel=0.15)

@@ -91,3 +91,12 @@ def test_nulls_repeats_extra_columns_and_empty(spark):
             if name != "mixing":
                 out = kept
         assert (pipeline.STAGES[-1][1](spark, out, SF).count() > 0) == (out.count() > 0)
+
+
+def test_mixing_repeats_each_document_by_its_copies(stages):
+    want = {r.doc_id: r.copies for r in queries.mix(stages[3]).collect() if r.copies > 0}
+    assert Counter(r.doc_id for r in stages[4].select("doc_id").collect()) == want and max(want.values()) > 1
+    packed = Counter()
+    for r in stages[5].collect():
+        packed[r.doc_id, r.doc_tokens] += r.length
+    assert packed == {(i, n): want[i] * n for i, n in packed}
