@@ -63,8 +63,7 @@ def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = read_table(spark, sf_dir, "labels").groupBy("doc_id").agg(
         F.max((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad"))
     labelled = pages.join(labels, pages["page_id"] == labels["doc_id"]).select("url", "bad")
-    return url_rules.judge_urls(pages, labelled, URL_RULES, min_support=0.005, min_pages=5, min_confidence=0.5,
-                                max_tokens=2)
+    return url_rules.judge_urls(pages, labelled, URL_RULES, min_support=0.005, min_pages=5, min_confidence=0.5)
 
 
 def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -63,13 +63,13 @@ def listed_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, str]
 
 
 def mine_rules(labelled: DataFrame, url_col: str = "url", bad_col: str = "bad", min_support: float = 0.005,
-               min_pages: int = 5, min_confidence: float = 0.5, max_tokens: int = 2) -> DataFrame:
+               min_pages: int = 5, min_confidence: float = 0.5, max_tokens: int | None = None) -> DataFrame:
     """Rules (tokens, pages, bad_pages): token sets whose labelled pages are mostly bad.
 
     ``min_support`` is the least share of labelled pages that have the
     tokens and are bad, ``min_pages`` their least number, ``min_confidence``
     the least share of bad ones among the pages that have the tokens. A rule that contains another rule's
-    tokens is dropped. Pages with a null label or without tokens take no
+    tokens is dropped. Sets have any number of tokens unless ``max_tokens`` limits it. Pages with a null label or without tokens take no
     part. No labelled pages give no rules.
     """
     baskets = stored(labelled.select(tokens_of(F.col(url_col)).alias("tokens"), F.col(bad_col).alias("bad"))
@@ -81,22 +81,38 @@ def mine_rules(labelled: DataFrame, url_col: str = "url", bad_col: str = "bad",
     if baskets.isEmpty():
         return spark.createDataFrame([], schema)
     sets = FPGrowth(minSupport=min_support, itemsCol="items").fit(baskets).freqItemsets
-    sets = stored(sets.select(F.array_sort(F.array_remove("items", BAD)).alias("tokens"),
-                              F.array_contains("items", BAD).alias("with_bad"), "freq")
-                  .filter(F.size("tokens").between(1, max_tokens)), "frequent-token-sets")
-    rules = (sets.groupBy("tokens").agg(F.max(F.when(~F.col("with_bad"), F.col("freq"))).alias("pages"),
-                                        F.max(F.when(F.col("with_bad"), F.col("freq"))).alias("bad_pages"))
-             .filter((F.col("bad_pages") >= min_confidence * F.col("pages")) & (F.col("bad_pages") >= min_pages)))
-    parts = rules.filter(F.size("tokens") > 1).select("tokens", F.explode("tokens").alias("part"))
-    # the parts of a set of up to three tokens that can be rules are its tokens and its pairs
-    if max_tokens > 2:
-        pairs = F.transform("tokens", lambda x: F.array_sort(F.array_remove("tokens", x)))
-        smaller = rules.filter(F.size("tokens") > 2).select("tokens", F.explode(pairs).alias("subset"))
-        implied = parts.select("tokens", F.array("part").alias("subset")).union(smaller)
-    else:
-        implied = parts.select("tokens", F.array("part").alias("subset"))
-    known = implied.join(rules.select(F.col("tokens").alias("subset")), "subset", "left_semi").select("tokens").distinct()
-    return rules.join(known, "tokens", "left_anti").select("tokens", "pages", "bad_pages")
+    sets = sets.select(F.array_sort(F.array_remove("items", BAD)).alias("tokens"),
+                       F.array_contains("items", BAD).alias("with_bad"), "freq").filter(F.size("tokens") >= 1)
+    if max_tokens:
+        sets = sets.filter(F.size("tokens") <= max_tokens)
+    sets = stored(sets.groupBy("tokens").agg(F.max(F.when(~F.col("with_bad"), F.col("freq"))).alias("pages"),
+                                             F.max(F.when(F.col("with_bad"), F.col("freq"))).alias("bad_pages"))
+                  .filter("bad_pages is not null")
+                  .withColumn("rule", (F.col("bad_pages") >= min_confidence * F.col("pages")) & (F.col("bad_pages") >= min_pages)),
+                  "frequent-token-sets")
+    return _shortest_rules(sets)
+
+
+def _shortest_rules(sets: DataFrame) -> DataFrame:
+    """The rules among ``sets`` (tokens, pages, bad_pages, rule) that hold no other rule's tokens.
+
+    All subsets of a set must be there too. So a set holds a shorter rule if
+    one of its subsets with one token less is a rule or holds one: one join
+    for each number of tokens, and no pairs of rules.
+    """
+    longest = sets.agg(F.max(F.size("tokens"))).first()[0] or 0
+    found = sets.filter("rule").filter(F.size("tokens") == 1)
+    holding = found.select("tokens")
+    for n in range(2, longest + 1):
+        these = sets.filter(F.size("tokens") == n)
+        without_one = F.transform("tokens", lambda x: F.array_remove("tokens", x))
+        implied = (these.select("tokens", F.explode(without_one).alias("subset"))
+                   .join(holding.select(F.col("tokens").alias("subset")), "subset", "left_semi").select("tokens").distinct())
+        marked = stored(these.join(implied.withColumn("implied", F.lit(True)), "tokens", "left")
+                        .filter("rule or implied"), "url-rules-by-length")
+        found = found.unionByName(marked.filter("implied is null").drop("implied"))
+        holding = marked.select("tokens")
+    return found.select("tokens", "pages", "bad_pages")
 
 
 def blocked_urls(urls: DataFrame, rules: DataFrame, url_col: str = "url") -> DataFrame:

@@ -73,3 +73,36 @@ def test_three_token_rules_and_empty_pages(spark):
     rules = {tuple(r.tokens) for r in u.mine_rules(labelled, min_confidence=0.9, max_tokens=3).collect()}
     assert rules == {("p:x1", "p:y1", "p:z1"), ("p:x2", "p:y2", "p:z2")}
     assert u.judge_urls(spark.createDataFrame([], "page_id long, url string"), labelled, URL_RULES).count() == 0
+
+
+def test_rules_of_any_length_match_counting(spark):
+    rnd = random.Random(4)
+    rows = []
+    for _ in range(900):
+        host, a, b, q = (rnd.choice(x) for x in (["s.org", "t.org", "u.org"], ["en", "ads"], ["x", "pills"], ["id", "ref"]))
+        bad = (host, a, q) == ("s.org", "ads", "ref") or (host, a, b, q) == ("t.org", "en", "pills", "id") or rnd.random() < 0.1
+        rows.append((f"http://{host}/{a}/{b}?{q}=1", bad))
+    counts = {}
+    for url, bad in rows:
+        host, a, b = url.split("/")[2:]
+        tokens = {f"h:{x}" for x in host.split(".")} | {f"p:{a}", f"p:{b.split('?')[0]}", f"q:{b.split('?')[1][:-2]}"}
+        for n in range(1, len(tokens) + 1):
+            for c in combinations(sorted(tokens), n):
+                counts.setdefault(c, [0, 0])[0] += 1
+                counts[c][1] += bad
+    rules = {c for c, (n, k) in counts.items() if k >= 5 and k >= 0.8 * n}
+    rules = {c for c in rules if not any(set(r) < set(c) for r in rules)}
+    labelled = spark.createDataFrame(rows, "url string, bad boolean")
+    got = {tuple(r.tokens): (r.pages, r.bad_pages) for r in u.mine_rules(labelled, min_confidence=0.8).collect()}
+    assert got == {c: tuple(counts[c]) for c in rules} and {len(c) for c in got} >= {3, 4}
+    pages = spark.createDataFrame([(1, "http://s.org/ads/new?ref=2"), (2, "http://s.org/ads/x?id=2"), (3, "http://t.org/en/pills?id")],
+                                  "page_id long, url string")
+    judged = {r.page_id: r.verdict for r in u.judge_urls(pages, labelled, (), min_confidence=0.8).collect()}
+    assert judged == {1: "block", 2: "allow", 3: "block"}
+
+
+def test_a_rule_covered_by_a_much_shorter_one_is_dropped(spark):
+    # x is a rule, x and y are none, x and y and z are one again
+    urls = [("http://a/x", True)] * 40 + [("http://a/x/y", False)] * 12 + [("http://a/x/y/z", True)] * 10 + [("http://a/y/z", False)] * 50
+    rules = [tuple(r.tokens) for r in u.mine_rules(spark.createDataFrame(urls, "url string, bad boolean"), min_confidence=0.8).collect()]
+    assert rules == [("p:x",)]
