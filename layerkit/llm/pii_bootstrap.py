@@ -4,9 +4,10 @@ Base matches (mail addresses, IP addresses, card and phone numbers) come
 from fixed expressions and checks. They are the seed entities of a
 bootstrap:
 
-1. Every identifier-like token of the corpus - one with an ``@`` or with
-   many digits - is an instance. Its lexical pattern is the two words
-   before it and its own shape.
+1. Every base match, every identifier-like token - one with an ``@`` or
+   with many digits - and every run of adjoining digit groups is an
+   instance. Its lexical pattern is the two words before it, whatever they
+   are (the start of the text counts as words), and its own shape.
 2. Patterns and instances form a graph, weighted by how often they meet.
    Its edges are summed first, so it grows with distinct pairs only.
 3. Scores go back and forth. A pattern's score is the share of its
@@ -39,10 +40,16 @@ BASE = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 OCTET = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2}|(?=[.]|$))"
-#: Instances: blank-delimited tokens with an @ or at least six digits.
+#: Instances besides the base matches: blank-delimited tokens with an @ or at least six digits,
+#: and runs of digit groups with a blank between them (six digits in all) or dotted quads.
 CONTEXT, LONGEST = 80, 256
 TOKEN = r"(?<!\S)(?:(?=[^\s@]*+@)|(?=(?:[^\s0-9]*+[0-9]){6}))\S++"
 
+GROUP = r"[+(]{0,2}[0-9]++(?:[().-]{1,3}[0-9]++)*+\)?+(?![\p{L}0-9@])"
+GROUPS = rf"(?<!\S){GROUP}(?:\x20{GROUP})*+"
+#: Stands before a text's first words.
+START = "^ ^ "
+
 
 def _digits(c: Column) -> Column:
     return F.regexp_replace(c, "[^0-9]", "")
@@ -77,7 +84,7 @@ RUN = 256
 
 
 def _walk(pieces: Column, matches: Column) -> Column:
-    """Matches with start, end and the text since the match before.
+    """Matches with start, end and the last characters of the text before them.
 
     ``pieces`` are what a split by the same expression leaves, so positions
     are running sums of lengths. They are summed in runs, so that the work
@@ -85,26 +92,37 @@ def _walk(pieces: Column, matches: Column) -> Column:
     """
     last = F.size(matches) - 1
 
-    def ends(at: Column, j: Column) -> Column:
-        return (at + F.length(F.get(pieces, j)) + F.length(F.get(matches, j))).cast("long")
+    def context(before: Column, j: Column) -> Column:
+        return F.right(F.concat(before, F.right(F.get(pieces, j), F.lit(CONTEXT))), F.lit(CONTEXT))
+
+    def step(acc: Column, j: Column) -> tuple[Column, Column]:
+        at = (acc["at"] + F.length(F.get(pieces, j)) + F.length(F.get(matches, j))).cast("long")
+        tail = F.right(F.concat(context(acc["tail"], j), F.right(F.get(matches, j), F.lit(CONTEXT))), F.lit(CONTEXT))
+        return at.alias("at"), tail.alias("tail")
 
     def run_of(first: Column) -> Column:
         return F.sequence(first, F.least(first + F.lit(RUN - 1), last))
 
-    def spans(at: Column, first: Column) -> Column:
+    def spans(start: Column, first: Column) -> Column:
         return F.aggregate(
-            run_of(first), F.struct(at.alias("at"), F.array().cast(f"array<{SPAN}>").alias("found")),
-            lambda acc, j: F.struct(ends(acc["at"], j).alias("at"), F.array_append(acc["found"], F.struct(
-                (acc["at"] + F.length(F.get(pieces, j))).cast("long").alias("start"), ends(acc["at"], j).alias("end"),
-                F.get(matches, j).alias("match"), F.right(F.get(pieces, j), F.lit(CONTEXT)).alias("before"))).alias("found")),
+            run_of(first), F.struct(start["at"].alias("at"), start["tail"].alias("tail"), F.array().cast(f"array<{SPAN}>").alias("found")),
+            lambda acc, j: F.struct(*step(acc, j), F.array_append(acc["found"], F.struct(
+                (acc["at"] + F.length(F.get(pieces, j))).cast("long").alias("start"), step(acc, j)[0].alias("end"),
+                F.get(matches, j).alias("match"), context(acc["tail"], j).alias("before"))).alias("found")),
             lambda acc: acc["found"])
 
+    def after(start: Column, first: Column) -> Column:
+        return F.aggregate(run_of(first), F.struct(start["at"].alias("at"), start["tail"].alias("tail")),
+                           lambda acc, j: F.struct(*step(acc, j)))
+
+    def next_run(acc: Column, first: Column) -> Column:
+        return F.struct(after(acc["now"], first).alias("now"), F.array_append(acc["found"], spans(acc["now"], first)).alias("found"))
+
     runs = F.aggregate(
         F.sequence(F.lit(0), last, F.lit(RUN)),
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast(f"array<array<{SPAN}>>").alias("found")),
-        lambda acc, first: F.struct(F.aggregate(run_of(first), acc["at"], ends).alias("at"),
-                                    F.array_append(acc["found"], spans(acc["at"], first)).alias("found")),
-        lambda acc: F.flatten(acc["found"]))
+        F.struct(F.struct(F.lit(0).cast("long").alias("at"), F.lit(START).alias("tail")).alias("now"),
+                 F.array().cast(f"array<array<{SPAN}>>").alias("found")),
+        next_run, lambda acc: F.flatten(acc["found"]))
     return F.when(F.size(matches) > 0, runs).otherwise(F.array().cast(f"array<{SPAN}>"))
 
 
@@ -147,8 +165,11 @@ def _core(match: Column) -> Column:
 
 
 def _words_before(before: Column) -> Column:
-    last = F.regexp_extract(before, r"(\S{1,32}+\s++\S{1,32}+)\s*+$", 1)
-    return F.regexp_replace(F.regexp_replace(F.lower(last), "[0-9]", "9"), r"\s+", " ")
+    """The last two words, of each the last 32 characters, digits as 9; a word with an @ as that sign."""
+    words = F.filter(F.split(before, r"\s+"), lambda w: w != "")
+    last = F.slice(words, F.greatest(F.size(words) - 1, F.lit(1)), F.lit(2))
+    return F.array_join(F.transform(last, lambda w: F.when(w.contains("@"), F.lit("@")).otherwise(
+        F.regexp_replace(F.lower(F.right(w, F.lit(32))), "[0-9]", "9"))), " ")
 
 
 def _facts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -156,7 +177,8 @@ def _facts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     base = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(F.col(id_col), text).alias("key"))
     digit, at = F.col("text").rlike("[0-9]"), F.col("text").contains("@")
     condition = {"email": at, "ip": digit, "card": digit, "phone": F.col("text").contains("+")}
-    found = _located(base, "text", {k: (BASE[k], condition[k]) for k in KINDS} | {"token": (TOKEN, digit | at)})
+    found = _located(base, "text", {k: (BASE[k], condition[k]) for k in KINDS}
+                     | {"token": (TOKEN, digit | at), "groups": (GROUPS, digit)})
     span = "array<struct<kind:int,start:bigint,end:bigint>>"
 
     def passing(i: int, kind: str) -> Column:
@@ -164,7 +186,24 @@ def _facts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             F.lit(i).alias("kind"), x["start"].alias("start"), x["end"].alias("end"))).cast(span)
 
     sure = F.concat(*(passing(i, k) for i, k in enumerate(KINDS)))
-    found = found.select("doc_id", "key", sure.alias("base"), F.filter("token", lambda x: F.length(x["match"]) <= LONGEST).alias("token"))
+    def short(x: Column) -> Column:
+        return F.length(x["match"]) <= LONGEST
+
+    def several(x: Column) -> Column:
+        digits = F.length(_digits(x["match"]))
+        return short(x) & F.when(x["match"].contains(" "), digits >= 6).otherwise(
+            (digits < 6) & x["match"].rlike(r"^[0-9]+(?:\.[0-9]+){3}$"))
+
+    def valid(kind: str) -> Column:
+        return F.filter(kind, lambda x: short(x) & _passes(kind, x["match"]))
+
+    found = found.select("doc_id", "key", sure.alias("base"), F.filter("token", short).alias("token"), F.filter("groups", several).alias("groups"),
+                         *(valid(k).alias(k) for k in KINDS))
+
+    def whole(x: Column) -> Column:
+        return F.struct(x["start"].alias("start"), x["end"].alias("end"), x["match"].alias("instance"),
+                        F.concat_ws(" ", _words_before(x["before"]), _shape(x["match"])).alias("pattern"),
+                        _words_before(x["before"]) != "")
 
     def seen(x: Column) -> Column:
         core = _core(x["match"])
@@ -175,7 +214,9 @@ def _facts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                         _words_before(x["before"]) != "")
 
     names = "array<struct<start:bigint,end:bigint,instance:string,pattern:string,usable:boolean>>"
-    return found.select("doc_id", "key", "base", F.transform("token", seen).cast(names).alias("tokens"))
+    return found.select("doc_id", "key", "base", F.transform("token", seen).cast(names).alias("tokens"),
+                        F.transform("groups", whole).cast(names).alias("groups"),
+                        F.concat(*(F.transform(k, whole).cast(names) for k in KINDS)).alias("matches"))
 
 
 def pattern_scores(seen: DataFrame, rounds: int = 2) -> DataFrame:
@@ -207,7 +248,8 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     Spans are in code points, end exclusive, in order of kind (``KINDS``)
     and start; found_by is base or context. A discovered span overlaps no
-    base span. Base matches that fail their kind's check are dropped and
+    base span, and of a run of groups and a token in it only the run is
+    given. Base matches that fail their kind's check are dropped and
     not searched again. Tokens over 256 characters take part as base matches
     only, never as instances.
 
@@ -223,13 +265,24 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         kind = F.coalesce(*(F.when(_overlapped(F.col(f"base_{k}"), t["start"], t["end"]), F.lit(i)) for i, k in enumerate(KINDS)))
         return F.struct(*(t[c].alias(c) for c in ("start", "end", "instance", "pattern")), kind.alias("kind"))
 
-    usable = F.filter("tokens", lambda t: t["usable"])
-    seen = stored(facts.withColumns(by_kind).select("key", F.explode(F.transform(usable, occurrence)).alias("t")).select("key", "t.*"), "occurrences")
+    def usable(name: str) -> Column:
+        return F.transform(F.filter(name, lambda t: t["usable"]), occurrence)
+
+    # a run that holds a base match and more is no identifier; a match that is a token, too, is one occurrence
+    runs = F.filter(usable("groups"), lambda t: t["kind"].isNull())
+    def marked(spans: Column, run: bool) -> Column:
+        return F.transform(spans, lambda t: F.struct(*(t[c].alias(c) for c in ("start", "end", "instance", "pattern", "kind")),
+                                                     F.lit(run).alias("run")))
+
+    every = F.concat(marked(usable("tokens"), False), marked(usable("matches"), False), marked(runs, True))
+    seen = stored(facts.withColumns(by_kind).select("key", F.explode(every).alias("t")).select("key", "t.*").distinct(), "occurrences")
     sure = (pattern_scores(seen, rounds).filter((F.col("score") >= min_score) & (F.col("support") >= min_support))
             .groupBy("pattern").agg(F.max(F.struct("score", "support", (-F.col("kind")).alias("k"))).alias("s"))
             .select("pattern", (-F.col("s.k")).alias("found")))
     new = (seen.filter("kind is null").join(sure, "pattern")
-           .groupBy("key").agg(F.collect_set(F.struct(F.col("found").alias("kind"), "start", "end")).alias("new")))
+           .groupBy("key").agg(*(F.array_sort(F.collect_set(F.when(c, F.struct("start", "end", F.col("found").alias("kind"))))).alias(n)
+                                 for n, c in (("runs", F.col("run")), ("single", ~F.col("run")))))
+           .select("key", F.concat("runs", F.filter("single", lambda x: ~_overlapped(F.col("runs"), x["start"], x["end"]))).alias("new")))
     both = F.concat(F.transform("base", lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"),
                                                            F.lit("base").alias("found_by"))),
                     F.coalesce(F.transform("new", lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"),

@@ -87,3 +87,36 @@ def test_empty_repeated_rows_and_null_ids(spark):
     assert found(spark, []) == {}
     df = spark.createDataFrame([(None, "a@b.c"), (1, "a@b.c"), (1, "a@b.c")], "doc_id long, text string").selectExpr("*", "'x' AS spans")
     assert [[tuple(x) for x in r.spans] for r in p.find_personal_data(df).collect()] == [[("email", 0, 5, "base")]] * 3
+
+
+def test_identifiers_of_several_words_are_instances(spark):
+    phones = [f"+1 (0{i}7) 555-77{i}3" for i in range(1, 6)]
+    cards = ["4111 1111 1111 1111", "5500 0055 5555 5559", "4012 8888 8888 1881"]
+    ips = ["10.0.0.1", "10.0.0.2", "10.0.0.3"]
+    rows = [(i, f"w{i} please call {x} now") for i, x in enumerate(phones)]
+    rows += [(10 + i, f"w{i} card number {x} now") for i, x in enumerate(cards)]
+    rows += [(20 + i, f"w{i} host at {x} now") for i, x in enumerate(ips)]
+    # fails the check, so no base match
+    hidden = {50: ("card number", "4111 1111 1111 1112")}
+    rows += [(i, f"x {words} {x}, thanks") for i, (words, x) in hidden.items()]
+    rows += [(52, "w host at 10.0.0.9 now"), (53, "w host of 99.9.9.900")]
+    assert not any(base(x) for _, x in hidden.values())
+    got = found(spark, rows)
+    assert got[50] == [("card", 14, 33, "context")]
+    assert got[20][0][0] == "ip" and got[52][0][3] == "base" and got[53] == []
+
+
+def test_contexts_at_the_start_and_behind_other_identifiers(spark):
+    cards = [c for c in ("4111111111111111", "5500005555555559", "4012888888881881") if passes("card", c)]
+    rows = [(i, c) for i, c in enumerate(cards)] + [(9, "4111111111111112")]
+    rows += [(20 + i, f"pay u{i}@h.com {c}") for i, c in enumerate(cards)] + [(29, "pay me@x.org 4111111111111113")]
+    got = found(spark, rows)
+    assert got[9] == [("card", 0, 16, "context")] and got[29] == [("email", 4, 12, "base"), ("card", 13, 29, "context")]
+
+
+def test_phones_support_the_words_before_the_whole_number(spark):
+    rows = [(i, f"w{i} please call +1 (0{i}7) 555-77{i}3 now") for i in range(1, 6)]
+    df = spark.createDataFrame([*rows, (9, "now please call +1 (097) 555-7793 0000 0000 0000")], "doc_id long, text string")
+    facts = p._facts(df, "doc_id", "text").collect()
+    assert {m.pattern for r in facts for m in r.matches} == {"please call +9 (999) 999-9999"}
+    assert [m.pattern for r in facts if r.doc_id == 9 for m in r.groups] == ["please call +9 (999) 999-9999 9999 9999 9999"]
