@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (cutting_stock, golomb_dedup, hypergeometric_shards, mixing_ipf, multi_index, ordinal_quality, pii_bootstrap,
+from . import (audit_queries, cutting_stock, golomb_dedup, hypergeometric_shards, mixing_ipf, multi_index, ordinal_quality, pii_bootstrap,
                simhash_pivots, url_rules, warc_writer)
 from .common import read_table, scratch_uri, text_of
 
@@ -219,6 +219,7 @@ QUERIES = {
     "op8_mixing": mixing,
     "op9_packing": packing,
     "op10_warc": warc,
+    **audit_queries.QUERIES,
 }
 
 ORACLE = {
@@ -226,4 +227,5 @@ ORACLE = {
     "op5_url_filter": URL_SQL,
     "op8_mixing": _mixing_sql(),
     "op10_warc": WARC_SQL,
+    **audit_queries.ORACLE,
 }
