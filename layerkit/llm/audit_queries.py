@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import transducer_vocabulary
+from . import filter_tries, transducer_vocabulary
 from .common import read_table
 
 
@@ -41,10 +41,46 @@ WHERE part = 'pair' OR rank <= 50
 """
 
 
+def filter_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_tries.filter_audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+FILTER_INTERACTION_SQL = r"""
+WITH w AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+f AS (SELECT doc_id, part, len(words) < 50 AS a, 100 * len(list_distinct(words)) < 65 * len(words) AS b,
+             100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) AS c,
+             regexp_matches(text, '[#$%&*|]') AS d, coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), FALSE) AS e FROM w),
+k AS (SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+m AS (SELECT part, [x FOR x, i IN ['A', 'B', 'C', 'D', 'E'] IF [a, b, c, d, e][i]] AS fails, count(*) AS n,
+             count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+      FROM f LEFT JOIN k USING (doc_id) GROUP BY ALL),
+s AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (SELECT s1.x || s2.x || s3.x || s4.x || s5.x AS filter_order FROM s s1, s s2, s s3, s s4, s s5
+      WHERE len(list_distinct([s1.x, s2.x, s3.x, s4.x, s5.x])) = 5),
+t AS (SELECT filter_order, unnest([1, 2, 3, 4, 5]) AS step FROM o),
+r AS (SELECT part, filter_order, step, n, good, toxic, substr(filter_order, step, 1) AS filter, fails,
+             list_contains(fails, substr(filter_order, step, 1)) AS here,
+             len([x FOR x IN fails IF contains(substr(filter_order, 1, step - 1), x)]) > 0 AS gone FROM m, t),
+c AS (SELECT part, filter_order, step, filter, coalesce(sum(n) FILTER (NOT gone AND NOT here), 0) AS kept,
+             coalesce(sum(n) FILTER (here AND NOT gone), 0) AS removed, coalesce(sum(n) FILTER (here AND gone), 0) AS redundant,
+             coalesce(sum(n) FILTER (fails = [filter]), 0) AS unique_fails,
+             coalesce(sum(good) FILTER (here AND NOT gone), 0) AS good_lost,
+             coalesce(sum(toxic) FILTER (here AND NOT gone), 0) AS toxic_lost
+      FROM r GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+       CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, filter) AS BIGINT) AS shapley
+FROM c
+"""
+
+
 QUERIES = {
     "op11_source_divergence": source_divergence,
+    "op12_filter_interaction": filter_interaction,
 }
 
 ORACLE = {
     "op11_source_divergence": SOURCE_DIVERGENCE_SQL,
+    "op12_filter_interaction": FILTER_INTERACTION_SQL,
 }
