@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import filter_tries, transducer_vocabulary
+from . import filter_tries, gated_toxicity, transducer_vocabulary
 from .common import read_table
 
 
@@ -75,9 +75,16 @@ FROM c
 """
 
 
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = gated_toxicity.train(docs, read_table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return gated_toxicity.score_documents(docs, model, threshold=0.3)
+
+
 QUERIES = {
     "op11_source_divergence": source_divergence,
     "op12_filter_interaction": filter_interaction,
+    "op13_toxicity": toxicity,
 }
 
 ORACLE = {
