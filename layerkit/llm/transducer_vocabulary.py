@@ -488,6 +488,7 @@ def divergence_audit(docs: DataFrame, min_docs: int = 30, top_terms: int = 50, s
                  .filter("value > 0"))
     best = (used_more.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "source").orderBy(*order, "ordinal")))
             .filter(F.col("rank") <= top_terms))
-    terms = best.join(term_ordinals(shards), ["lang", "ordinal"]).select(
+    # the unfolded terms are many times the size of the files that Spark would judge a broadcast by
+    terms = best.join(term_ordinals(shards).hint("merge"), ["lang", "ordinal"]).select(
         "lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), "value", "rank")
     return pairs.unionByName(terms)
