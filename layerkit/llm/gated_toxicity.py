@@ -23,7 +23,7 @@ once for each word and task and then looked up.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from zlib import crc32
 
@@ -44,6 +44,8 @@ WORD_BITS, GRAM_BITS = 16, 17
 WORD_BYTES = bytes(c if c >= 0x80 or 97 <= c <= 122 or 48 <= c <= 57 or c in b"@$*" else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 #: Windows that are run through the network at once, and words whose inputs a task keeps.
 RUN_WINDOWS, HELD_WORDS = 2048, 200_000
+#: Words whose inputs are worked out at once.
+AT_ONCE = 4096
 #: Bytes of windows of one document that come to the driver.
 SAMPLE_BYTES = 1 << 16
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -107,7 +109,7 @@ class GatedModel:
 
     def projected(self, words: list[bytes]) -> np.ndarray:
         """The words' inputs to the gates of either direction: 2 x words x 3 HIDDEN."""
-        flat = [self.inputs(words[at:at + 8192])[0] @ self.parts["project"] + self.parts["bias"] for at in range(0, len(words), 8192)]
+        flat = [self.inputs(words[at:at + AT_ONCE])[0] @ self.parts["project"] + self.parts["bias"] for at in range(0, len(words), AT_ONCE)]
         return np.concatenate([np.empty((0, 6 * HIDDEN), np.float32), *flat]).reshape(-1, 2, 3 * HIDDEN).swapaxes(0, 1).copy()
 
     def logits(self, gates: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -236,7 +238,7 @@ def gradients(model: GatedModel, words: list[bytes], ids: np.ndarray, mask: np.n
     return loss, g
 
 
-def _odds(slots: list[np.ndarray], toxic: np.ndarray, size: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+def _odds(slots: Iterable[np.ndarray], toxic: np.ndarray, size: int, least: int) -> tuple[np.ndarray, np.ndarray]:
     """Log-odds of each slot from the documents that have it, and whether at least ``least`` have."""
     seen = np.zeros((2, size))
     for y, s in zip(toxic, slots):
@@ -246,29 +248,38 @@ def _odds(slots: list[np.ndarray], toxic: np.ndarray, size: int, least: int) ->
     return (np.clip(np.log(rate[1] / rate[0]), -3, 4) * used).astype(np.float32), used.astype(np.float32)
 
 
-def fit(texts: list[list[list[bytes]]], toxic: np.ndarray, prior: float, epochs: int = 6, batch: int = 192, rate: float = 0.015,
+def fit(texts: Iterable[list[list[bytes]]], toxic: np.ndarray, prior: float, epochs: int = 6, batch: int | None = None, rate: float = 0.015,
         min_docs: int = 4, kept_out: int = 5, seed: int = 13) -> GatedModel:
     """From documents as lists of windows (lists of words) and whether each is toxic.
 
     Every ``kept_out``-th document is used for the probabilities only.
     ``prior`` is the share of toxic documents that these are to hold for.
     Words and n-grams of fewer than ``min_docs`` documents have no input.
+    ``batch`` is a twentieth of the windows of an epoch, 24 to 192, unless given.
     """
     rng = np.random.default_rng(seed)
     model = new_model(rng)
     p = model.parts
     names: dict[bytes, int] = {}
-    docs = [[np.array([names.setdefault(w, len(names)) for w in window], np.int64) for window in windows] for windows in texts]
+    docs = [[np.array([names.setdefault(w, len(names)) for w in window], np.int32) for window in windows] for windows in texts]
     words = list(names)
     away = np.arange(len(docs)) % kept_out == 0
-    whole, grams, first = word_slots(words)
+    whole, grams, first = [], [], []
+    for at in range(0, len(words), AT_ONCE):
+        a, b, c = word_slots(words[at:at + AT_ONCE])
+        first.append(c + sum(map(len, grams)))
+        whole.append(a.astype(np.int32))
+        grams.append(b.astype(np.int32))
+    whole, grams, first = (np.concatenate(x) for x in (whole, grams, first))
     last = np.append(first[1:], len(grams))
     seen = [np.unique(np.concatenate(d)) for d in docs]
     learn = np.flatnonzero(~away)
-    odds, p["word_used"] = _odds([np.unique(whole[seen[i]]) for i in learn], toxic[learn], 1 << WORD_BITS, min_docs)
+    odds, p["word_used"] = _odds((np.unique(whole[seen[i]]) for i in learn), toxic[learn], 1 << WORD_BITS, min_docs)
     p["word"][:, 0] = odds
-    odds, p["gram_used"] = _odds([np.unique(np.concatenate([grams[first[w]:last[w]] for w in seen[i]])) for i in learn], toxic[learn], 1 << GRAM_BITS, min_docs)
+    odds, p["gram_used"] = _odds((np.unique(np.concatenate([grams[first[w]:last[w]] for w in seen[i]])) for i in learn), toxic[learn],
+                                 1 << GRAM_BITS, min_docs)
     p["gram"][:, 0] = odds
+    del whole, grams, first, last, seen
 
     def worst(score_of) -> tuple[list[int], np.ndarray]:
         """The number of each document's worst window, and the scores of all."""
@@ -280,8 +291,8 @@ def fit(texts: list[list[list[bytes]]], toxic: np.ndarray, prior: float, epochs:
         return out, scores
 
     def by_odds(windows: list[np.ndarray]) -> np.ndarray:
-        u = model.inputs(words)[0]
-        word = u[:, 0] + u[:, WIDTH]
+        parts = (model.inputs(words[at:at + AT_ONCE])[0] for at in range(0, len(words), AT_ONCE))
+        word = np.concatenate([u[:, 0] + u[:, WIDTH] for u in parts])
         return np.array([np.sort(word[w])[-3:].sum() for w in windows])
 
     def by_network(windows: list[np.ndarray]) -> np.ndarray:
@@ -299,8 +310,9 @@ def fit(texts: list[list[list[bytes]]], toxic: np.ndarray, prior: float, epochs:
         # another window of each clean document, so that the network knows more than the worst ones
         rows += [(int(rng.integers(starts[i], starts[i + 1])), 0.0, 0.5) for i in learn if not toxic[i]]
         order = rng.permutation(len(rows))
-        for at in range(0, len(rows), batch):
-            some = [rows[i] for i in order[at:at + batch]]
+        some_rows = batch or min(192, max(24, len(rows) // 20))
+        for at in range(0, len(rows), some_rows):
+            some = [rows[i] for i in order[at:at + some_rows]]
             size = max(len(flat[w]) for w, _, _ in some)
             ids, mask = np.zeros((len(some), size), np.int64), np.zeros((len(some), size), np.float32)
             for i, (w, _, _) in enumerate(some):
@@ -441,7 +453,7 @@ def is_held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 4 == 2, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, max_toxic: int = 1500, max_clean: int = 2500, max_windows: int = 16,
+def train(docs: DataFrame, labels: DataFrame, max_toxic: int = 1500, max_clean: int = 2500, max_windows: int = 12,
           **fitting) -> GatedModel:
     """Fit on labels (doc_id, toxic) that are not held out and have a document (doc_id, text).
 
@@ -470,7 +482,7 @@ def train(docs: DataFrame, labels: DataFrame, max_toxic: int = 1500, max_clean:
     toxic = np.array([r["toxic"] == 1 for r in found], bool)
     if not toxic.any() or toxic.all():
         return GatedModel({}, constant=prior)
-    return fit([[w.split(b" ") for w in bytes(r["windows"]).split(b"\n")] for r in found], toxic, prior, **fitting)
+    return fit(([w.split(b" ") for w in bytes(r["windows"]).split(b"\n")] for r in found), toxic, prior, **fitting)
 
 
 def score_documents(docs: DataFrame, model: GatedModel, threshold: float = 0.3) -> DataFrame:
