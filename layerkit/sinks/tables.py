@@ -12,6 +12,7 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -176,10 +177,31 @@ def recover_swap(spark, table: str) -> None:
     if not exists(table) and exists(previous):
         spark.sql(f"ALTER TABLE {staging if exists(staging) else previous} RENAME TO {table}")
     if exists(table):
+        relocate_partitions(spark, table)
         for left in (staging, previous):
             spark.sql(f"DROP TABLE IF EXISTS {left}")
 
 
+def relocate_partitions(spark, table: str) -> None:
+    """Let a renamed table's partitions follow it.
+
+    A rename moves the folder of a managed table; some catalogs (Spark's
+    in-memory one) leave the partitions at their old places, where nothing
+    is any more. Partitions that are under the table's folder are not touched.
+    """
+    about = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+    if "# Partition Information" not in about:
+        return
+    home = about["Location"].rstrip("/")
+    for r in spark.sql(f"SHOW PARTITIONS {table}").collect():
+        spec = ", ".join(f"`{k}` = {'NULL' if v == '__HIVE_DEFAULT_PARTITION__' else sql_literal(unquote(v))}"
+                         for k, v in (p.split("=", 1) for p in r[0].split("/")))
+        place = {x[0]: x[1] for x in spark.sql(f"DESCRIBE TABLE EXTENDED {table} PARTITION ({spec})").collect()}["Location"]
+        if not place.startswith(f"{home}/"):
+            spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION {sql_literal(f'{home}/{r[0]}')}")
+    spark.catalog.refreshTable(table)
+
+
 def overwrite_from_self(df: DataFrame, table: str, partition_by=()) -> int:
     """H7: overwrite a table with a plan that reads it.
 
@@ -197,6 +219,8 @@ def overwrite_from_self(df: DataFrame, table: str, partition_by=()) -> int:
     n = write_table(df, staging, mode="overwrite", partition_by=partition_by)
     spark.sql(f"ALTER TABLE {table} RENAME TO {previous}")
     spark.sql(f"ALTER TABLE {staging} RENAME TO {table}")
+    if partition_by:
+        relocate_partitions(spark, table)
     spark.sql(f"DROP TABLE IF EXISTS {previous}")
     return n
 
