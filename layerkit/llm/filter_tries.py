@@ -149,10 +149,11 @@ def _scan(block_bytes: int, block_rows: int, split_bytes: int, thresholds: tuple
                 yield _rows(0, number, number=list(some), doc_id=list(ids[at:at + (1 << 14)]), source=list(sources[at:at + (1 << 14)]),
                             mask=[masks[x] for x in some], least=[trie.least[x] for x in some])
             ends, before, passed, group, held = [], b"", 0, [], 0
+            every = min(split_bytes, size // CANDIDATES + 64)
             for node in trie.terminals():
                 text = texts[node]
                 passed += len(text) + 64
-                if passed >= split_bytes:
+                if passed >= every:
                     ends.append(text[:common_prefix(before, text) + 1])
                     passed = 0
                 before = text
