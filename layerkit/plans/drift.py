@@ -34,11 +34,22 @@ def _short(name: str) -> str:
 
 def capture_schema(spark: SparkSession, database: str, registry: str,
                    control_tables=("schema_registry", "schema_drift_log")) -> DataFrame:
-    """Snapshot ``database`` into ``registry`` (replacing its own scope)."""
+    """Snapshot ``database`` into ``registry`` (replacing its own scope).
+
+    A table that cannot be read does not stop the others: it keeps the
+    baseline it had, and its error is printed.
+    """
     exclude = set(control_tables) | {_short(registry)}
-    snap = snapshot_schema(spark, database, exclude=exclude)
+    unreadable: list = []
+    snap = snapshot_schema(spark, database, exclude=exclude, unreadable=unreadable)
     ts = _now_literal()
     snap = snap.withColumns({"_registered_at": ts, "updated_at": ts})
+    for name, error in unreadable:
+        print(f"{database}.{name}: {UNREADABLE}: {error}")
+    if unreadable and spark.catalog.tableExists(registry):
+        kept = spark.table(registry).filter((F.col("schema_name") == database) & F.col("table_name").isin([name for name, _ in unreadable]))
+        # driver-side rows: the plan may not read the partition it replaces; a few rows for each unreadable table
+        snap = snap.unionByName(spark.createDataFrame(kept.select(*snap.columns).collect(), snap.schema))
     replace_scope(snap, registry, "schema_name", database)
     return snap
 
