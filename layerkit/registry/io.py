@@ -19,6 +19,7 @@ from ..session import scratch_path
 from ..sinks.tables import append_evolving, replace_scope, write_table
 from ..sources.catalog import create_database, register_sources, table_exists, use_database
 from ..streaming.incremental import incremental_append, stream_new_files
+from ..streaming.latest import keep_latest_stream, read_latest
 from .common import t
 from .models import ORACLE as MODEL_SQL
 from .models import supplier_metrics
@@ -228,6 +229,22 @@ def stream_ingest(spark, sf_dir):
     return spark.table(f"{db}.orders").drop("_batch")
 
 
+def stream_keep_latest(spark, sf_dir):
+    """W1 under E2: three drops of versions with repeats, rows out of order and late ones; a restart before each."""
+    db, land, ckpt = scratch_db(spark, "latest"), scratch_path(spark, "latest-landing"), scratch_path(spark, "latest-checkpoint")
+    o = t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", F.col("o_orderdate").alias("changed_at"))
+    drops = [o.filter("o_orderstatus = 'F'"),
+             o.filter("o_orderkey % 3 = 0").withColumns({"o_orderpriority": F.lit("CHANGED"), "changed_at": F.col("changed_at") + F.expr("interval 10 days")})
+             .unionByName(o.filter("o_orderkey % 4 = 0")),
+             o.withColumns({"o_orderpriority": F.lit("LATE"), "changed_at": F.col("changed_at") - F.expr("interval 100 days")})
+             .unionByName(o.filter("o_orderkey % 10 = 0").withColumn("o_orderpriority", F.lit("TIED")))]
+    for n, rows in enumerate(drops):
+        rows.write.parquet(f"{land}/drop{n}")
+        keep_latest_stream(spark.readStream.schema(o.schema).parquet(f"{land}/*"), "o_orderkey", "changed_at", f"{db}.orders", ckpt,
+                           buckets=4)
+    return read_latest(spark, f"{db}.orders")
+
+
 def quality_checks_q(spark, sf_dir):
     """Duplicate keys, NULL counts and orphans for line items."""
     return quality_checks(t(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"],
@@ -251,6 +268,7 @@ QUERIES = {
     "upsert_partitioned": upsert_partitioned,
     "incremental_read": incremental_read,
     "stream_ingest": stream_ingest,
+    "stream_keep_latest": stream_keep_latest,
     "quality_checks": quality_checks_q,
 }
 
@@ -323,6 +341,14 @@ FROM o WHERE second OR o_orderdate < TIMESTAMP '1998-01-01'
 SELECT *, CASE WHEN o_orderkey % 97 <> 0 THEN CAST(date_trunc('month', o_orderdate) AS DATE) END AS stamp FROM orders
 """,
     "stream_ingest": "SELECT * FROM orders",
+    "stream_keep_latest": """
+WITH o AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority, o_orderdate AS changed_at FROM orders),
+v AS (SELECT * FROM o WHERE o_orderstatus = 'F' OR o_orderkey % 4 = 0
+      UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, 'CHANGED', changed_at + INTERVAL 10 DAY FROM o WHERE o_orderkey % 3 = 0
+      UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, 'LATE', changed_at - INTERVAL 100 DAY FROM o
+      UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, 'TIED', changed_at FROM o WHERE o_orderkey % 10 = 0)
+SELECT * FROM v QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY changed_at DESC, o_custkey DESC, o_orderstatus DESC, o_orderpriority DESC) = 1
+""",
     "quality_checks": """
 SELECT (SELECT COUNT(*) FROM lineitem) AS row_count,
        (SELECT COUNT(*) FROM lineitem WHERE l_partkey IS NULL) AS null_l_partkey,
