@@ -59,13 +59,15 @@ def clinical_models(clean: dict) -> dict:
 
 def run_clinical_batch(spark: SparkSession, source: CsvSource, clean_db: str, summary_db: str,
                        tables=CLINICAL_TABLES, claims_table: str | None = None,
-                       as_of=None, parallel: int = 4, drift: tuple | None = None) -> DataFrame:
+                       as_of=None, parallel: int = 4, drift: tuple | None = None,
+                       models=None) -> DataFrame:
     """Ingest → clean → summarise → drift; one status row per table and layer.
 
     A table that fails to ingest, the claims table included, is reported
     and its clean step is skipped; the others go on. ``drift`` names
     (registry, log): after the run the raw and clean schemas are compared
-    with their baselines, which a schema without one gets now.
+    with their baselines, which a schema without one gets now. ``models``
+    names the summary models to build (default: all five).
     """
     status = [(r["table_name"], "raw", r["status"], r["row_count"])
               for r in ingest_status(spark, source, tables, parallel=parallel)]
@@ -86,10 +88,10 @@ def run_clinical_batch(spark: SparkSession, source: CsvSource, clean_db: str, su
 
     if {"patients", "encounters", "conditions"} <= set(cleaned):
         clean = {n: spark.table(f"{clean_db}.{n}") for n in cleaned}
-        models = clinical_models(clean)
+        wanted = {n: df for n, df in clinical_models(clean).items() if models is None or n in models}
         built = _run_layer(
             {name: (lambda name=name, df=df: write_table(df, f"{summary_db}.{name}", "overwrite"))
-             for name, df in models.items()}, parallel)
+             for name, df in wanted.items()}, parallel)
         status += [(name, "summary", "ok", n) for name, n in built.items()]
     if drift:
         registry, log = drift

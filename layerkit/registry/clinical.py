@@ -17,7 +17,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from ..plans.bronze import CsvSource
-from ..plans.clinical import run_clinical_batch
+from ..plans.clinical import CLINICAL_TABLES, run_clinical_batch
 from ..plans.layered import to_raw
 from ..plans.silver import clinical_specs, write_clean
 from ..session import scratch_path
@@ -206,41 +206,38 @@ def rejected_values(spark, sf_dir):
 # The other six raw tables of the layout; they are ingested, not cleaned.
 OTHERS = {"allergies": "nation", "careplans": "part", "imaging_studies": "region", "immunizations": "supplier",
           "organizations": "region", "providers": "supplier"}
-_runs: dict = {}
-
-
-def _clinical_run(spark, sf_dir):
-    """Both batches landed as CSV (claims as a catalog table), run after run; once per session and input."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _runs:
-        raw, clean, summary, ctl = (scratch_db(spark, f"m1_{x}") for x in ("raw", "clean", "summary", "ctl"))
-        for later in (False, True):
-            land = scratch_path(spark, "m1-landing")
-            for name in RAW:
-                if name != "claims":
-                    RAW[name](spark, sf_dir, later).write.option("header", True).csv(f"{land}/{name}.csv")
-            for name, source in OTHERS.items():
-                if name != "providers" or not later:      # one table fails to arrive with the second batch
-                    t(spark, sf_dir, source).write.option("header", True).csv(f"{land}/{name}.csv")
+MODEL_TABLES = ("patients", "encounters", "conditions")
+
+
+def _clinical_run(spark, sf_dir, tables=CLINICAL_TABLES, claims=True, models=None):
+    """Both batches landed as CSV (claims as a catalog table), run after run: (summary database, status rows of the second run)."""
+    raw, clean, summary, ctl = (scratch_db(spark, f"m1_{x}") for x in ("raw", "clean", "summary", "ctl"))
+    for later in (False, True):
+        land = scratch_path(spark, "m1-landing")
+        for name in tables:
+            if name in RAW:
+                RAW[name](spark, sf_dir, later).write.option("header", True).csv(f"{land}/{name}.csv")
+            elif name != "providers" or not later:      # one table fails to arrive with the second batch
+                t(spark, sf_dir, OTHERS[name]).write.option("header", True).csv(f"{land}/{name}.csv")
+        if claims:
             write_table(raw_claims(spark, sf_dir, later), f"{ctl}.claims_source", mode="overwrite")
-            status = run_clinical_batch(spark, CsvSource(land, raw, "raw"), clean, summary,
-                                        claims_table=f"{ctl}.claims_source", as_of=AS_OF,
-                                        drift=(f"{ctl}.schema_registry", f"{ctl}.schema_drift_log"))
-        write_table(status, f"{ctl}.status", mode="overwrite")
-        _runs[key] = (summary, f"{ctl}.status")
-    return _runs[key]
+        status = run_clinical_batch(spark, CsvSource(land, raw, "raw"), clean, summary, tables=tables,
+                                    claims_table=f"{ctl}.claims_source" if claims else None, as_of=AS_OF,
+                                    drift=(f"{ctl}.schema_registry", f"{ctl}.schema_drift_log") if claims else None,
+                                    models=models if later or models is None else ())
+    return summary, status
 
 
 def clinical_run(spark, sf_dir):
     """M1: status rows of the second run (12 CSV tables, claims, T1–T7, G1–G5, drift)."""
-    return spark.table(_clinical_run(spark, sf_dir)[1])
+    return _clinical_run(spark, sf_dir)[1]
 
 
 def _model_query(name):
     def query(spark, sf_dir):
-        return spark.table(f"{_clinical_run(spark, sf_dir)[0]}.{name}")
+        return spark.table(f"{_clinical_run(spark, sf_dir, MODEL_TABLES, claims=False, models=(name,))[0]}.{name}")
     query.__name__ = f"clinical_{name}"
-    query.__doc__ = f"M1: the model {name} after the batch run."
+    query.__doc__ = f"M1: the model {name} after both batches of the tables it needs."
     return query
 
 

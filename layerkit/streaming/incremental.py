@@ -107,3 +107,6 @@ def stream_new_files(spark: SparkSession, path: str, schema, target: str,
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    # micro-batches run in a session of their own; this one may have listed the table's files before
+    if spark.catalog.tableExists(target):
+        spark.catalog.refreshTable(target)

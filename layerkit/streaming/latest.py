@@ -62,6 +62,9 @@ def keep_latest_stream(stream: DataFrame, keys, by, target: str, checkpoint: str
 
     (best.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
      .trigger(availableNow=True).start().awaitTermination())
+    # micro-batches run in a session of their own; this one may have listed the table's files before
+    if stream.sparkSession.catalog.tableExists(target):
+        stream.sparkSession.catalog.refreshTable(target)
 
 
 def read_latest(spark: SparkSession, target: str) -> DataFrame:
