@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from .common import stored, text_of
 
 MARGINS = ("source", "lang", "topic")
+#: ``{REST: OWN_SHARE}`` among the targets of a margin: values that are not listed keep their own share of the tokens.
+REST, OWN_SHARE = "*", "own share"
 
 
 def token_count(text: Column) -> Column:
@@ -31,30 +33,34 @@ def token_count(text: Column) -> Column:
     return (F.lit(1) + F.octet_length(t) - F.octet_length(F.translate(t, " ", ""))).cast("long")
 
 
-def _wanted(margin: str, targets: Mapping[str, float] | None) -> Column:
-    """A value's target share; without targets all values that occur count alike."""
+def _target(margin: str, targets: Mapping[str, float] | None) -> Column:
+    """A value's target share, null for a value that keeps its own; without targets all values that occur count alike."""
     if targets is None:
         return F.lit(1.0)
-    pairs = [x for k, v in targets.items() for x in (F.lit(k), F.lit(float(v)))]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), F.col(margin)), F.lit(0.0)) if pairs else F.lit(0.0)
+    pairs = [x for k, v in targets.items() if k != REST for x in (F.lit(k), F.lit(float(v)))]
+    listed = F.try_element_at(F.create_map(*pairs), F.col(margin)) if pairs else F.lit(None).cast("double")
+    return listed if targets.get(REST) == OWN_SHARE else F.coalesce(listed, F.lit(0.0))
 
 
-def rake(cells: DataFrame, targets: Mapping[str, Mapping[str, float] | None], sweeps: int = 30,
+def rake(cells: DataFrame, targets: Mapping[str, Mapping[str, float | str] | None], sweeps: int = 30,
          tolerance: float = 1e-9) -> DataFrame:
     """``cells`` (source, lang, topic, tokens) with ``weight``: shares that meet the targets.
 
     Targets of one margin are divided by their sum over the values that
-    occur. It ends after ``sweeps`` sweeps or when no marginal is off by
-    more than ``tolerance``; targets that contradict each other stop at
-    ``sweeps``, with the topic marginal met. Values without a target, or
-    with target 0, get weight 0.
+    occur. Values without a target (null is one of them) get weight 0, or,
+    with ``REST`` among the targets, keep their own share, and the targets
+    share out what is left. It ends after ``sweeps`` sweeps or when no
+    marginal is off by more than ``tolerance``; targets that contradict each
+    other stop at ``sweeps``, with the topic marginal met.
     """
     everything = Window.partitionBy(F.lit(0))
     now = cells.withColumn("weight", F.col("tokens") / F.sum("tokens").over(everything))
     for m in MARGINS:
-        # every value's target once, divided by the sum over values
-        values = cells.select(m).distinct().withColumn("want", _wanted(m, targets.get(m)))
-        values = values.withColumn("want", F.col("want") / F.sum("want").over(everything))
+        # every value once
+        values = cells.groupBy(m).agg(F.sum("tokens").alias("held")).withColumn("target", _target(m, targets.get(m)))
+        own = F.when(F.col("target").isNull(), F.col("held") / F.sum("held").over(everything))
+        values = values.withColumn("own", own).withColumn(
+            "want", F.coalesce("own", F.col("target") / F.sum("target").over(everything) * (1 - F.coalesce(F.sum("own").over(everything), F.lit(0.0)))))
         now = now.join(values.select(F.col(m).alias("value"), F.col("want").alias(f"want_{m}")),
                        F.col(m).eqNullSafe(F.col("value")), "left").drop("value")
     now = stored(now, "raked-cells")
@@ -118,11 +124,11 @@ def cell_rates(facts: DataFrame, targets: Mapping[str, Mapping[str, float] | Non
                         (F.col("weight") * F.lit(float(size)) * F.sum("tokens").over(everything) / F.col("tokens")).alias("epochs"))
 
 
-def _same_cell(**named: str) -> Column:
-    """Whether a row is of a cell; ``named`` has the row's columns that are not named as the margin."""
+def _same_cell() -> Column:
+    """Whether a row is of a cell."""
     same = F.lit(True)
     for m in MARGINS:
-        same = same & F.col(named.get(m, m)).eqNullSafe(F.col(f"cell_{m}"))
+        same = same & F.col(m).eqNullSafe(F.col(f"cell_{m}"))
     return same
 
 
@@ -136,14 +142,14 @@ def repeat_documents(docs: DataFrame, targets: Mapping[str, Mapping[str, float]
 
     The copies are those of ``mix_documents`` with the same arguments. Rows
     meet the small table of cells, not each other, so repeated and null ids
-    are decided row by row.
+    are decided row by row. A row travels as one nested value, so columns
+    may have any names. Texts are searched for topics once, whatever their
+    length.
     """
-    topic = lexicon_topic(F.col("text"), lexicons)
-    cell = [F.col("source").cast("string").alias("mix_source"), F.col("lang").cast("string").alias("mix_lang"), topic.alias("mix_topic")]
-    facts = stored(docs.select(*(c.alias(m) for c, m in zip(cell, MARGINS)), token_count(F.col("text")).alias("tokens"))
-                   .groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens")), "document-cells")
-    rates = cell_rates(facts, targets, size, sweeps, tolerance)
-    drawn = docs.select("*", *cell).join(rates, _same_cell(**{m: f"mix_{m}" for m in MARGINS}), "left")
-    kept = drawn.withColumn("mix_copies", _copies(F.col("doc_id"), seed)).filter("mix_copies > 0")
-    return kept.select(*(F.col(f"`{c}`") for c in docs.columns),
-                       F.explode(F.sequence(F.lit(1).cast("long"), F.col("mix_copies"))).alias("mix_copy")).drop("mix_copy")
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    rows = stored(docs.select(row, F.col("doc_id").alias("doc_id"), F.col("source").cast("string").alias("source"),
+                              F.col("lang").cast("string").alias("lang"), lexicon_topic(F.col("text"), lexicons).alias("topic"),
+                              token_count(F.col("text")).alias("tokens")), "document-cells")
+    rates = cell_rates(rows.select(*MARGINS, "tokens"), targets, size, sweeps, tolerance)
+    drawn = rows.drop("tokens").join(rates, _same_cell(), "left").select("row", _copies(F.col("doc_id"), seed)).filter("copies > 0")
+    return drawn.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")).select("row.*")

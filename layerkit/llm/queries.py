@@ -89,7 +89,7 @@ def rate_documents(docs: DataFrame, sf_dir: str) -> DataFrame:
     return ordinal_quality.score_documents(docs, model)
 
 
-MIX_TARGETS = {"source": None, "lang": {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2}, "topic": {"process": 0.5, "quality": 0.3, "other": 0.2}}
+MIX_TARGETS = {"source": None, "lang": {"en": 0.4, "de": 0.2, "fr": 0.2, "es": 0.2, mixing_ipf.REST: mixing_ipf.OWN_SHARE}, "topic": {"process": 0.5, "quality": 0.3, "other": 0.2}}
 MIX_LEXICONS = {"process": "tion|ción|ung|ment", "quality": "able|ble|lich|heit|elle|ado"}
 
 
@@ -144,7 +144,8 @@ def _mixing_sql(sweeps: int = 8) -> str:
         wanted = MIX_TARGETS[margin]
         if wanted is None:
             return "1.0::DOUBLE"
-        return f"CASE {margin} " + " ".join(f"WHEN '{k}' THEN {v}::DOUBLE" for k, v in wanted.items()) + " ELSE 0.0::DOUBLE END"
+        return f"CASE {margin} " + " ".join(f"WHEN '{k}' THEN {v}::DOUBLE" for k, v in wanted.items() if k != mixing_ipf.REST) + (
+            " END" if mixing_ipf.REST in wanted else " ELSE 0.0::DOUBLE END")
 
     process, quality = (f"len(regexp_extract_all(coalesce(text, ''), '{p}'))" for p in MIX_LEXICONS.values())
     steps = ["""WITH f AS (SELECT doc_id, source, lang, 1 + strlen(coalesce(text, '')) - strlen(replace(coalesce(text, ''), ' ', '')) AS tokens,
@@ -152,7 +153,9 @@ def _mixing_sql(sweeps: int = 8) -> str:
   FROM (SELECT *, %s AS p, %s AS q FROM documents)),
 c AS (SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens FROM f GROUP BY ALL)""" % (process, quality)]
     for m in mixing_ipf.MARGINS:
-        steps.append(f"v_{m} AS (SELECT {m} AS v, w / sum(w) OVER () AS want FROM (SELECT DISTINCT {m}, {shares(m)} AS w FROM c))")
+        # values without a target keep their own share
+        steps.append(f"v_{m} AS (SELECT v, coalesce(own, w / sum(w) OVER () * (1 - coalesce(sum(own) OVER (), 0))) AS want FROM (SELECT {m} AS v, "
+                     f"{shares(m)} AS w, CASE WHEN {shares(m)} IS NULL THEN sum(tokens) / sum(sum(tokens)) OVER () END AS own FROM c GROUP BY {m}))")
     joins = " ".join(f"LEFT JOIN v_{m} ON c.{m} IS NOT DISTINCT FROM v_{m}.v" for m in mixing_ipf.MARGINS)
     steps.append("w0 AS (SELECT c.*, " + ", ".join(f"v_{m}.want AS want_{m}" for m in mixing_ipf.MARGINS)
                  + f", c.tokens / sum(c.tokens) OVER () AS weight FROM c {joins})")

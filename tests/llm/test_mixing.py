@@ -87,3 +87,10 @@ def test_mix_repeats_rows_by_their_copies(spark):
         got[r.doc_id, r.lang, r.text.count(" ") + 1] += 1
     assert out.schema == df.schema and got == {k: n for k, n in want.items() if n}
     assert got[500, "en", 1] > 100 and sum(n * k[2] for k, n in got.items()) == pytest.approx(0.5 * 802, rel=0.15)
+
+
+def test_rest_keeps_its_own_share(spark):
+    cells = [("a", "en", "x", 5.0), ("a", "de", "x", 1.0), ("a", "it", "x", 3.0), ("a", None, "x", 1.0)]
+    df = spark.createDataFrame(cells, "source string, lang string, topic string, tokens double")
+    got = {r.lang: r.weight for r in m.rake(df, {"lang": {"en": 1.0, "de": 3.0, m.REST: m.OWN_SHARE}}).collect()}
+    assert got == {"en": pytest.approx(0.15), "de": pytest.approx(0.45), "it": pytest.approx(0.3), None: pytest.approx(0.1)}
