@@ -29,7 +29,8 @@ def _captures(spark, sf_dir):
     ]
     for n in (4, 0, 2, 1, 3, 3):      # the last one twice
         for r in spark.catalog.listTables(db):
-            spark.sql(f"DROP TABLE {db}.{r.name}")
+            if not r.isTemporary:      # temporary views of the session are listed, too
+                spark.sql(f"DROP TABLE {db}.{r.name}")
         for name, df in states[n].items():
             write_table(df, f"{db}.{name}", mode="overwrite")
         record_schema(spark, db, log, DAYS[n])
