@@ -80,6 +80,14 @@ def _fingerprints(shingle: int):
     return run
 
 
+def _row_fingerprints(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = np.fromiter((fingerprint(t.as_py(), shingle) for t in batch.column(1)), np.uint64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64))], ["doc", "fp"])
+    return run
+
+
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
@@ -157,9 +165,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     prints = stored(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
                     .mapInArrow(_fingerprints(shingle), "doc_id long, fp long"), "fingerprints")
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
-    links = fingerprint_links(nodes, max_bits, bucket_limit)
-    roots = connected_components(links, "a", "b")
-    linked = nodes.join(roots, nodes["fp"] == roots["node"], "left").withColumn("root", F.coalesce("root", "fp"))
+    linked = _fingerprint_roots(nodes, max_bits, bucket_limit)
     ids = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
     labels = linked.select("fp", "root").join(ids, "root").select("fp", "component_id")
     return prints.join(labels, "fp").select("doc_id", "fp", "component_id")
+
+
+def _fingerprint_roots(nodes: DataFrame, max_bits: int, bucket_limit: int) -> DataFrame:
+    """``nodes`` (distinct fp and more) with ``root``, one fingerprint for each component."""
+    roots = connected_components(fingerprint_links(nodes, max_bits, bucket_limit), "a", "b")
+    return nodes.join(roots, nodes["fp"] == roots["node"], "left").withColumn("root", F.coalesce("root", "fp"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2,
+                bucket_limit: int = 64) -> DataFrame:
+    """(doc_id, digest) of the row that stays of each component: least id (null last), then least SHA-256 of the text.
+
+    A row is told by its id and its text, so that one of several texts under
+    one id, or under null ids, is kept or dropped for itself. Rows that
+    repeat both are one row here.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    prints = stored(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.sha2(text, 256).alias("digest"), F.col(text_col).alias("text"))
+                    .select(F.struct("doc_id", "digest").alias("doc"), "text")
+                    .mapInArrow(_row_fingerprints(shingle), "doc struct<doc_id: long, digest: string>, fp long"), "row-fingerprints")
+    order = F.struct(F.col("doc.doc_id").isNull().alias("last"), "doc.doc_id", "doc.digest")
+    nodes = stored(prints.groupBy("fp").agg(F.min(order).alias("first")), "distinct-fingerprints")
+    return (_fingerprint_roots(nodes, max_bits, bucket_limit).groupBy("root").agg(F.min("first").alias("first"))
+            .select("first.doc_id", "first.digest"))
