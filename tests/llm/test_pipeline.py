@@ -1,12 +1,16 @@
 """The pipeline on the smallest tables, stage by stage against brute force."""
 
-from collections import Counter
+import hashlib
+import math
+import re
+from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline as pipeline
-from layerkit.llm import queries, simhash_pivots
+from layerkit.llm import ordinal_quality, queries, simhash_pivots
 from layerkit.llm.common import stored
 
 SF = "/root/testdata/sf0.001"
@@ -31,9 +35,13 @@ def test_order_and_columns(stages):
 
 
 def test_quality_keeps_what_the_model_keeps(stages, spark):
-    rated = queries.rate_documents(stages[0], SF)
-    want = {r.doc_id for r in rated.collect() if r.top_probability >= 0.5}
-    assert set(texts(stages[1])) == want and 0 < len(want) < stages[0].count()
+    """All rated documents are in the sample here; each text is scored by itself."""
+    before = texts(stages[0])
+    grades = {r.doc_id: r.quality + 1 - r.toxic for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    rated = sorted((ordinal_quality.text_features(before[i], 18).tobytes(), g) for i, g in grades.items() if i in before)
+    model = ordinal_quality.fit_ordinal([np.frombuffer(s, np.int32) for s, _ in rated], np.array([g for _, g in rated]), 18)
+    want = {i for i, t in before.items() if 1 / (1 + math.exp(model.thresholds[-1] - model.score(t))) >= 0.5}
+    assert set(texts(stages[1])) == want and 0 < len(want) < len(before)
 
 
 def test_exact_dedup_keeps_the_largest_id(stages):
@@ -59,18 +67,96 @@ def test_near_dedup_keeps_the_smallest_id_of_each_component(stages):
     assert set(texts(stages[3])) == {i for i in ids if find(i) == i}
 
 
-def test_mixing_keeps_the_sampled_documents(stages):
-    want = {r.doc_id for r in queries.mix(stages[3]).collect() if r.copies > 0}
-    assert set(texts(stages[4])) == want and 0 < len(want) < stages[3].count()
+def expected_copies(rows):
+    """Copies by raking the cells in plain loops; rows: (id, text, lang, source)."""
+    def topic(text):
+        p, q = (len(re.findall(x, text or "")) for x in queries.MIX_LEXICONS.values())
+        return "process" if p and p >= q else "quality" if q else "other"
+
+    cells, facts = defaultdict(float), []
+    for i, text, lang, source in rows:
+        cell = (source, lang, topic(text))
+        cells[cell] += 1 + (text or "").count(" ")
+        facts.append((i, cell))
+    total = sum(cells.values())
+    wants = []
+    for k, margin in enumerate(("source", "lang", "topic")):
+        held, targets = defaultdict(float), queries.MIX_TARGETS[margin]
+        for c, n in cells.items():
+            held[c[k]] += n
+        target = {v: 1.0 if targets is None else targets.get(v, None if k == 1 else 0.0) for v in held}
+        own = {v: held[v] / total for v in held if target[v] is None}
+        listed = sum(t for t in target.values() if t is not None)
+        wants.append({v: own[v] if v in own else target[v] / listed * (1 - sum(own.values())) for v in held})
+    weight = {c: n / total for c, n in cells.items()}
+    for _ in range(8):
+        for k, want in enumerate(wants):
+            now = defaultdict(float)
+            for c, w in weight.items():
+                now[c[k]] += w
+            weight = {c: w * want[c[k]] / now[c[k]] if now[c[k]] else 0.0 for c, w in weight.items()}
+    draw = {i: int(hashlib.md5(f"8:{'' if i is None else i}".encode()).hexdigest()[:12], 16) / 2**48 for i, _ in facts}
+    return [(i, int(weight[c] * 0.5 * total / cells[c] + draw[i])) for i, c in facts]
 
 
-def test_packing_covers_what_is_left(stages):
-    got = Counter()
-    total = {}
+def test_mixing_repeats_each_document_by_its_copies(stages):
+    want = Counter()
+    for i, n in expected_copies([(r.doc_id, r.text, r.lang, r.source) for r in stages[3].collect()]):
+        want[i] += n
+    got = Counter(r.doc_id for r in stages[4].select("doc_id").collect())
+    assert got == +want and max(want.values()) > 1 and 0 < len(got) < stages[3].count()
+
+
+def test_packing_covers_what_is_left_as_often_as_it_is_there(stages):
+    copies = Counter(r.doc_id for r in stages[4].select("doc_id").collect())
+    got, size, pieces = Counter(), {}, Counter()
     for r in stages[5].collect():
         got[r.doc_id] += r.length
-        total[r.doc_id] = r.doc_tokens
-    assert got == Counter(total) and set(got) == set(texts(stages[4]))
+        size[r.doc_id] = r.doc_tokens
+        pieces[r.doc_id, r.start, r.length] += 1
+    assert got == {i: n * size[i] for i, n in copies.items()}
+    assert all(n % copies[i] == 0 for (i, _, _), n in pieces.items())
+
+
+def test_unlisted_and_null_languages_keep_their_share(spark):
+    rows = [(i, "word tion able " * (1 + i % 7), lang, f"s{i % 3}", i) for i, lang in enumerate(["en", "it", None, "de", "it", "en"] * 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = pipeline.mixing(spark, docs, SF)
+    assert Counter(r.doc_id for r in got.collect()) == +Counter(dict(expected_copies([r[:4] for r in rows])))
+    assert {r.lang for r in got.select("lang").distinct().collect()} == {"en", "it", None, "de"}
+
+
+ODD = [(1, "shared text of two ids", "en", "a"), (2, "shared text of two ids", "en", "a"), (1, "a text of its own, under an id that is used twice", "en", "b"),
+       (3, "said twice", "en", "a"), (3, "said twice", "en", "a"), (None, "without an id", "fr", "a"), (None, "without an id", "fr", "a"),
+       (None, "another one without an id", "fr", "a"), (4, None, "it", None), (5, "", "it", None)]
+
+
+def odd(spark, names=("epochs", "copies", "mix_lang", "cell_lang", "row", "quality_text", "top_probability", "digest", "other_id", "kept", "with blank")):
+    df = spark.createDataFrame(ODD, "doc_id long, text string, lang string, source string")
+    for n in names:
+        df = df.withColumn(n, df["doc_id"])
+    return df
+
+
+def test_exact_dedup_keeps_each_text_once_under_shared_repeated_and_null_ids(spark):
+    got = pipeline.exact_dedup(spark, odd(spark), SF)
+    assert got.columns == odd(spark).columns
+    assert Counter((r.doc_id, r.text or "") for r in got.collect()) == Counter(
+        [(2, ODD[0][1]), (1, ODD[2][1]), (3, "said twice"), (None, ODD[5][1]), (None, ODD[7][1]), (5, "")])
+
+
+def test_near_dedup_keeps_one_row_of_each_component_under_shared_repeated_and_null_ids(spark):
+    got = pipeline.near_dedup(spark, odd(spark), SF)
+    assert got.columns == odd(spark).columns
+    assert Counter((r.doc_id, r.text or "") for r in got.collect()) == Counter(
+        [(1, ODD[0][1]), (1, ODD[2][1]), (3, "said twice"), (None, ODD[5][1]), (None, ODD[7][1]), (4, "")])
+
+
+def test_quality_and_mixing_keep_columns_of_any_name(spark):
+    for stage in (pipeline.quality, pipeline.mixing):
+        got = stage(spark, odd(spark), SF)
+        assert got.columns == odd(spark).columns
+        assert all(r["epochs"] == r.doc_id == r["top_probability"] == r["quality_text"] == r["with blank"] for r in got.collect())
 
 
 def test_run_equals_its_stages_and_is_registered(stages, spark):
@@ -92,11 +178,3 @@ def test_nulls_repeats_extra_columns_and_empty(spark):
                 out = kept
         assert (pipeline.STAGES[-1][1](spark, out, SF).count() > 0) == (out.count() > 0)
 
-
-def test_mixing_repeats_each_document_by_its_copies(stages):
-    want = {r.doc_id: r.copies for r in queries.mix(stages[3]).collect() if r.copies > 0}
-    assert Counter(r.doc_id for r in stages[4].select("doc_id").collect()) == want and max(want.values()) > 1
-    packed = Counter()
-    for r in stages[5].collect():
-        packed[r.doc_id, r.doc_tokens] += r.length
-    assert packed == {(i, n): want[i] * n for i, n in packed}
