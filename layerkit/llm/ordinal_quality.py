@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 #: Bytes of text turned into features at once; a cut falls between words.
 CHUNK = 1 << 20
@@ -168,8 +169,8 @@ def train(docs: DataFrame, ratings: DataFrame, grade_col: str = "grade", id_col:
     """Fit on at most ``max_rows`` of the ratings (id, integer grade from 0) that have a document.
 
     Ratings with a null id or grade are ignored; an id with several ratings
-    takes part with its lowest grade. Without rated documents every text
-    gets grade 0.
+    takes part with its lowest grade, one with several texts with the least
+    of them. Without rated documents every text gets grade 0.
     """
     rated = (ratings.filter(F.col(id_col).isNotNull() & F.col(grade_col).isNotNull())
              .groupBy(F.col(id_col).alias("rated_id")).agg(F.min(F.col(grade_col).cast("int")).alias("grade")))
@@ -178,7 +179,7 @@ def train(docs: DataFrame, ratings: DataFrame, grade_col: str = "grade", id_col:
     sample = rated.join(known, "rated_id", "left_semi").orderBy(F.xxhash64("rated_id"), "rated_id").limit(max_rows)
     # max_rows rows are broadcast
     rows = (docs.select(F.col(id_col).alias("rated_id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "rated_id")
-            .dropDuplicates(["rated_id"]).select("grade", "text").mapInArrow(_rated_features(bits), "grade int, slots binary").collect())
+            .groupBy("rated_id", "grade").agg(F.min("text").alias("text")).select("grade", "text").mapInArrow(_rated_features(bits), "grade int, slots binary").collect())
     rows.sort(key=lambda r: (r["slots"], r["grade"]))
     return fit_ordinal([np.frombuffer(r["slots"], np.int32) for r in rows], np.array([r["grade"] for r in rows], np.int64), bits, steps)
 
@@ -204,5 +205,6 @@ def score_documents(docs: DataFrame, model: OrdinalModel, text_col: str = "text"
     """
     kept = [c for c in docs.columns if c not in ("expected_grade", "top_probability", "quality_text")]
     rows = docs.select(*(F.col(f"`{c}`") for c in kept), F.col(text_col).alias("quality_text"))
-    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "quality_text")
-    return rows.mapInArrow(_score(model), ", ".join(x for x in (types, "expected_grade double", "top_probability double") if x))
+    schema = StructType([*(f for f in rows.schema if f.name != "quality_text"), StructField("expected_grade", DoubleType()),
+                         StructField("top_probability", DoubleType())])
+    return rows.mapInArrow(_score(model), schema)
