@@ -137,12 +137,26 @@ def replace_scope(df: DataFrame, table: str, scope_col: str, scope_value=ANY_SCO
     return replace_partitions(df.select(*spark.table(table).columns), table, [scope_col])
 
 
+def _kept_whole(name: str, old, new):
+    """The column as type ``new``; a value that the cast would change fails the query."""
+    c = F.col(f"`{name}`")
+    if old == new or "map<" in old.simpleString() or old.simpleString() == "void":
+        return c.cast(new)
+    cast = c.try_cast(new)
+    changed = c.isNotNull() & ~cast.try_cast(old).eqNullSafe(c)
+    says = F.concat(F.lit(f"{name}: a value does not fit {new.simpleString()}: "), F.coalesce(c.cast("string"), F.lit("null")))
+    return F.when(changed, F.raise_error(says).cast(new)).otherwise(cast)
+
+
 def append_evolving(df: DataFrame, table: str, skip_empty: bool = True) -> int:
     """K5/K8: append, adding new columns to the table first.
 
     Columns only in ``df`` are added with ``ALTER TABLE ADD COLUMNS``;
     columns only in the table are filled with NULL. With ``skip_empty`` an
-    empty batch writes nothing (and creates no table).
+    empty batch writes nothing (and creates no table). A value that would
+    not come back from the table's type as it was (1.75 into an int column)
+    fails the append; :func:`layerkit.sinks.evolving.append_widening` widens
+    the column instead.
     """
     spark = df.sparkSession
     if skip_empty and df.isEmpty():
@@ -157,8 +171,9 @@ def append_evolving(df: DataFrame, table: str, skip_empty: bool = True) -> int:
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({spec})")
         target = spark.table(table).schema
     present = {c.lower(): c for c in df.columns}
+    given = {f.name: f.dataType for f in df.schema.fields}
     aligned = df.select(*[
-        (F.col(f"`{present[f.name.lower()]}`").cast(f.dataType) if f.name.lower() in present
+        (_kept_whole(present[f.name.lower()], given[present[f.name.lower()]], f.dataType) if f.name.lower() in present
          else F.lit(None).cast(f.dataType)).alias(f.name)
         for f in target.fields])
     obs_df, obs = _observed(aligned)

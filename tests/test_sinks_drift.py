@@ -100,3 +100,15 @@ def test_show_preview_prints(spark, capsys):
     show_preview(spark.createDataFrame([(1, "a")], "k int, v string"), 5)
     out = capsys.readouterr().out.replace(" ", "")
     assert "|k|v|" in out and "|1|a|" in out
+
+
+def test_append_evolving_never_changes_a_value(spark, db):
+    from layerkit.sinks.tables import append_evolving
+
+    table = f"{db}.whole"
+    append_evolving(spark.createDataFrame([(1, "a")], "v int, s string"), table)
+    append_evolving(spark.createDataFrame([(2.0, 7), (None, None)], "v double, s int"), table)
+    for rows, schema in ([(1.75,)], "v double"), ([(5_000_000_000,)], "v bigint"), ([("x7",)], "v string"):
+        with pytest.raises(Exception, match="does not fit int"):
+            append_evolving(spark.createDataFrame(rows, schema), table)
+    assert sorted((r.v, r.s) for r in spark.table(table).collect() if r.v) == [(1, "a"), (2, "7")]
