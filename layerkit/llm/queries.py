@@ -178,7 +178,7 @@ FROM (SELECT f.*, r.e
 
 
 URL_SQL = """
-WITH u AS (SELECT page_id, url, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+WITH RECURSIVE u AS (SELECT page_id, url, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
 h AS (SELECT page_id, url, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
              regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, regexp_extract(coalesce(url, ''), '^[^?#]*\\?([^#]*)', 1) AS query FROM u),
 j AS (SELECT page_id, url, host, path,
@@ -195,15 +195,18 @@ j AS (SELECT page_id, url, host, path,
 l AS (SELECT doc_id, bool_or(quality = 0 OR toxic = 1) AS bad FROM labels GROUP BY 1),
 b AS (SELECT row_number() OVER () AS basket, tokens, bad FROM j JOIN l ON page_id = doc_id WHERE bad IS NOT NULL AND len(tokens) > 0),
 least AS (SELECT greatest(5, ceil(0.005 * count(*))) AS n FROM b),
-t AS (SELECT basket, bad, unnest(tokens) AS token FROM b),
-one AS (SELECT token FROM t GROUP BY 1
-        HAVING count(*) FILTER (bad) >= (SELECT n FROM least) AND count(*) FILTER (bad) >= 0.5 * count(*)),
-two AS (SELECT x.token AS a, y.token AS b FROM t x JOIN t y ON x.basket = y.basket AND x.token < y.token GROUP BY 1, 2
-        HAVING count(*) FILTER (x.bad) >= (SELECT n FROM least) AND count(*) FILTER (x.bad) >= 0.5 * count(*)),
-blocked AS (SELECT DISTINCT url FROM j WHERE rule IS NULL AND (
-  EXISTS (SELECT 1 FROM one WHERE list_contains(j.tokens, one.token))
-  OR EXISTS (SELECT 1 FROM two WHERE list_contains(j.tokens, two.a) AND list_contains(j.tokens, two.b)
-             AND two.a NOT IN (SELECT token FROM one) AND two.b NOT IN (SELECT token FROM one))))
+t AS (SELECT basket, unnest(tokens) AS token FROM b WHERE bad),
+f AS (SELECT token FROM t GROUP BY 1 HAVING count(*) >= (SELECT n FROM least)),
+x AS (SELECT basket, list_sort(list(token)) AS tokens FROM t JOIN f USING (token) GROUP BY basket),
+s(items, n) AS (SELECT [token], count(*) FROM t JOIN f USING (token) GROUP BY token
+  UNION ALL
+  SELECT list_append(items, token), count(*)
+  FROM (SELECT s.items, unnest([y FOR y IN x.tokens IF y > s.items[-1]]) AS token FROM s JOIN x ON list_has_all(x.tokens, s.items))
+  GROUP BY items, token HAVING count(*) >= (SELECT n FROM least)),
+r AS (SELECT items FROM (SELECT items, any_value(s.n) AS n, count(*) AS pages FROM s JOIN b ON list_has_all(b.tokens, s.items) GROUP BY items)
+      WHERE n >= 0.5 * pages),
+short AS (SELECT items FROM r WHERE NOT EXISTS (SELECT 1 FROM r q WHERE len(q.items) < len(r.items) AND list_has_all(r.items, q.items))),
+blocked AS (SELECT DISTINCT url FROM j JOIN short ON list_has_all(j.tokens, short.items) WHERE rule IS NULL)
 SELECT page_id, url, host, path, rule,
        CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
             WHEN url IN (SELECT url FROM blocked WHERE url IS NOT NULL) THEN 'block' ELSE 'allow' END AS verdict

@@ -106,3 +106,14 @@ def test_a_rule_covered_by_a_much_shorter_one_is_dropped(spark):
     urls = [("http://a/x", True)] * 40 + [("http://a/x/y", False)] * 12 + [("http://a/x/y/z", True)] * 10 + [("http://a/y/z", False)] * 50
     rules = [tuple(r.tokens) for r in u.mine_rules(spark.createDataFrame(urls, "url string, bad boolean"), min_confidence=0.8).collect()]
     assert rules == [("p:x",)]
+
+
+def test_long_templates_are_mined_once_and_any_of_their_tokens_counts(spark):
+    template = "/".join(f"seg{i}" for i in range(40))
+    urls = [(f"http://a.org/{template}/{'pills' if i % 2 else 'x'}/n{i}", bool(i % 2)) for i in range(60)] + [(f"http://b.org/pills/q{i}", False) for i in range(40)]
+    labelled = spark.createDataFrame(urls, "url string, bad boolean")
+    rules = {tuple(r.tokens): (r.pages, r.bad_pages) for r in u.mine_rules(labelled, min_confidence=0.8).collect()}
+    # the constant tokens are one class: each of them with "pills" is a rule, no two of them are in one
+    assert rules == {tuple(sorted((t, "p:pills"))): (30, 30) for t in ["h:a", *(f"p:seg{i}" for i in range(40))]}
+    pages = spark.createDataFrame([(1, "http://c.org/seg7/pills"), (2, "http://c.org/seg7/x"), (3, "http://c.org/pills")], "page_id long, url string")
+    assert {r.page_id: r.verdict for r in u.judge_urls(pages, labelled, (), min_confidence=0.8).collect()} == {1: "block", 2: "allow", 3: "allow"}
