@@ -28,9 +28,9 @@ def test_every_line_lands_once_with_its_reasons(spark, land):
     table = f"{scratch_db(spark, 'q')}.t"
     counts = ingest_checked(spark, f"{land}/*.csv", table, TYPES, null_tokens={"day": ["-"]})
     good = {r.id: (r.amount, r.day, r.note) for r in accepted(spark, table).collect()}
+    assert good.pop(11) in ((Decimal("7.00"), dt.date(2024, 3, 1), None), (Decimal("7.00"), dt.date(2024, 3, 1), ""))
     assert good == {1: (Decimal("1.50"), dt.date(2024, 1, 2), "plain"), 2: (Decimal("2.25"), dt.date(2024, 1, 3), "with, comma"),
-                    3: (None, None, 'say "hi"'), 10: (Decimal("1.01"), dt.date(2024, 2, 29), "é漢"), 11: (Decimal("7.00"), dt.date(2024, 3, 1), None)} | {
-                        11: (Decimal("7.00"), dt.date(2024, 3, 1), good[11][2])}
+                    3: (None, None, 'say "hi"'), 10: (Decimal("1.01"), dt.date(2024, 2, 29), "é漢")}
     bad = {r._line: (os.path.basename(r._source_file), r._reasons) for r in rejected(spark, table).collect()}
     assert bad == {
         "4,5.00": ("a.csv", ["too few fields"]), "5,1,2024-01-01,x,extra": ("a.csv", ["too many fields"]), '6,1,2024-01-01,"open': ("a.csv", ["unclosed quote"]),
