@@ -127,7 +127,8 @@ def mine_class_rules(labelled: DataFrame, url_col: str = "url", bad_col: str = "
     sets = stored(sets, "frequent-item-sets")
     rarest = (sets.select("tokens", F.explode("tokens").alias("item")).join(classes.select("item", "pages").distinct(), "item")
               .groupBy("tokens").agg(F.min(F.struct("pages", "item")).alias("rarest")))
-    pages = (held.select("basket", "items", F.explode("items").alias("item"))
+    # the baskets' files are far smaller than the baskets: they are never the side to broadcast
+    pages = (held.select("basket", "items", F.explode("items").alias("item")).hint("merge")
              .join(rarest.select("tokens", F.col("rarest.item").alias("item")), "item")
              .filter(F.size(F.array_except("tokens", "items")) == 0).groupBy("tokens").agg(F.count("*").alias("pages")))
     sets = stored(sets.join(pages, "tokens").withColumn("rule", F.col("bad_pages") >= min_confidence * F.col("pages")), "frequent-token-sets")
