@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ["models", "core", "io", "layers", "clinical", "maintained", "codemaps", "history", "landing", "constraints"]
+_MODULES = ["models", "core", "io", "layers", "clinical", "maintained", "codemaps", "history", "landing", "constraints", "typed"]
 
 
 def _load():
