@@ -7,14 +7,19 @@ bootstrap:
 1. Every base match, every identifier-like token - one with an ``@`` or
    with many digits - and every run of adjoining digit groups is an
    instance. Its lexical pattern is the two words before it, whatever they
-   are (the start of the text counts as words), and its own shape.
+   are (the start of the text counts as words, an instance of the same
+   expression as one), and its own shape. Words, shapes and instances count
+   whole, of any length; the long ones go by their SHA-256.
 2. Patterns and instances form a graph, weighted by how often they meet.
    Its edges are summed first, so it grows with distinct pairs only.
 3. Scores go back and forth. A pattern's score is the share of its
    occurrences that have known instances, an instance's score grows with
    the scores of the patterns it fits. Base matches keep score 1.
-4. Occurrences in patterns with a score and a support above the thresholds
-   are new spans, of the kind whose seeds gave the pattern.
+4. Patterns with a score and a support above the thresholds are accepted,
+   for the kind whose instances gave them. What they hold is trusted from
+   then on: it counts, with the score of its patterns, as known instances
+   and as support of further patterns. Steps 3 and 4 are repeated until no
+   pattern is new. Accepted patterns' occurrences are the new spans.
 
 All of it is DataFrame work: expressions on the text, grouped sums and
 joins on the graph. Positions are counted in code points.
@@ -42,13 +47,14 @@ BASE = {
 OCTET = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2}|(?=[.]|$))"
 #: Instances besides the base matches: blank-delimited tokens with an @ or at least six digits,
 #: and runs of digit groups with a blank between them (six digits in all) or dotted quads.
-CONTEXT, LONGEST = 80, 256
 TOKEN = r"(?<!\S)(?:(?=[^\s@]*+@)|(?=(?:[^\s0-9]*+[0-9]){6}))\S++"
 
 GROUP = r"[+(]{0,2}[0-9]++(?:[().-]{1,3}[0-9]++)*+\)?+(?![\p{L}0-9@])"
 GROUPS = rf"(?<!\S){GROUP}(?:\x20{GROUP})*+"
-#: Stands before a text's first words.
-START = "^ ^ "
+#: Stands for each of the two words before a text's first.
+START = "^"
+#: Words, patterns and instances of more characters are told by their SHA-256.
+PLAIN = 64
 
 
 def _digits(c: Column) -> Column:
@@ -76,54 +82,74 @@ def _passes(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-SPAN = "struct<start:bigint,end:bigint,match:string,before:string>"
+#: Positions appended to one array before it is closed: appending copies the array.
+RUN = 256
 
 
-#: Matches appended to one array before it is closed: appending copies the array.
-RUN = 256
+def _named(c: Column) -> Column:
+    """The text itself, or of a long one its beginning and its SHA-256."""
+    return F.when(F.length(c) <= PLAIN, c).otherwise(F.concat(F.left(c, F.lit(16)), F.lit("~"), F.sha2(c, 256)))
 
 
-def _walk(pieces: Column, matches: Column) -> Column:
-    """Matches with start, end and the last characters of the text before them.
+def _word(c: Column) -> Column:
+    """A word of a context: in lower case with digits as 9; one with an @ as that sign."""
+    return F.when(c.contains("@"), F.lit("@")).otherwise(_named(F.regexp_replace(F.lower(c), "[0-9]", "9")))
 
-    ``pieces`` are what a split by the same expression leaves, so positions
-    are running sums of lengths. They are summed in runs, so that the work
-    of a text grows with its matches, not with their square.
-    """
-    last = F.size(matches) - 1
 
-    def context(before: Column, j: Column) -> Column:
-        return F.right(F.concat(before, F.right(F.get(pieces, j), F.lit(CONTEXT))), F.lit(CONTEXT))
+def _last_words(c: Column) -> Column:
+    words = F.filter(F.split(c, r"\s+"), lambda w: w != "")
+    return F.transform(F.slice(words, F.greatest(F.size(words) - 1, F.lit(1)), F.lit(2)), _word)
+
 
-    def step(acc: Column, j: Column) -> tuple[Column, Column]:
-        at = (acc["at"] + F.length(F.get(pieces, j)) + F.length(F.get(matches, j))).cast("long")
-        tail = F.right(F.concat(context(acc["tail"], j), F.right(F.get(matches, j), F.lit(CONTEXT))), F.lit(CONTEXT))
-        return at.alias("at"), tail.alias("tail")
+def _lengths(pieces: Column, matches: Column) -> Column:
+    """Of each piece with the match behind it."""
+    return F.transform(matches, lambda m, j: (F.length(F.get(pieces, j)) + F.length(m)).cast("long"))
+
+
+def _starts(lengths: Column) -> Column:
+    """Sums of the lengths before each, added up in runs, so that the work grows with their number and not its square."""
+    last = F.size(lengths) - 1
 
     def run_of(first: Column) -> Column:
         return F.sequence(first, F.least(first + F.lit(RUN - 1), last))
 
-    def spans(start: Column, first: Column) -> Column:
-        return F.aggregate(
-            run_of(first), F.struct(start["at"].alias("at"), start["tail"].alias("tail"), F.array().cast(f"array<{SPAN}>").alias("found")),
-            lambda acc, j: F.struct(*step(acc, j), F.array_append(acc["found"], F.struct(
-                (acc["at"] + F.length(F.get(pieces, j))).cast("long").alias("start"), step(acc, j)[0].alias("end"),
-                F.get(matches, j).alias("match"), context(acc["tail"], j).alias("before"))).alias("found")),
-            lambda acc: acc["found"])
+    def sums(at: Column, first: Column) -> Column:
+        return F.aggregate(run_of(first), F.struct(at.alias("at"), F.array().cast("array<bigint>").alias("found")),
+                           lambda acc, j: F.struct((acc["at"] + F.get(lengths, j)).alias("at"), F.array_append(acc["found"], acc["at"]).alias("found")),
+                           lambda acc: acc["found"])
 
-    def after(start: Column, first: Column) -> Column:
-        return F.aggregate(run_of(first), F.struct(start["at"].alias("at"), start["tail"].alias("tail")),
-                           lambda acc, j: F.struct(*step(acc, j)))
+    def after(at: Column, first: Column) -> Column:
+        return F.aggregate(run_of(first), at, lambda acc, j: acc + F.get(lengths, j))
 
-    def next_run(acc: Column, first: Column) -> Column:
-        return F.struct(after(acc["now"], first).alias("now"), F.array_append(acc["found"], spans(acc["now"], first)).alias("found"))
+    zero = F.lit(0).cast("long")
+    runs = F.aggregate(F.sequence(F.lit(0), last, F.lit(RUN)), F.struct(zero.alias("at"), F.array().cast("array<array<bigint>>").alias("found")),
+                       lambda acc, first: F.struct(after(acc["at"], first).alias("at"), F.array_append(acc["found"], sums(acc["at"], first)).alias("found")),
+                       lambda acc: F.flatten(acc["found"]))
+    return F.when(F.size(lengths) > 0, runs).otherwise(F.array().cast("array<bigint>"))
 
-    runs = F.aggregate(
-        F.sequence(F.lit(0), last, F.lit(RUN)),
-        F.struct(F.struct(F.lit(0).cast("long").alias("at"), F.lit(START).alias("tail")).alias("now"),
-                 F.array().cast(f"array<array<{SPAN}>>").alias("found")),
-        next_run, lambda acc: F.flatten(acc["found"]))
-    return F.when(F.size(matches) > 0, runs).otherwise(F.array().cast(f"array<{SPAN}>"))
+
+def _walk(pieces: Column, matches: Column, starts: Column, words: Column) -> Column:
+    """Matches with start, end and the two words before them.
+
+    ``pieces`` are what a split by the same expression leaves, so positions
+    are sums of lengths (``starts``: where each piece begins). ``words`` are
+    the last two words of each piece; where a piece has fewer, the match
+    before it is a word, and before that the last word of the piece before.
+    """
+    def match_word(j: Column) -> Column:
+        return F.when(j >= 0, _word(F.get(matches, j))).otherwise(F.lit(START))
+
+    def before(j: Column) -> Column:
+        own, previous = F.get(words, j), F.get(words, F.greatest(j - 1, F.lit(0)))
+        farther = F.when(j < 1, F.lit(START)).when(F.size(previous) > 0, F.element_at(previous, -1)).otherwise(match_word(j - 2))
+        return (F.when(F.size(own) > 1, F.array_join(own, " ")).when(F.size(own) == 1, F.concat_ws(" ", match_word(j - 1), F.get(own, F.lit(0))))
+                .otherwise(F.concat_ws(" ", farther, match_word(j - 1))))
+
+    def span(match: Column, j: Column) -> Column:
+        start = (F.get(starts, j) + F.length(F.get(pieces, j))).cast("long")
+        return F.struct(start.alias("start"), (start + F.length(match)).alias("end"), match.alias("match"), before(j).alias("before"))
+
+    return F.transform(matches, span)
 
 
 def _overlapped(spans: Column, start: Column, end: Column) -> Column:
@@ -151,12 +177,15 @@ def _located(docs: DataFrame, text: str, wanted: dict[str, tuple[str, Column]])
                              for k, (p, if_) in wanted.items()})
     docs = docs.withColumns({f"p_{k}": F.when(F.size(f"m_{k}") > 0, F.split(text, p, -1)).otherwise(none)
                              for k, (p, _) in wanted.items()})
-    docs = docs.withColumns({k: _walk(F.col(f"p_{k}"), F.col(f"m_{k}")) for k in wanted})
-    return docs.drop(*(f"{x}_{k}" for x in "mp" for k in wanted))
+    docs = docs.withColumns({f"l_{k}": _lengths(F.col(f"p_{k}"), F.col(f"m_{k}")) for k in wanted}
+                            | {f"w_{k}": F.transform(f"p_{k}", _last_words) for k in wanted})
+    docs = docs.withColumns({f"s_{k}": _starts(F.col(f"l_{k}")) for k in wanted})
+    docs = docs.withColumns({k: _walk(*(F.col(f"{x}_{k}") for x in "pmsw")) for k in wanted})
+    return docs.drop(*(f"{x}_{k}" for x in "mplsw" for k in wanted))
 
 
 def _shape(c: Column) -> Column:
-    return F.left(F.regexp_replace(F.regexp_replace(F.lower(c), "[0-9]", "9"), r"\p{L}+", "a"), F.lit(40))
+    return F.regexp_replace(F.regexp_replace(F.lower(c), "[0-9]", "9"), r"\p{L}+", "a")
 
 
 def _core(match: Column) -> Column:
@@ -164,17 +193,14 @@ def _core(match: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(match, r"^[^\p{L}0-9+(]++", ""), r"[^\p{L}0-9)]++$", "")
 
 
-def _words_before(before: Column) -> Column:
-    """The last two words, of each the last 32 characters, digits as 9; a word with an @ as that sign."""
-    words = F.filter(F.split(before, r"\s+"), lambda w: w != "")
-    last = F.slice(words, F.greatest(F.size(words) - 1, F.lit(1)), F.lit(2))
-    return F.array_join(F.transform(last, lambda w: F.when(w.contains("@"), F.lit("@")).otherwise(
-        F.regexp_replace(F.lower(F.right(w, F.lit(32))), "[0-9]", "9"))), " ")
+def _row_key(id_: Column, text: Column) -> Column:
+    """SHA-256 of id and text: rows that share both, and no others, share it."""
+    return F.unhex(F.sha2(F.concat(F.coalesce(F.concat(F.lit("#"), id_.cast("string")), F.lit("")), F.lit(":"), text), 256))
 
 
 def _facts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     text = text_of(text_col)
-    base = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.xxhash64(F.col(id_col), text).alias("key"))
+    base = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), _row_key(F.col(id_col), text).alias("key"))
     digit, at = F.col("text").rlike("[0-9]"), F.col("text").contains("@")
     condition = {"email": at, "ip": digit, "card": digit, "phone": F.col("text").contains("+")}
     found = _located(base, "text", {k: (BASE[k], condition[k]) for k in KINDS}
@@ -186,62 +212,103 @@ def _facts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             F.lit(i).alias("kind"), x["start"].alias("start"), x["end"].alias("end"))).cast(span)
 
     sure = F.concat(*(passing(i, k) for i, k in enumerate(KINDS)))
-    def short(x: Column) -> Column:
-        return F.length(x["match"]) <= LONGEST
 
     def several(x: Column) -> Column:
         digits = F.length(_digits(x["match"]))
-        return short(x) & F.when(x["match"].contains(" "), digits >= 6).otherwise(
+        return F.when(x["match"].contains(" "), digits >= 6).otherwise(
             (digits < 6) & x["match"].rlike(r"^[0-9]+(?:\.[0-9]+){3}$"))
 
     def valid(kind: str) -> Column:
-        return F.filter(kind, lambda x: short(x) & _passes(kind, x["match"]))
+        return F.filter(kind, lambda x: _passes(kind, x["match"]))
 
-    found = found.select("doc_id", "key", sure.alias("base"), F.filter("token", short).alias("token"), F.filter("groups", several).alias("groups"),
+    found = found.select("doc_id", "key", sure.alias("base"), "token", F.filter("groups", several).alias("groups"),
                          *(valid(k).alias(k) for k in KINDS))
 
+    def instance(start: Column, end: Column, match: Column, before: Column) -> Column:
+        return F.struct(start.alias("start"), end.alias("end"), _named(match).alias("instance"),
+                        F.concat_ws(" ", before, _named(_shape(match))).alias("pattern"))
+
     def whole(x: Column) -> Column:
-        return F.struct(x["start"].alias("start"), x["end"].alias("end"), x["match"].alias("instance"),
-                        F.concat_ws(" ", _words_before(x["before"]), _shape(x["match"])).alias("pattern"),
-                        _words_before(x["before"]) != "")
+        return instance(x["start"], x["end"], x["match"], x["before"])
 
     def seen(x: Column) -> Column:
         core = _core(x["match"])
-        lead = F.length(x["match"]) - F.length(F.regexp_replace(x["match"], r"^[^\p{L}0-9+(]++", ""))
-        begin = x["start"] + lead
-        return F.struct(begin.alias("start"), (begin + F.length(core)).alias("end"), core.alias("instance"),
-                        F.concat_ws(" ", _words_before(x["before"]), _shape(core)).alias("pattern"),
-                        _words_before(x["before"]) != "")
+        begin = x["start"] + F.length(x["match"]) - F.length(F.regexp_replace(x["match"], r"^[^\p{L}0-9+(]++", ""))
+        return instance(begin, begin + F.length(core), core, x["before"])
 
-    names = "array<struct<start:bigint,end:bigint,instance:string,pattern:string,usable:boolean>>"
+    names = "array<struct<start:bigint,end:bigint,instance:string,pattern:string>>"
     return found.select("doc_id", "key", "base", F.transform("token", seen).cast(names).alias("tokens"),
                         F.transform("groups", whole).cast(names).alias("groups"),
                         F.concat(*(F.transform(k, whole).cast(names) for k in KINDS)).alias("matches"))
 
 
-def pattern_scores(seen: DataFrame, rounds: int = 2) -> DataFrame:
-    """(kind, pattern, score, support) from occurrences (pattern, instance, kind; null if no base match).
-
-    A kind's seeds are the instances that a base match of it holds anywhere.
-    ``support`` counts the distinct seeds of a pattern.
-    """
+def _graph(seen: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Edges (pattern, instance, n) and seeds (kind, instance), what a base match of the kind holds anywhere."""
     edges = stored(seen.groupBy("pattern", "instance").agg(F.count("*").alias("n")), "pattern-graph")
-    seeds = stored(seen.filter("kind is not null").select("kind", "instance").distinct().withColumn("known", F.lit(1.0)), "seeds")
+    return edges, stored(seen.filter("kind is not null").select("kind", "instance").distinct(), "seeds")
+
+
+def _reached(edges: DataFrame, scores: DataFrame) -> DataFrame:
+    """(kind, instance, known) of the instances in scored patterns."""
+    doubt = F.exp(F.sum(F.log(1 - F.least(F.col("score"), F.lit(0.99)))))
+    return edges.join(scores.hint("merge"), "pattern").groupBy("kind", "instance").agg(F.least(1 - doubt, F.lit(0.99)).alias("known"))
+
+
+def _scores(edges: DataFrame, trusted: DataFrame, rounds: int) -> DataFrame:
+    """(kind, pattern, score, support) by scores that go back and forth from the trusted (kind, instance, known)."""
     totals = edges.groupBy("pattern").agg(F.sum("n").alias("total"))
-    known = seeds
+    trusted = trusted.withColumn("trusted", F.lit(1))
+    known = trusted
     for left in range(rounds, 0, -1):
-        sums = (edges.join(known, "instance").groupBy("kind", "pattern")
-                .agg(F.sum(F.col("n") * F.col("known")).alias("part"), F.sum((F.col("known") == 1).cast("long")).alias("support")))
-        scores = stored(sums.join(totals, "pattern").select("kind", "pattern", (F.col("part") / F.col("total")).alias("score"),
-                                                            "support"), "pattern-scores")
+        sums = (edges.join(known.hint("merge"), "instance").groupBy("kind", "pattern")
+                .agg(F.sum(F.col("n") * F.col("known")).alias("part"), F.sum("trusted").alias("support")))
+        # rounded, so that the order of a sum decides nothing
+        scores = stored(sums.join(totals.hint("merge"), "pattern").select(
+            "kind", "pattern", F.round(F.col("part") / F.col("total"), 9).alias("score"), "support"), "pattern-scores")
         if left > 1:
-            doubt = F.exp(F.sum(F.log(1 - F.least(F.col("score"), F.lit(0.99)))))
-            reached = edges.join(scores, "pattern").groupBy("kind", "instance").agg(F.least(1 - doubt, F.lit(0.99)).alias("known"))
-            known = stored(reached.join(seeds.select("kind", "instance"), ["kind", "instance"], "left_anti")
-                           .unionByName(seeds), "instance-scores")
+            known = stored(_reached(edges, scores).withColumn("trusted", F.lit(0)).unionByName(trusted).groupBy("kind", "instance")
+                           .agg(F.max_by("known", "trusted").alias("known"), F.max("trusted").alias("trusted")), "instance-scores")
     return scores
 
 
+def pattern_scores(seen: DataFrame, rounds: int = 2) -> DataFrame:
+    """(kind, pattern, score, support) from occurrences (pattern, instance, kind; null if no base match).
+
+    ``support`` counts the distinct seeds of a pattern. One pass of the
+    bootstrap, from the seeds alone.
+    """
+    edges, seeds = _graph(seen)
+    return _scores(edges, seeds.withColumn("known", F.lit(1.0)), rounds)
+
+
+def accepted_patterns(seen: DataFrame, rounds: int = 2, min_score: float = 0.8, min_support: int = 3) -> DataFrame:
+    """(kind, pattern, score, support, step) of all patterns that the bootstrap accepts.
+
+    Each step scores the patterns from the trusted instances - the seeds, and
+    what accepted patterns hold, with a score from those patterns - and
+    accepts those with ``min_score`` and ``min_support`` distinct trusted
+    instances. A pattern keeps the score it was accepted with. Steps go on
+    until none is new, so their number is that of the longest chain of
+    patterns that only lead to each other; each works on the graph, not on
+    the texts.
+    """
+    edges, seeds = _graph(seen)
+    seeds = seeds.withColumn("known", F.lit(1.0))
+    trusted, accepted, count, step = seeds, None, 0, 0
+    while True:
+        step += 1
+        passing = (_scores(edges, trusted, rounds).filter((F.col("score") >= min_score) & (F.col("support") >= min_support))
+                   .withColumn("step", F.lit(step)))
+        if accepted is not None:
+            passing = accepted.unionByName(passing.join(accepted.select("kind", "pattern").hint("merge"), ["kind", "pattern"], "left_anti"))
+        accepted = stored(passing, "accepted-patterns")
+        before, count = count, accepted.count()
+        if count == before:
+            return accepted
+        promoted = _reached(edges, accepted).join(seeds.select("kind", "instance").hint("merge"), ["kind", "instance"], "left_anti")
+        trusted = stored(seeds.unionByName(promoted), "trusted-instances")
+
+
 def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 2,
                        min_score: float = 0.8, min_support: int = 3) -> DataFrame:
     """doc_id and spans (kind, start, end, found_by) of every document, base and discovered ones.
@@ -250,8 +317,7 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     and start; found_by is base or context. A discovered span overlaps no
     base span, and of a run of groups and a token in it only the run is
     given. Base matches that fail their kind's check are dropped and
-    not searched again. Tokens over 256 characters take part as base matches
-    only, never as instances.
+    not searched again. Tokens of any length are instances.
 
     A null text is empty. Rows that repeat both id and text get the same
     spans. No documents give an empty result. Extra columns are ignored,
@@ -265,21 +331,20 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         kind = F.coalesce(*(F.when(_overlapped(F.col(f"base_{k}"), t["start"], t["end"]), F.lit(i)) for i, k in enumerate(KINDS)))
         return F.struct(*(t[c].alias(c) for c in ("start", "end", "instance", "pattern")), kind.alias("kind"))
 
-    def usable(name: str) -> Column:
-        return F.transform(F.filter(name, lambda t: t["usable"]), occurrence)
+    def marked_base(name: str) -> Column:
+        return F.transform(name, occurrence)
 
     # a run that holds a base match and more is no identifier; a match that is a token, too, is one occurrence
-    runs = F.filter(usable("groups"), lambda t: t["kind"].isNull())
+    runs = F.filter(marked_base("groups"), lambda t: t["kind"].isNull())
     def marked(spans: Column, run: bool) -> Column:
         return F.transform(spans, lambda t: F.struct(*(t[c].alias(c) for c in ("start", "end", "instance", "pattern", "kind")),
                                                      F.lit(run).alias("run")))
 
-    every = F.concat(marked(usable("tokens"), False), marked(usable("matches"), False), marked(runs, True))
+    every = F.concat(marked(marked_base("tokens"), False), marked(marked_base("matches"), False), marked(runs, True))
     seen = stored(facts.withColumns(by_kind).select("key", F.explode(every).alias("t")).select("key", "t.*").distinct(), "occurrences")
-    sure = (pattern_scores(seen, rounds).filter((F.col("score") >= min_score) & (F.col("support") >= min_support))
-            .groupBy("pattern").agg(F.max(F.struct("score", "support", (-F.col("kind")).alias("k"))).alias("s"))
+    sure = (accepted_patterns(seen, rounds, min_score, min_support).groupBy("pattern").agg(F.max(F.struct("score", "support", (-F.col("kind")).alias("k"))).alias("s"))
             .select("pattern", (-F.col("s.k")).alias("found")))
-    new = (seen.filter("kind is null").join(sure, "pattern")
+    new = (seen.filter("kind is null").join(sure.hint("merge"), "pattern")
            .groupBy("key").agg(*(F.array_sort(F.collect_set(F.when(c, F.struct("start", "end", F.col("found").alias("kind"))))).alias(n)
                                  for n, c in (("runs", F.col("run")), ("single", ~F.col("run")))))
            .select("key", F.concat("runs", F.filter("single", lambda x: ~_overlapped(F.col("runs"), x["start"], x["end"]))).alias("new")))
@@ -289,6 +354,6 @@ def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                                                                      x["end"].alias("end"), F.lit("context").alias("found_by"))),
                                F.array().cast("array<struct<kind:int,start:bigint,end:bigint,found_by:string>>")))
     kinds = F.array(*(F.lit(k) for k in KINDS))
-    return facts.join(new, "key", "left").select("doc_id", F.transform(F.array_sort(both), lambda x: F.struct(
+    return facts.join(new.hint("merge"), "key", "left").select("doc_id", F.transform(F.array_sort(both), lambda x: F.struct(
         F.element_at(kinds, x["kind"] + 1).alias("kind"), x["start"].alias("start"), x["end"].alias("end"),
         x["found_by"].alias("found_by"))).alias("spans"))
