@@ -120,3 +120,89 @@ def test_phones_support_the_words_before_the_whole_number(spark):
     facts = p._facts(df, "doc_id", "text").collect()
     assert {m.pattern for r in facts for m in r.matches} == {"please call +9 (999) 999-9999"}
     assert [m.pattern for r in facts if r.doc_id == 9 for m in r.groups] == ["please call +9 (999) 999-9999 9999 9999 9999"]
+
+
+def test_patterns_known_only_through_what_other_patterns_found(spark):
+    def luhn(i):
+        return next(c for c in (f"40000{i:010d}{d}" for d in range(10)) if passes("card", c))
+
+    seeds = [luhn(i) for i in range(120)]
+    failing = [s[:-1] + str((int(s[-1]) + 1) % 10) for s in seeds[:11]]
+    rows = [(i, f"w my card {c} ok") for i, c in enumerate(seeds[:60])] + [(100 + i, f"w paid with {c} ok") for i, c in enumerate(seeds[60:])]
+    rows += [(200 + i, f"w my card {c} ok") for i, c in enumerate(failing[:10])] + [(300 + i, f"w paid with {c} ok") for i, c in enumerate(failing[:10])]
+    rows += [(400 + i, f"w pan is {c} ok") for i, c in enumerate(failing)] + [(500 + i, f"w order no {failing[10][:-3]}{i}{i}7 ok") for i in range(3)]
+    assert not any(base(f"w pan is {c} ok") for c in failing)
+    got = found(spark, rows)
+    assert all(got[n + i] == [("card", at, at + 16, "context")] for n, at in ((200, 10), (300, 12), (400, 9)) for i in range(10))
+    assert got[410] == [("card", 9, 25, "context")] and all(got[500 + i] == [] for i in range(3))
+    assert found(spark, rows, min_support=11)[410] == []          # ten trusted instances are too few then
+
+
+def brute_accepted(seen, rounds, min_score, min_support):
+    edges = {}
+    for p_, i, _ in seen:
+        edges[p_, i] = edges.get((p_, i), 0) + 1
+    total = {}
+    for (p_, _), n in edges.items():
+        total[p_] = total.get(p_, 0) + n
+    seeds = {(k, i): 1.0 for _, i, k in seen if k is not None}
+
+    def reached(scores):
+        doubt = {}
+        for (p_, i) in edges:
+            for (k, q), s in scores.items():
+                if q == p_:
+                    doubt[k, i] = doubt.get((k, i), 1.0) * (1 - min(s, 0.99))
+        return {x: min(1 - d, 0.99) for x, d in doubt.items()}
+
+    trusted, accepted = dict(seeds), {}
+    while True:
+        known = dict(trusted)
+        for left in range(rounds, 0, -1):
+            part, support = {}, {}
+            for (p_, i), n in edges.items():
+                for k, j in known:
+                    if i == j:
+                        part[k, p_] = part.get((k, p_), 0.0) + n * known[k, j]
+                        support[k, p_] = support.get((k, p_), 0) + ((k, j) in trusted)
+            scores = {x: round(s / total[x[1]], 9) for x, s in part.items()}
+            if left > 1:
+                known = reached(scores) | trusted
+        new = {x: s for x, s in scores.items() if s >= min_score and support[x] >= min_support and x not in accepted}
+        if not new:
+            return accepted
+        accepted |= new
+        trusted = reached(accepted) | seeds
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_accepted_patterns_match_brute_force(spark, seed):
+    import random
+    r = random.Random(seed)
+    seen = [(f"p{r.randrange(12)}", f"i{(j := r.randrange(40))}", r.choice([0, 2, 2]) if j < 12 and r.random() < 0.7 else None) for _ in range(260)]
+    seen += [(f"q{n}", f"x{n + m}", 1 if n + m < 3 else None) for n in range(5) for m in range(4)]      # a chain: each leads to the next
+    df = spark.createDataFrame(seen, "pattern string, instance string, kind int")
+    for limits in ((2, 0.8, 3), (1, 0.6, 3)):
+        rows = p.accepted_patterns(df, *limits).collect()
+        want = brute_accepted(seen, *limits)
+        assert {(x.kind, x.pattern): round(x.score, 6) for x in rows} == {x: round(s, 6) for x, s in want.items()}, limits
+    assert max(x.step for x in rows) > 2
+
+
+def test_words_and_identifiers_of_any_length(spark):
+    far, word = " " * 500, "long" * 500
+    rows = [(i, f"w {word}  my{far}{x}@h{x}.com ok") for i, x in enumerate("abcd")]
+    hidden = "ü" * 990 + "@long.org"                              # no base match: nothing before the @ that one may hold
+    rows += [(9, f"w {word}  my{far}{hidden} ok"), (10, f"w {word[1:]}  my{far}{hidden}x ok")]
+    rows += [(20 + i, f"w {'x' * 900} card {c} ok") for i, c in enumerate(["4111111111111111", "5500005555555559", "4012888888881881"])]
+    rows += [(30, f"w {'x' * 900} card 4111111111111112 ok"), (31, f"w {'x' * 901} card 4111111111111112 ok")]
+    got = found(spark, rows)
+    at = rows[4][1].index(hidden)
+    assert not base(rows[4][1]) and got[9] == [("email", at, at + len(hidden), "context")] and got[10] == []
+    assert got[30] == [("card", 908, 924, "context")] and got[31] == []      # one word of the two is another
+
+
+def test_rows_are_told_by_id_and_text(spark):
+    df = spark.createDataFrame([(1, "a", "1:a"), (None, "a", ":a"), (None, "1:a", "x")], "i long, t string, o string")
+    keys = [bytes(r[0]) for r in df.select(p._row_key(df["i"], df["t"])).collect()]
+    assert len(set(keys)) == 3 and all(len(k) == 32 for k in keys)
