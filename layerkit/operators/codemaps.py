@@ -160,7 +160,9 @@ def map_by_interval(df: DataFrame, code: str, table: DataFrame, low: str, high:
     if not long_ends.isEmpty():
         raise ValueError(f"interval ends of more than {characters} characters")
     numbered = table.select(code_number(low, characters).alias("__from"), code_number(high, characters, end=True).alias("__to"), *values)
-    codes = df.select(F.col(code).alias("__code")).distinct().withColumn("__n", code_number("__code", characters))
+    # the number hangs on the count, so that filters on it stay above the aggregate: once for each code, not for each row
+    codes = df.groupBy(F.col(code).alias("__code")).agg(F.count(F.lit(1)).alias("__rows"))
+    codes = codes.select("__code", F.when(F.col("__rows") > 0, code_number("__code", characters)).alias("__n"))
     found = match_numbers(codes, numbered, "__n", "__from", "__to", values)
     found = codes.join(found, "__n").select("__code", *values)
     return _joined_back(df, code, found, values)

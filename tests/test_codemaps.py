@@ -82,3 +82,13 @@ def test_rows_are_kept_and_clashing_columns_refused(spark):
     assert map_by_prefix(df.limit(0), "code", table, "p", "w").collect() == []
     with pytest.raises(ValueError, match="there already"):
         map_by_prefix(df, "code", table.withColumnRenamed("w", "v"), "p", "v")
+
+
+def test_a_code_is_numbered_once_and_not_in_each_row(spark):
+    df = spark.range(100).select(F.concat(F.lit("A0"), (F.col("id") % 5).cast("string")).alias("code")).localCheckpoint()
+    table = spark.createDataFrame([("A00", "A02", "low"), ("A03", "B99", "high")], "low string, high string, name string")
+    out = map_by_interval(df, "code", table, "low", "high", "name", characters=5)
+    assert {(r["code"], r["name"]) for r in out.collect()} == {("A00", "low"), ("A01", "low"), ("A02", "low"), ("A03", "high"), ("A04", "high")}
+    lines = out._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    numbering = [i for i, line in enumerate(lines) if "regexp_replace(code#" in line or "regexp_replace(__code#" in line]
+    assert numbering and all("Aggregate [" in "".join(lines[i:i + 3]) for i in numbering)     # over the distinct codes, never over the rows
