@@ -46,14 +46,18 @@ def encounter_summary(encounters: DataFrame, conditions: DataFrame,
 
 
 def clinical_models(clean: dict) -> dict:
-    """The five summary models over clean patients / encounters / conditions."""
+    """The five summary models over clean patients / encounters / conditions, as functions.
+
+    A model is planned when it is called: the readmission one runs a job of
+    its own for that, which a run without this model must not pay.
+    """
     p, e, c = clean["patients"], clean["encounters"], clean["conditions"]
     return {
-        "patient_summary": gold.entity_summary(p, e, c),
-        "encounter_summary": encounter_summary(e, c, p),
-        "condition_prevalence": gold.prevalence(c, p, ["condition_code", "condition_description"]),
-        "provider_metrics": gold.group_metrics(e),
-        "readmission_risk": gold.next_event_risk(e),
+        "patient_summary": lambda: gold.entity_summary(p, e, c),
+        "encounter_summary": lambda: encounter_summary(e, c, p),
+        "condition_prevalence": lambda: gold.prevalence(c, p, ["condition_code", "condition_description"]),
+        "provider_metrics": lambda: gold.group_metrics(e),
+        "readmission_risk": lambda: gold.next_event_risk(e),
     }
 
 
@@ -88,10 +92,10 @@ def run_clinical_batch(spark: SparkSession, source: CsvSource, clean_db: str, su
 
     if {"patients", "encounters", "conditions"} <= set(cleaned):
         clean = {n: spark.table(f"{clean_db}.{n}") for n in cleaned}
-        wanted = {n: df for n, df in clinical_models(clean).items() if models is None or n in models}
+        wanted = {n: model for n, model in clinical_models(clean).items() if models is None or n in models}
         built = _run_layer(
-            {name: (lambda name=name, df=df: write_table(df, f"{summary_db}.{name}", "overwrite"))
-             for name, df in wanted.items()}, parallel)
+            {name: (lambda name=name, model=model: write_table(model(), f"{summary_db}.{name}", "overwrite"))
+             for name, model in wanted.items()}, parallel)
         status += [(name, "summary", "ok", n) for name, n in built.items()]
     if drift:
         registry, log = drift
