@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..plans.ledger import ingest_new_files
 from ..plans.quarantine import accepted, ingest_checked, rejected
-from ..session import scratch_path
+from ..session import fine_session, scratch_path
 from ..sinks.evolving import append_widening, read_widened
 from .common import t
 from .io import scratch_db
@@ -58,6 +58,7 @@ def ledger_ingest(spark, sf_dir):
 
 def quarantine(spark, sf_dir):
     """Orders as CSV lines, some short, long, with an open quote, a bad number or a bad date; all come out once."""
+    caller, spark = spark, fine_session(spark)
     table, land = f"{scratch_db(spark, 'bad')}.orders", scratch_path(spark, "bad-landing")
     o = t(spark, sf_dir, "orders")
     kind = F.col("o_orderkey") % 17
@@ -69,10 +70,10 @@ def quarantine(spark, sf_dir):
     o.select(line.alias("value")).write.text(f"{land}/orders")
     ingest_checked(spark, f"{land}/orders", table, {"o_orderkey": "bigint", "o_totalprice": "decimal(12,2)", "o_orderdate": "date"},
                    columns=["o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority"])
-    good = accepted(spark, table).select("o_orderkey", F.col("o_totalprice").cast("double").alias("o_totalprice"), "o_orderdate", "o_orderpriority",
+    good = accepted(caller, table).select("o_orderkey", F.col("o_totalprice").cast("double").alias("o_totalprice"), "o_orderdate", "o_orderpriority",
                                          F.lit(None).cast("string").alias("line"), F.lit("").alias("reasons"))
     none = {c: F.lit(None).cast(k).alias(c) for c, k in good.dtypes[:4]}
-    bad = rejected(spark, table).select(*none.values(), F.col("_line").alias("line"), F.array_join("_reasons", "; ").alias("reasons"))
+    bad = rejected(caller, table).select(*none.values(), F.col("_line").alias("line"), F.array_join("_reasons", "; ").alias("reasons"))
     return good.unionByName(bad)
 
 
