@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from ..functions.dates import minutes_between
 from ..plans.maintained import SIGN, Maintained, Measure, apply_changes, fold_state, read_model, signed_changes
+from ..session import fine_session
 from ..sinks.tables import write_table
 from .common import money, order_lines, t
 from .io import scratch_db
@@ -21,34 +20,50 @@ def _signed(df, sign):
 
 
 def _batches(rows, later, changed, corrected, gone):
-    """Signed rows of three batches: the earlier rows; the later ones and corrections of earlier ones; deletions."""
-    early, late = rows.filter(~later), rows.filter(later)
-    wrong = early.filter(changed)
-    second = reduce(lambda a, b: a.unionByName(b), [_signed(late, 1), _signed(wrong, -1), _signed(wrong.withColumns(corrected), 1)])
-    now = late.unionByName(early.filter(~changed)).unionByName(wrong.withColumns(corrected))
-    return [_signed(early, 1), second, _signed(now.filter(gone), -1)]
+    """Signed rows of three batches: the earlier rows; the later ones and corrections of earlier ones; deletions.
+
+    Each batch reads ``rows`` once, a corrected row goes out twice there.
+    """
+    columns = rows.columns
+    as_is = F.struct(*[F.col(c) for c in columns])
+    fixed = F.struct(*[(corrected[c] if c in corrected else F.col(c)).alias(c) for c in columns])
+    signed = lambda row, sign: F.struct(row.alias("row"), F.lit(sign).alias(SIGN))
+    out = F.when(later, F.array(signed(as_is, 1))).when(~later & changed, F.array(signed(as_is, -1), signed(fixed, 1)))
+    now = F.when(later | (~later & ~changed), as_is).when(~later & changed, fixed)
+    return [_signed(rows.filter(~later), 1),
+            rows.select(F.explode(out).alias("__o")).select("__o.row.*", f"__o.{SIGN}"),
+            _signed(rows.select(now.alias("__now")).filter(F.col("__now").isNotNull()).select("__now.*").filter(gone), -1)]
+
+
+def _stored(df, table):
+    """``df`` written once: a batch is evaluated more than once, and its joins need not be."""
+    write_table(df, table, mode="overwrite")
+    return df.sparkSession.table(table)
 
 
 def maintained_supplier_metrics(spark, sf_dir):
     """G4 under E2: prices corrected by the second batch (applied twice), every fifth order deleted by the third."""
-    spec = Maintained(f"{scratch_db(spark, 'kept')}.supplier_metrics", ("supplier_id",), (
+    caller, spark = spark, fine_session(spark)
+    db = scratch_db(spark, "kept")
+    spec = Maintained(f"{db}.supplier_metrics", ("supplier_id",), (
         Measure("line_count", "count", "l_orderkey"), Measure("customer_count", "distinct", "o_custkey"),
         Measure("avg_ship_minutes", "avg", "ship_minutes"), Measure("total_revenue", "sum", "revenue")),
         inputs={"events": ("l_suppkey",)}, buckets=8)
-    lines = order_lines(spark, sf_dir).select(
+    lines = _stored(order_lines(spark, sf_dir).select(
         "l_suppkey", "l_orderkey", "l_partkey", "o_custkey", "o_orderdate",
-        minutes_between("o_orderdate", "l_shipdate").alias("ship_minutes"), money("l_extendedprice").alias("revenue"))
+        minutes_between("o_orderdate", "l_shipdate").alias("ship_minutes"), money("l_extendedprice").alias("revenue")), f"{db}.lines")
     later = F.col("o_orderdate") >= F.lit(LATER).cast("timestamp_ntz")
     batches = _batches(lines, later, F.col("l_partkey") % 7 == 0, {"revenue": (F.col("revenue") * 2).cast("decimal(12,2)")},
                        F.col("l_orderkey") % 5 == 0)
     for n, rows in [(0, batches[0]), (1, batches[1]), (1, batches[1]), (2, batches[2])]:
         apply_changes(spark, spec, n, {"events": rows})
-    return read_model(spark, spec).withColumns({"avg_ship_minutes": F.round("avg_ship_minutes", 2),
+    return read_model(caller, spec).withColumns({"avg_ship_minutes": F.round("avg_ship_minutes", 2),
                                                 "total_revenue": F.round("total_revenue", 2).cast("double")})
 
 
 def maintained_customer_summary(spark, sf_dir):
     """G1 under E2: customers, orders and lines change on their own; the state is folded between batches."""
+    caller, spark = spark, fine_session(spark)
     db = scratch_db(spark, "kept")
     spec = Maintained(f"{db}.customer_summary", ("c_custkey",), (
         Measure("order_count", "count", "o_orderkey", "orders"), Measure("distinct_parts", "distinct", "l_partkey", "lines"),
@@ -60,7 +75,7 @@ def maintained_customer_summary(spark, sf_dir):
     orders = t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", money("o_totalprice").alias("order_cost"),
                                                F.to_date("o_orderdate").alias("order_day"))
     later = F.col("order_day") >= F.lit(LATER).cast("date")
-    lines = order_lines(spark, sf_dir).select("l_orderkey", "l_partkey", "o_custkey", F.to_date("o_orderdate").alias("order_day"))
+    lines = _stored(order_lines(spark, sf_dir).select("l_orderkey", "l_partkey", "o_custkey", F.to_date("o_orderdate").alias("order_day")), f"{db}.lines")
     # customers move to another segment with the second batch and some are gone with the third
     moved = customers.filter("c_custkey % 4 = 0").withColumn("c_mktsegment", F.lit("MOVED"))
     write_table(customers, f"{db}.customers", mode="overwrite")
@@ -75,11 +90,12 @@ def maintained_customer_summary(spark, sf_dir):
         apply_changes(spark, spec, n, {"customers": rows, "orders": order_batches[n], "lines": line_batches[n]})
         if n == 1:
             fold_state(spark, spec)
-    return read_model(spark, spec).withColumn("total_spend", F.col("total_spend").cast("double"))
+    return read_model(caller, spec).withColumn("total_spend", F.col("total_spend").cast("double"))
 
 
 def maintained_part_prevalence(spark, sf_dir):
     """G3 under E2: distinct customers per kind of part; the number of customers is a model of one group."""
+    caller, spark = spark, fine_session(spark)
     db = scratch_db(spark, "kept")
     spec = Maintained(f"{db}.prevalence", ("p_brand", "p_type"), (Measure("customer_count", "distinct", "o_custkey"),),
                       inputs={"events": ("p_brand", "p_type")}, buckets=8)
@@ -87,7 +103,7 @@ def maintained_part_prevalence(spark, sf_dir):
                        inputs={"events": ("everyone",)}, buckets=1)
     part = t(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
     lines = order_lines(spark, sf_dir).select("l_partkey", "l_orderkey", "o_custkey", "o_orderdate")
-    facts = lines.join(part, lines["l_partkey"] == part["p_partkey"])
+    facts = _stored(lines.join(part, lines["l_partkey"] == part["p_partkey"]), f"{db}.facts")
     later = F.col("o_orderdate") >= F.lit(LATER).cast("timestamp_ntz")
     batches = _batches(facts, later, F.col("l_partkey") % 7 == 0, {"p_type": F.lit("RENAMED")}, F.col("l_orderkey") % 2 == 0)
     customers = t(spark, sf_dir, "customer").select("c_custkey", F.lit(1).alias("everyone"))
@@ -97,8 +113,8 @@ def maintained_part_prevalence(spark, sf_dir):
     for n, rows in enumerate(people):
         apply_changes(spark, total, n, {"events": rows})
     pct = F.round(F.col("customer_count") * F.lit(100.0).cast("decimal(4,1)") / F.col("total_customers"), 2).cast("double")
-    one = read_model(spark, total).select("total_customers")
-    return read_model(spark, spec).withColumn("total_customers", one.scalar()).withColumn("pct_customers", pct)
+    one = read_model(caller, total).select("total_customers")
+    return read_model(caller, spec).withColumn("total_customers", one.scalar()).withColumn("pct_customers", pct)
 
 
 QUERIES = {
