@@ -239,26 +239,32 @@ def _union(frames) -> DataFrame | None:
     return out
 
 
-def _model_rows(spec: Maintained, totals: DataFrame, values: DataFrame | None) -> DataFrame:
-    """The model's rows of the groups in the given state."""
+def _model_rows(spec: Maintained, totals: DataFrame, values: DataFrame | None, batch: int) -> DataFrame:
+    """The model's rows of the groups in the given state that ``batch`` touched.
+
+    Whether it did comes out of the same aggregates: a join on the groups
+    would bring all values of a group to one task.
+    """
+    here = F.max(F.col(BATCH) == batch)
     sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in totals.columns if c.startswith("__")]
-    grouped = totals.groupBy(*spec.keys).agg(*sums)
+    grouped = totals.groupBy(*spec.keys).agg(*sums, here.alias("__here"))
     numbers = _value_columns(spec)
     if values is not None:
         cols = [f"v_{i}" for i in numbers.values()]
-        there = values.groupBy(*spec.keys, "_which", *cols).agg(F.sum("_n").alias("_n")).filter("_n != 0")
-        # fewer than none: a deletion of a row that was never there
-        n = F.when(F.col("_n") < 0, F.raise_error(F.lit(f"{spec.table}: a value was removed more often than added"))).otherwise(F.col("_n"))
-        there = there.withColumn("_n", n).filter("_n > 0")
-        aggs = []
+        there = values.groupBy(*spec.keys, "_which", *cols).agg(F.sum("_n").alias("_n"), here.alias("_here")).filter("_n != 0 OR _here")
+        aggs = [F.max("_here").alias("__here"), F.min("_n").alias("__least")]
         for i, m in enumerate(spec.measures):
             if m.kind in _VALUES:
                 which, v = F.col("_which") == numbers[m.input, m.column], F.col(f"v_{numbers[m.input, m.column]}")
-                one = F.when(which, v)
+                one = F.when(which & (F.col("_n") > 0), v)
                 aggs.append({"distinct": F.count(one), "min": F.min(one), "max": F.max(one), "attribute": F.max(one)}[m.kind].alias(f"__m_{i}"))
         grouped = _union([grouped, there.groupBy(*spec.keys).agg(*aggs)])
         # one row from either side: added up, not joined, so that null groups meet
-        grouped = grouped.groupBy(*spec.keys).agg(*[F.max(c).alias(c) for c in grouped.columns if c.startswith("__")])
+        grouped = grouped.groupBy(*spec.keys).agg(*[(F.min if c == "__least" else F.max)(c).alias(c) for c in grouped.columns if c.startswith("__")])
+        # fewer than none: a deletion of a row that was never there
+        lacking = F.raise_error(F.lit(f"{spec.table}: a value was removed more often than added")).cast("boolean")
+        grouped = grouped.filter("__here").filter(F.when(F.col("__least") < 0, lacking).otherwise(True))
+    grouped = grouped.filter("__here")
     out = []
     for i, m in enumerate(spec.measures):
         rows = F.col(f"__rows_{m.input}")
@@ -344,7 +350,7 @@ def _refresh(spark: SparkSession, spec: Maintained, batch: int, buckets: list[in
     if values is not None:
         touched = touched.unionAll(values.filter(F.col(BATCH) == batch).select(*spec.keys))
     touched = touched.distinct()
-    rows = _model_rows(spec, _only(totals, touched, spec.keys, "left_semi"), None if values is None else _only(values, touched, spec.keys, "left_semi"))
+    rows = _model_rows(spec, totals, values, batch)
     rows = _bucketed(spec, rows)
     if not spark.catalog.tableExists(spec.table):
         write_table(rows, spec.table, mode="overwrite", partition_by=[BUCKET])

@@ -64,3 +64,18 @@ def test_a_batch_reads_its_rows_once(spark):
     assert got(first) == [(2, 1), (3, 1), (5, 1)] and got(second) == [(1, 1), (2, -1), (102, 1)] and got(third) == [(1, -1), (3, -1), (102, -1)]
     for df in (first, second, third):
         assert "Union" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_batch_brings_no_group_whole_to_a_task(spark, monkeypatch):
+    from layerkit.plans import maintained as kept
+    from layerkit.registry.io import scratch_db
+    joins = []
+    monkeypatch.setattr(kept, "_only", lambda *a, _f=kept._only: (joins.append(a[-1]), _f(*a))[1])
+    spec = kept.Maintained(f"{scratch_db(spark, 'hot')}.m", ("g",), (kept.Measure("n", "distinct", "v"),), inputs={"events": ("g",)}, buckets=2)
+    rows = lambda *r: spark.createDataFrame(list(r), "g int, v int, _sign int")
+    kept.apply_changes(spark, spec, 0, {"events": rows((1, 1, 1), (1, 2, 1), (2, 5, 1), (None, 7, 1))})
+    kept.apply_changes(spark, spec, 1, {"events": rows((1, 2, -1), (2, 5, -1), (3, 1, 1))})
+    assert sorted(tuple(r) for r in kept.read_model(spark, spec).fillna(-1).collect()) == [(-1, 1), (1, 1), (3, 1)]
+    assert "left_semi" not in joins          # the state is aggregated by value first, over all tasks
+    with pytest.raises(Exception, match="removed more often"):
+        kept.apply_changes(spark, spec, 2, {"events": rows((1, 9, -1), (1, 1, 1))})
