@@ -45,12 +45,14 @@ def _in_partitions(df: DataFrame, parts: DataFrame, cols) -> DataFrame:
 
 
 def upsert(df: DataFrame, table: str, keys, order, tiebreak=None, partition_by=(),
-           scoped: bool = False) -> int:
+           scoped: bool = False, moves: bool = True) -> int:
     """Insert new keys and replace existing ones by the latest ``order``.
 
     Returns the number of rows written (whole table, or the touched
     partitions when ``scoped``). Repeating a batch after a failure at any
-    step gives the same table.
+    step gives the same table. ``moves=False``: the partition is made of the
+    key, so no key of the batch can lie in a partition that the batch does
+    not name, and the table is not searched for one.
     """
     spark = df.sparkSession
     partition_by = list(partition_by)
@@ -65,9 +67,12 @@ def upsert(df: DataFrame, table: str, keys, order, tiebreak=None, partition_by=(
         return overwrite_from_self(merged, table, partition_by=partition_by)
     if not partition_by:
         raise ValueError("scoped upsert needs the table's partition columns")
-    held = current.select(*keys, *[c for c in partition_by if c not in keys])
-    touched = df.select(*partition_by).unionByName(
-        held.join(df.select(*keys).distinct(), on=keys, how="left_semi").select(*partition_by)).distinct()
+    touched = df.select(*partition_by)
+    if moves:
+        held = current.select(*keys, *[c for c in partition_by if c not in keys])
+        touched = touched.unionByName(
+            held.join(df.select(*keys).distinct(), on=keys, how="left_semi").select(*partition_by))
+    touched = touched.distinct()
     # partition values are catalog metadata: the driver lists them for every table anyway
     parts = touched.collect()
     touched = spark.createDataFrame(parts, df.select(*partition_by).schema)
@@ -77,7 +82,8 @@ def upsert(df: DataFrame, table: str, keys, order, tiebreak=None, partition_by=(
     staging = f"{table}__merge"
     spark.sql(f"DROP TABLE IF EXISTS {staging}")
     n = write_table(merged, staging, "overwrite", partition_by=partition_by)
-    replace_partitions(spark.table(staging).select(*current.columns), table, partition_by)
+    # dealt by partition already: copied file by file, not shuffled again
+    replace_partitions(spark.table(staging).select(*current.columns), table)
     filled = {tuple(r) for r in spark.table(staging).select(*partition_by).distinct().collect()}
     drop_partitions(spark, table, [r.asDict() for r in parts if tuple(r) not in filled])
     spark.sql(f"DROP TABLE IF EXISTS {staging}")
